@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 from ..functions.ranking import global_row_number
 from ..functions.scalar import exact_mean, round_even
+from ..functions.stats import group_quantiles
 
 # Fixed values that must equal the reference's for right results: the
 # quantile that defines m, the rounding of m (1 dp) and of C and the adjusted
@@ -210,7 +211,7 @@ def m_choice_compare(clean: DataFrame, params: DataFrame | None = None) -> DataF
     """Per category: suspects under m = median against m = Q1 (1 dp)."""
     if params is None:
         params = category_params(clean)
-    med = category_quantile(clean, "rating_count", 0.5).withColumnRenamed("quantile", "median_m")
+    med = group_quantiles(clean, ["main_category"], "rating_count", [0.5], ["median_m"])
     p = params.select("main_category", "m_value").join(med, "main_category")
     joined = lookup_join(clean.select("main_category", "rating_count"), p, "main_category", "left")
     n = F.count(F.lit(1))

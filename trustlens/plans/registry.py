@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalar as S
 from ..operators import clean as C
+from ..operators import guide as G
+from ..operators import profile as P
 from ..operators import trust as T
 from ..sources import fixtures as FX
 from . import oracle as O
@@ -46,6 +49,95 @@ def build_queries() -> dict[str, QueryFn]:
     q["trust_detail"] = lambda s, d: _detail(s, d)
     q["rank_movers_top50"] = lambda s, d: T.rank_movers_top(_detail(s, d), 50)
     q["rank_movers_top50_t80"] = lambda s, d: T.rank_movers_top(_detail(s, d, THRESHOLD_COARSE), 50)
+
+    # cleaning steps, one query each
+    def raw(s, d):
+        return FX.products_raw(s, d)
+
+    q["parse_money"] = lambda s, d: raw(s, d).select(
+        "ordinal",
+        F.col("actual_price").alias("actual_price_text"),
+        S.parse_money("actual_price").alias("actual_price"),
+        F.col("discounted_price").alias("discounted_price_text"),
+        S.parse_money("discounted_price").alias("discounted_price"),
+    )
+    q["parse_percent"] = lambda s, d: raw(s, d).select(
+        "ordinal",
+        F.col("discount_percentage").alias("discount_percentage_text"),
+        S.parse_percent("discount_percentage").alias("discount_percentage"),
+    )
+    q["parse_count"] = lambda s, d: raw(s, d).select(
+        "ordinal",
+        F.col("rating_count").alias("rating_count_text"),
+        S.parse_count("rating_count").alias("rating_count"),
+    )
+    q["parse_numeric"] = lambda s, d: raw(s, d).select(
+        "ordinal", F.col("rating").alias("rating_text"), S.parse_numeric("rating").alias("rating")
+    )
+    q["category_level"] = lambda s, d: raw(s, d).select(
+        "ordinal", "category", S.category_level("category", 1).alias("second_category")
+    )
+    q["dedup_first"] = lambda s, d: C.dedup_first(C.valid_listings(C.parse_listings(raw(s, d)))).select(
+        "product_id", "ordinal"
+    )
+
+    def bucketed(s, d):
+        first = C.dedup_first(C.valid_listings(C.parse_listings(raw(s, d))))
+        lv = first.withColumn("second_category", S.category_level("category", 1))
+        return C.bucket_rare(lv, "second_category", "main_category", THRESHOLD)
+
+    q["bucket_rare"] = lambda s, d: bucketed(s, d).select("product_id", "second_category", "main_category")
+    q["review_length"] = lambda s, d: _clean(s, d).select("product_id", "review_length")
+    q["category_counts"] = lambda s, d: P.category_counts(_clean(s, d))
+    q["align_schema"] = lambda s, d: C.align_schema(FX.products_dummy(s, d))
+    q["allowed_categories"] = lambda s, d: C.allowed_categories(_clean(s, d))
+    q["conform_domain"] = lambda s, d: C.conform_domain(
+        C.align_schema(FX.products_dummy(s, d)), C.allowed_categories(_clean(s, d))
+    ).select("product_id", "main_category")
+    q["seed_domain"] = lambda s, d: C.conformed_dummy(FX.products_dummy(s, d), _clean(s, d))
+
+    def domain(s, d):
+        clean = _clean(s, d)
+        return C.domain_check(clean, C.conformed_dummy(FX.products_dummy(s, d), clean))
+
+    q["domain_check"] = domain
+
+    # trust outputs
+    q["m_values"] = lambda s, d: T.m_values(_clean(s, d))
+    q["m_values_approx"] = lambda s, d: T.m_values_approx(_clean(s, d))
+    q["m_extremes"] = lambda s, d: T.m_extremes(_clean(s, d))
+    q["trust_summary"] = lambda s, d: T.trust_summary(_detail(s, d))
+    q["trust_summary_t80"] = lambda s, d: T.trust_summary(_detail(s, d, THRESHOLD_COARSE))
+    q["m_choice_compare"] = lambda s, d: T.m_choice_compare(_clean(s, d))
+
+    # purchase guide
+    def scored(s, d):
+        clean = _clean(s, d)
+        return G.score_candidates(FX.candidates(clean), T.category_params(clean))
+
+    def compared(s, d):
+        clean = _clean(s, d)
+        cands = FX.candidates(clean)
+        return G.compare_pairs(FX.pairs(cands), cands, T.category_params(clean))
+
+    q["score_candidates"] = scored
+    q["compare_pairs"] = compared
+
+    # profiles
+    q["kpis"] = lambda s, d: P.kpis(_clean(s, d))
+    q["kpis_approx"] = lambda s, d: P.kpis_approx(_clean(s, d))
+    q["review_quintile"] = lambda s, d: P.review_quintile(_clean(s, d)).select(
+        "product_id", "rating_count", "review_rank", "quintile", "review_count_group"
+    )
+    q["quintile_summary"] = lambda s, d: P.quintile_summary(_clean(s, d))
+    q["extremes_compare"] = lambda s, d: P.extremes_compare(_clean(s, d))
+    q["category_profile"] = lambda s, d: P.category_profile(_clean(s, d))
+    q["histogram15"] = lambda s, d: P.histogram15(_clean(s, d))
+    q["box_stats_quintile"] = lambda s, d: P.box_stats_quintile(_clean(s, d))
+    q["box_stats_category"] = lambda s, d: P.box_stats_category(_clean(s, d))
+    q["box_stats_extremes"] = lambda s, d: P.box_stats_extremes(_clean(s, d))
+    q["funnel_grid"] = lambda s, d: P.funnel_grid(_clean(s, d))
+    q["preview_sample"] = lambda s, d: P.preview_sample(T.trust_rating(_clean(s, d)))
     return q
 
 
@@ -70,4 +162,191 @@ def build_oracle() -> dict[str, str]:
     o["trust_detail"] = O.with_ctes(c15, "SELECT * FROM detail")
     o["rank_movers_top50"] = O.with_ctes(c15, RANK_SELECT)
     o["rank_movers_top50_t80"] = O.with_ctes(c80, RANK_SELECT)
+
+    money = "TRY_CAST(replace(replace({c}, '₹', ''), ',', '') AS DOUBLE)"
+    o["parse_money"] = O.with_ctes(
+        c15,
+        f"""SELECT ordinal, actual_price AS actual_price_text, {money.format(c="actual_price")} AS actual_price,
+       discounted_price AS discounted_price_text, {money.format(c="discounted_price")} AS discounted_price
+FROM raw""",
+    )
+    o["parse_percent"] = O.with_ctes(
+        c15,
+        """SELECT ordinal, discount_percentage AS discount_percentage_text,
+       TRY_CAST(replace(discount_percentage, '%', '') AS DOUBLE) AS discount_percentage FROM raw""",
+    )
+    o["parse_count"] = O.with_ctes(
+        c15,
+        """SELECT ordinal, rating_count AS rating_count_text,
+       TRY_CAST(replace(rating_count, ',', '') AS DOUBLE) AS rating_count FROM raw""",
+    )
+    o["parse_numeric"] = O.with_ctes(
+        c15, "SELECT ordinal, rating AS rating_text, TRY_CAST(rating AS DOUBLE) AS rating FROM raw"
+    )
+    o["category_level"] = O.with_ctes(
+        c15, "SELECT ordinal, category, trim(string_split(category, '|')[2]) AS second_category FROM raw"
+    )
+    o["dedup_first"] = O.with_ctes(c15, "SELECT product_id, ordinal FROM firsts")
+    o["bucket_rare"] = O.with_ctes(
+        c15,
+        """SELECT l.product_id, l.second_category, coalesce(m.major, 'Other') AS main_category
+FROM leveled l LEFT JOIN majors m ON l.second_category = m.major""",
+    )
+    o["review_length"] = O.with_ctes(c15, "SELECT product_id, review_length FROM clean")
+    o["category_counts"] = O.with_ctes(
+        c15, "SELECT main_category, count(*) AS product_count FROM clean GROUP BY main_category"
+    )
+    dm = {**c15, **O.dummy_ctes()}
+    o["align_schema"] = O.with_ctes(dm, "SELECT * FROM aligned")
+    o["allowed_categories"] = O.with_ctes(dm, "SELECT * FROM allowed")
+    o["conform_domain"] = O.with_ctes(dm, "SELECT product_id, main_category FROM conformed")
+    o["seed_domain"] = O.with_ctes(dm, "SELECT * FROM seeded")
+    o["domain_check"] = O.with_ctes(
+        dm,
+        """SELECT main_category, in_real, in_other, true AS schema_match,
+       (sum(CASE WHEN in_real <> in_other THEN 1 ELSE 0 END) OVER () = 0) AS category_match
+FROM (SELECT coalesce(a.main_category, b.main_category) AS main_category,
+             a.main_category IS NOT NULL AS in_real, b.main_category IS NOT NULL AS in_other
+      FROM (SELECT DISTINCT main_category FROM clean) a
+      FULL OUTER JOIN (SELECT DISTINCT main_category FROM seeded) b
+      ON a.main_category = b.main_category)""",
+    )
+
+    o["m_values"] = O.with_ctes(c15, "SELECT main_category, m_value, product_count FROM params")
+    ext = """
+(SELECT 'highest' AS which, main_category, m_value FROM params ORDER BY m_value DESC, main_category LIMIT 1)
+UNION ALL
+(SELECT 'lowest' AS which, main_category, m_value FROM params ORDER BY m_value ASC, main_category LIMIT 1)"""
+    o["m_extremes"] = O.with_ctes(c15, ext)
+    summary = f"""
+SELECT count(*) AS total_products,
+       count(*) - count(*) FILTER (WHERE is_suspicious) AS reliable_products,
+       count(*) FILTER (WHERE is_suspicious) AS suspicious_products,
+       round_even(CAST(count(*) FILTER (WHERE is_suspicious) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100.0, 2)
+           AS suspicious_pct,
+       round_even({O.exact_mean_sql("rating")}, 4) AS mean_rating,
+       round_even({O.exact_mean_sql("bayesian_rating")}, 4) AS mean_bayesian_rating,
+       round_even({O.exact_mean_sql("rating_gap")}, 4) AS mean_rating_gap
+FROM detail"""
+    o["trust_summary"] = O.with_ctes(c15, summary)
+    o["trust_summary_t80"] = O.with_ctes(c80, summary)
+    o["m_choice_compare"] = O.with_ctes(
+        c15,
+        """
+SELECT c.main_category, count(*) AS product_count, max(md.median_m) AS median_m, max(p.m_value) AS q1_m,
+       count(*) FILTER (WHERE c.rating_count < md.median_m) AS suspect_median,
+       round_even(CAST(count(*) FILTER (WHERE c.rating_count < md.median_m) AS DOUBLE)
+                  / CAST(count(*) AS DOUBLE) * 100.0, 1) AS pct_median,
+       count(*) FILTER (WHERE c.rating_count < p.m_value) AS suspect_q1,
+       round_even(CAST(count(*) FILTER (WHERE c.rating_count < p.m_value) AS DOUBLE)
+                  / CAST(count(*) AS DOUBLE) * 100.0, 1) AS pct_q1
+FROM clean c
+JOIN params p ON c.main_category = p.main_category
+JOIN (SELECT main_category, round_even(quantile_cont(rating_count, 0.5), 9) AS median_m
+      FROM clean GROUP BY main_category) md ON c.main_category = md.main_category
+GROUP BY c.main_category""",
+    )
+
+    gd = {**c15, **O.guide_ctes()}
+    o["score_candidates"] = O.with_ctes(
+        gd,
+        """SELECT candidate_id, category, rating, review_count, m_value, category_mean,
+       corrected_rating, decline, level, message FROM scoredm""",
+    )
+    o["compare_pairs"] = O.with_ctes(
+        gd,
+        """
+SELECT pr.pair_id, pr.a_id, pr.b_id, a.category AS a_category, b.category AS b_category,
+       a.corrected_rating AS a_corrected_rating, b.corrected_rating AS b_corrected_rating,
+       a.decline AS a_decline, b.decline AS b_decline, a.level AS a_level, b.level AS b_level,
+       CASE WHEN a.corrected_rating > b.corrected_rating THEN 'A'
+            WHEN b.corrected_rating > a.corrected_rating THEN 'B' END AS winner
+FROM pairs pr JOIN scored a ON pr.a_id = a.candidate_id JOIN scored b ON pr.b_id = b.candidate_id""",
+    )
+
+    o["kpis"] = O.with_ctes(
+        c15,
+        f"""SELECT count(DISTINCT product_id) AS distinct_products,
+       count(DISTINCT main_category) AS distinct_categories,
+       round_even({O.exact_mean_sql("rating")}, 4) AS mean_rating,
+       round_even({O.exact_mean_sql("rating_count", 2)}, 4) AS mean_review_count
+FROM clean""",
+    )
+    qc = {**c15, **O.quintile_ctes()}
+    o["review_quintile"] = O.with_ctes(
+        qc, "SELECT product_id, rating_count, review_rank, quintile, review_count_group FROM rq"
+    )
+    o["quintile_summary"] = O.with_ctes(
+        qc,
+        f"""SELECT quintile, review_count_group, count(*) AS product_count,
+       round_even({O.exact_mean_sql("rating")}, 4) AS rating_mean,
+       round_even(stddev_samp(rating), 6) AS rating_std,
+       min(rating) AS rating_min, max(rating) AS rating_max,
+       round_even(quantile_cont(rating, 0.5), 9) AS rating_median
+FROM rq GROUP BY quintile, review_count_group""",
+    )
+    xc = {**c15, **O.extremes_ctes()}
+    o["extremes_compare"] = O.with_ctes(
+        xc,
+        f"""SELECT extreme_group, max(threshold) AS threshold, count(*) AS product_count,
+       round_even(stddev_samp(rating), 6) AS rating_std,
+       round_even({O.exact_mean_sql("rating")}, 4) AS rating_mean
+FROM xg GROUP BY extreme_group""",
+    )
+    o["category_profile"] = O.with_ctes(
+        c15,
+        f"""
+SELECT a.*, p.m_value AS q1_m, md.median_m FROM
+ (SELECT main_category, count(*) AS product_count,
+         round_even({O.exact_mean_sql("rating_count", 2)}, 4) AS mean_review_count,
+         round_even({O.exact_mean_sql("rating")}, 4) AS mean_rating
+  FROM clean GROUP BY main_category) a
+LEFT JOIN params p ON a.main_category = p.main_category
+LEFT JOIN (SELECT main_category, round_even(quantile_cont(rating_count, 0.5), 9) AS median_m
+           FROM clean GROUP BY main_category) md ON a.main_category = md.main_category""",
+    )
+    hist = {
+        "hx": "SELECT main_category, round_even(log10(rating_count + 1), 9) AS lx FROM clean",
+        "hr0": "SELECT main_category, min(lx) AS mn, max(lx) AS mx FROM hx GROUP BY main_category",
+        "hr": """SELECT main_category, CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo,
+                 CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi FROM hr0""",
+        "hb0": """SELECT x.main_category, x.lx, r.lo, r.hi, (r.hi - r.lo) / 15.0 AS step,
+                  least(CAST(floor((x.lx - r.lo) * (15.0 / (r.hi - r.lo))) AS INTEGER), 14) AS b
+                  FROM hx x JOIN hr r ON x.main_category = r.main_category""",
+        "hb1": """SELECT *, CASE WHEN lx < (CASE WHEN b >= 15 THEN hi ELSE CAST(b AS DOUBLE) * step + lo END)
+                  THEN b - 1 ELSE b END AS b1 FROM hb0""",
+        "hb2": """SELECT *, CASE WHEN lx >= (CASE WHEN b1 + 1 >= 15 THEN hi ELSE CAST(b1 + 1 AS DOUBLE) * step + lo END)
+                  AND b1 <> 14 THEN b1 + 1 ELSE b1 END AS bin FROM hb1""",
+        "hc": "SELECT main_category, bin, count(*) AS n FROM hb2 GROUP BY main_category, bin",
+    }
+    o["histogram15"] = O.with_ctes(
+        {**c15, **hist},
+        """
+SELECT r.main_category, CAST(g.bin AS INTEGER) AS bin,
+       CAST(g.bin AS DOUBLE) * ((r.hi - r.lo) / 15.0) + r.lo AS bin_lo,
+       CASE WHEN g.bin = 14 THEN r.hi ELSE CAST(g.bin + 1 AS DOUBLE) * ((r.hi - r.lo) / 15.0) + r.lo END AS bin_hi,
+       coalesce(c.n, 0) AS product_count
+FROM hr r CROSS JOIN range(0, 15) g(bin)
+LEFT JOIN hc c ON c.main_category = r.main_category AND c.bin = g.bin""",
+    )
+    bq_ctes, bq_final = O.box_sql("rq", ["quintile", "review_count_group"], "rating")
+    o["box_stats_quintile"] = O.with_ctes({**qc, **bq_ctes}, bq_final)
+    bc_ctes, bc_final = O.box_sql("hx", ["main_category"], "lx")
+    o["box_stats_category"] = O.with_ctes(
+        {**c15, **hist, **bc_ctes}, bc_final.replace("AS lx", "AS log_review_count")
+    )
+    be_ctes, be_final = O.box_sql("xg", ["extreme_group"], "rating")
+    o["box_stats_extremes"] = O.with_ctes({**xc, **be_ctes}, be_final)
+    o["funnel_grid"] = O.with_ctes(
+        c15,
+        """SELECT main_category, CAST(floor(lx * 4) AS INTEGER) AS log_count_bin,
+       CAST(round_even(rating * 10.0, 0) AS INTEGER) AS rating_tenths, count(*) AS product_count
+FROM (SELECT main_category, rating, round_even(log10(rating_count + 1), 9) AS lx FROM clean)
+GROUP BY 1, 2, 3""",
+    )
+    o["preview_sample"] = O.with_ctes(
+        c15,
+        """SELECT product_id, product_name, main_category, rating, rating_count, bayesian_rating
+FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
+    )
     return o
