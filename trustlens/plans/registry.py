@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import clean as C
+from ..operators import explain as X
+from ..operators import features as FE
+from ..operators import model as M
 from ..operators import guide as G
 from ..operators import profile as P
 from ..operators import trust as T
 from ..sources import fixtures as FX
 from . import oracle as O
+from . import pipeline as PL
 
 # Thresholds used by the registered queries: the reference's 15 and a second,
 # coarser 80 that leaves a large ``Other`` group (see FIXTURES.md).
@@ -138,6 +142,111 @@ def build_queries() -> dict[str, QueryFn]:
     q["box_stats_extremes"] = lambda s, d: P.box_stats_extremes(_clean(s, d))
     q["funnel_grid"] = lambda s, d: P.funnel_grid(_clean(s, d))
     q["preview_sample"] = lambda s, d: P.preview_sample(T.trust_rating(_clean(s, d)))
+
+    # features
+    q["skew_report"] = lambda s, d: FE.skew_report(_clean(s, d))
+
+    def logged_long(s, d):
+        clean = _clean(s, d)
+        logged = FE.log_features(clean)
+        cols = [c for c in logged.columns if c.startswith("log_")]
+        return FE.to_long(logged, ["product_id"], cols)
+
+    q["log_features"] = logged_long
+
+    def missing(s, d):
+        mi = PL.model_inputs(s, d)
+        return FE.missing_report(mi.features, mi.numeric + [FE.CATEGORICAL])
+
+    q["missing_report"] = missing
+
+    def feats_long(s, d):
+        mi = PL.model_inputs(s, d)
+        return FE.to_long(mi.features, ["product_id", FE.CATEGORICAL], mi.numeric)
+
+    q["feature_table"] = feats_long
+
+    def ready_long(s, d):
+        mi = PL.model_inputs(s, d)
+        return FE.to_long(mi.ready, ["product_id", FE.CATEGORICAL, FE.TARGET], mi.numeric)
+
+    q["model_ready"] = ready_long
+
+    def audit(s, d):
+        mi = PL.model_inputs(s, d)
+        return FE.join_audit(mi.features, mi.trust)
+
+    q["join_audit"] = audit
+    q["split_assign"] = lambda s, d: PL.model_inputs(s, d).split.select("product_id", "split")
+    q["evaluate_baseline"] = lambda s, d: M.evaluate(M.baseline_predictions(PL.model_inputs(s, d).split))
+
+    # models (Spark ML; rows-only checks)
+    def fitted(name):
+        def run(s, d):
+            mi = PL.model_inputs(s, d)
+            return M.predictions(name, mi.split, mi.numeric, cache_key=f"{d}|{THRESHOLD}")
+
+        return run
+
+    q["fit_linear"] = fitted("Linear Regression")
+    q["fit_forest"] = fitted("Random Forest")
+    q["fit_boosted"] = fitted("Gradient Boosting")
+
+    def compare(s, d):
+        mi = PL.model_inputs(s, d)
+        return M.compare_models(mi.split, mi.numeric, cache_key=f"{d}|{THRESHOLD}")
+
+    q["compare_models"] = compare
+    q["best_model"] = lambda s, d: M.best_model(compare(s, d))
+
+    def linear_shap(s, d):
+        mi = PL.model_inputs(s, d)
+        train = mi.split.where("split = 'train'")
+        model = M.fit_model("Linear Regression", train, mi.numeric, f"{d}|{THRESHOLD}")
+        return X.shap_linear(model, mi.ready, train, mi.numeric), model, mi
+
+    q["shap_linear"] = lambda s, d: linear_shap(s, d)[0]
+
+    def sampled(name, n_perm, n_bg):
+        def run(s, d):
+            mi = PL.model_inputs(s, d)
+            train = mi.split.where("split = 'train'")
+            model = M.fit_model(name, train, mi.numeric, f"{d}|{THRESHOLD}")
+            return X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=n_perm, n_background=n_bg)
+
+        return run
+
+    q["shap_sampled"] = sampled("Linear Regression", 4, 4)
+    q["shap_sampled_forest"] = sampled("Random Forest", 2, 2)
+
+    def feature_names(s, d):
+        _, model, mi = linear_shap(s, d)
+        return X.feature_names_df(s, X.feature_names(model, mi.numeric))
+
+    q["feature_names"] = feature_names
+    q["shap_importance"] = lambda s, d: X.shap_importance(linear_shap(s, d)[0])
+    q["top_features"] = lambda s, d: X.top_features(X.shap_importance(linear_shap(s, d)[0]))
+
+    def wide(s, d):
+        sl, model, mi = linear_shap(s, d)
+        return X.shap_wide(sl, X.feature_names(model, mi.numeric))
+
+    q["shap_wide"] = wide
+    q["top_contributions"] = lambda s, d: X.top_contributions(linear_shap(s, d)[0])
+    q["shap_dependence"] = lambda s, d: X.shap_dependence(linear_shap(s, d)[0])
+
+    def labelled(s, d):
+        sl, model, mi = linear_shap(s, d)
+        return X.label_features(X.shap_importance(sl), X.default_labels(s, X.feature_names(model, mi.numeric)))
+
+    q["label_features"] = labelled
+
+    def explained(s, d):
+        sl, model, mi = linear_shap(s, d)
+        return X.product_explain(mi.trust, sl)
+
+    q["product_explain"] = explained
+    q["product_labels"] = lambda s, d: X.product_labels(_clean(s, d))
     return q
 
 
@@ -349,4 +458,75 @@ GROUP BY 1, 2, 3""",
         """SELECT product_id, product_name, main_category, rating, rating_count, bayesian_rating
 FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
     )
+    _features_oracle(o, c15)
     return o
+
+
+CANDIDATES = ["discounted_price", "actual_price", "discount_percentage", "rating_count", "review_length"]
+SPLIT_CUT = int(0.2 * (1 << 32))
+
+
+def _features_oracle(o: dict[str, str], c15: dict[str, str]) -> None:
+    sk = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS n, skewness({c}) AS s FROM clean" for c in CANDIDATES
+    )
+    ft = "\nUNION ALL\n".join(
+        f"""SELECT product_id, main_category,
+       CASE WHEN (SELECT need_log FROM skd WHERE column_name = '{c}') THEN 'log_{c}' ELSE '{c}' END AS feature,
+       CASE WHEN (SELECT need_log FROM skd WHERE column_name = '{c}') THEN round_even(ln(1 + {c}), 9)
+            ELSE CAST({c} AS DOUBLE) END AS value
+FROM clean"""
+        for c in CANDIDATES
+    )
+    split = f"""CASE WHEN CAST(('0x' || substr(md5('42|' || product_id), 1, 8)) AS BIGINT) < {SPLIT_CUT}
+                     THEN 'test' ELSE 'train' END"""
+    fc = {
+        **c15,
+        "sk": sk,
+        "skd": "SELECT *, coalesce(abs(s) > 1.0, false) AS need_log FROM sk",
+        "ft": ft,
+        "ready": """SELECT f.*, d.bayesian_rating FROM ft f JOIN detail d ON f.product_id = d.product_id
+                    WHERE f.value IS NOT NULL AND f.main_category IS NOT NULL AND d.bayesian_rating IS NOT NULL""",
+        "sp": f"SELECT product_id, main_category, bayesian_rating, {split} AS split FROM detail",
+        "tr": "SELECT * FROM sp WHERE split = 'train'",
+        "te": "SELECT * FROM sp WHERE split = 'test'",
+        "cm": f"SELECT main_category, {O.exact_mean_sql('bayesian_rating')} AS cat_mean FROM tr GROUP BY main_category",
+        "om": f"SELECT {O.exact_mean_sql('bayesian_rating')} AS all_mean FROM tr",
+        "pr": """SELECT te.bayesian_rating AS y, coalesce(cm.cat_mean, om.all_mean) AS p
+                 FROM te LEFT JOIN cm ON te.main_category = cm.main_category CROSS JOIN om""",
+    }
+    o["skew_report"] = O.with_ctes(
+        fc, "SELECT column_name, n, round_even(s, 6) AS skew, need_log FROM skd"
+    )
+    o["log_features"] = O.with_ctes(
+        fc, "SELECT product_id, feature, value FROM ft WHERE starts_with(feature, 'log_')"
+    )
+    o["missing_report"] = O.with_ctes(
+        fc,
+        """SELECT feature AS column_name, count(*) FILTER (WHERE value IS NULL) AS null_count FROM ft GROUP BY feature
+UNION ALL SELECT 'main_category', count(*) FILTER (WHERE main_category IS NULL) FROM clean""",
+    )
+    o["feature_table"] = O.with_ctes(fc, "SELECT * FROM ft")
+    o["model_ready"] = O.with_ctes(fc, "SELECT product_id, main_category, bayesian_rating, feature, value FROM ready")
+    o["join_audit"] = O.with_ctes(
+        fc,
+        """SELECT (SELECT count(*) FROM clean) AS feature_rows, (SELECT count(*) FROM detail) AS target_rows,
+       (SELECT count(*) FROM clean c JOIN detail d ON c.product_id = d.product_id) AS merged_rows,
+       (SELECT count(*) FROM clean) - (SELECT count(*) FROM clean c JOIN detail d ON c.product_id = d.product_id)
+           AS rows_lost,
+       (SELECT count(*) FROM clean c JOIN detail d ON c.product_id = d.product_id WHERE d.bayesian_rating IS NULL)
+           AS null_targets""",
+    )
+    o["split_assign"] = O.with_ctes(fc, f"SELECT product_id, {split} AS split FROM clean")
+    o["evaluate_baseline"] = O.with_ctes(
+        fc,
+        """SELECT round_even(sqrt(sum((y - p) * (y - p)) / count(*)), 4) AS rmse,
+       round_even(avg(abs(y - p)), 4) AS mae,
+       round_even(1.0 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 4) AS r2 FROM pr""",
+    )
+    o["product_labels"] = O.with_ctes(
+        c15,
+        """SELECT product_id, product_id || ' | ' || product_name AS option_label,
+       CASE WHEN length(product_name) > 30 THEN substr(product_name, 1, 30) || '...' ELSE product_name END
+           AS short_title FROM clean""",
+    )

@@ -37,6 +37,10 @@ def get_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the executor; on a cluster memory is
+        # set by spark-submit instead
+        conf["spark.driver.memory"] = "12g"
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra_conf:
