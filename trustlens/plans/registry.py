@@ -21,7 +21,9 @@ from ..operators import profile as P
 from ..operators import trust as T
 from ..sources import fixtures as FX
 from . import oracle as O
+from ..sources import io as IO
 from . import pipeline as PL
+from .session import scratch_dir
 
 # Thresholds used by the registered queries: the reference's 15 and a second,
 # coarser 80 that leaves a large ``Other`` group (see FIXTURES.md).
@@ -247,6 +249,56 @@ def build_queries() -> dict[str, QueryFn]:
 
     q["product_explain"] = explained
     q["product_labels"] = lambda s, d: X.product_labels(_clean(s, d))
+
+    # sources and sinks (round trips through the shared scratch folder)
+    def listings_roundtrip(s, d):
+        path = IO.write_csv(FX.products_raw(s, d), scratch_dir(s, "listings_csv"))
+        return IO.read_listings(s, path).select(*FX.RAW_COLUMNS)
+
+    q["read_listings"] = listings_roundtrip
+
+    def table_roundtrip(s, d):
+        path = IO.write_table(T.trust_rating(_clean(s, d)), scratch_dir(s, "products_trust"))
+        return IO.read_table(s, path)
+
+    q["write_table"] = table_roundtrip
+
+    def gold(s, d):
+        clean = _clean(s, d).persist()
+        params = T.category_params(clean)
+        paths = IO.materialize(
+            {"products_clean": clean, "category_params": params, "products_trust": T.trust_rating(clean, params)},
+            scratch_dir(s, "gold"),
+        )
+        parts = [
+            IO.read_table(s, path).agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
+            for name, path in paths.items()
+        ]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out.select("table_name", "row_count")
+
+    q["materialize_gold"] = gold
+
+    def metrics_roundtrip(s, d):
+        m = M.evaluate(M.baseline_predictions(PL.model_inputs(s, d).split)).select(
+            F.lit("Category Mean Baseline").alias("model"), "rmse", "mae", "r2"
+        )
+        path = IO.write_metrics_json(m, scratch_dir(s, "metrics_json"))
+        return IO.read_metrics(s, path)
+
+    q["read_metrics"] = metrics_roundtrip
+
+    def model_roundtrip(s, d):
+        mi = PL.model_inputs(s, d)
+        train = mi.split.where("split = 'train'")
+        test = mi.split.where("split = 'test'")
+        model = M.fit_model("Linear Regression", train, mi.numeric, f"{d}|{THRESHOLD}")
+        loaded = M.load_model(M.save_model(model, scratch_dir(s, "linear_model")))
+        return loaded.transform(test).select("product_id", FE.TARGET, "prediction")
+
+    q["save_model"] = model_roundtrip
     return q
 
 
@@ -459,6 +511,17 @@ GROUP BY 1, 2, 3""",
 FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
     )
     _features_oracle(o, c15)
+    o["read_listings"] = o["products_raw"]
+    o["write_table"] = o["trust_rating"]
+    o["materialize_gold"] = O.with_ctes(
+        c15,
+        """SELECT 'products_clean' AS table_name, count(*) AS row_count FROM clean
+UNION ALL SELECT 'category_params', count(*) FROM params
+UNION ALL SELECT 'products_trust', count(*) FROM trust""",
+    )
+    o["read_metrics"] = o["evaluate_baseline"].replace(
+        "SELECT round_even(sqrt(", "SELECT 'Category Mean Baseline' AS model, round_even(sqrt(", 1
+    )
     return o
 
 
