@@ -28,13 +28,21 @@ def lookup_join(
     small: DataFrame,
     on,
     how: str = "left",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Join ``big`` with a lookup table, broadcasting it only if proven small.
-
-    The lookup side is usually an aggregate that is reused by several
-    operators, so callers should pass a persisted or checkpointed frame.
+    """Join ``big`` with a lookup table (per-category parameters, domains).
+
+    Default: no hint.  The lookup side is an aggregate, so the planner
+    broadcasts it only when its size estimate (an upper bound: an aggregate
+    never outgrows its input) is under ``spark.sql.autoBroadcastJoinThreshold``,
+    and otherwise AQE re-plans the shuffle join into a broadcast join only if
+    the *materialized* lookup stage is under the adaptive threshold.  Either
+    way the broadcast is behind a size check and a shuffle join is the
+    fallback, and the lookup's upstream is computed once.
+
+    With ``max_broadcast_rows`` the caller asks for an explicit row-count
+    check instead (one extra job; use it for persisted lookup tables).
     """
-    if bounded_rows(small, max_broadcast_rows) is not None:
+    if max_broadcast_rows is not None and bounded_rows(small, max_broadcast_rows) is not None:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

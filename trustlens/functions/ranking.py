@@ -23,12 +23,14 @@ def global_row_number(
     order: list[Column],
     rank_col: str,
     num_partitions: int | None = None,
+    total_col: str | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` = 1-based position of each row in ``order``.
 
     ``order`` must be a total order (end it with a unique column) for the
     result to be deterministic, like pandas ``rank(method="first")`` over an
-    explicit row ordinal.
+    explicit row ordinal.  ``total_col`` adds the total row count (taken from
+    the same per-partition counts, no extra job).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -53,7 +55,10 @@ def global_row_number(
             ),
             F.lit(0),
         ),
-    ).select("_tl_part", "_tl_off")
+    )
+    if total_col:
+        offsets = offsets.withColumn(total_col, F.sum("_tl_n").over(Window.partitionBy()))
+    offsets = offsets.drop("_tl_n")
     joined = with_id.withColumn("_tl_part", part).join(F.broadcast(offsets), "_tl_part")
     return joined.withColumn(rank_col, (F.col("_tl_off") + local + F.lit(1)).cast("long")).drop(
         "_tl_mid", "_tl_part", "_tl_off"

@@ -251,7 +251,7 @@ def default_labels(spark, names: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, label string")
 
 
-def label_features(df: DataFrame, labels: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def label_features(df: DataFrame, labels: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
     """Attach a display label, falling back to the raw feature name."""
     j = lookup_join(df, labels, "feature", "left", max_broadcast_rows)
     return j.withColumn("label", F.coalesce(F.col("label"), F.col("feature")))

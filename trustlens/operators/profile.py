@@ -51,12 +51,15 @@ def kpis_approx(clean: DataFrame, rsd: float = 0.01) -> DataFrame:
 
 def review_quintile(clean: DataFrame) -> DataFrame:
     """Rank by review count (ties by row order) and its quintile group."""
-    n = clean.count()
-    ranked = global_row_number(clean, [F.asc("rating_count"), F.asc("ordinal")], "review_rank")
-    q = quintile_of_rank(F.col("review_rank"), F.lit(n))
+    ranked = global_row_number(
+        clean, [F.asc("rating_count"), F.asc("ordinal")], "review_rank", total_col="_tl_total"
+    )
+    q = quintile_of_rank(F.col("review_rank"), F.col("_tl_total"))
     labels = F.array(*[F.lit(x) for x in QUINTILE_LABELS])
-    return ranked.withColumn("quintile", q).withColumn(
-        "review_count_group", F.element_at(labels, F.col("quintile"))
+    return (
+        ranked.withColumn("quintile", q)
+        .withColumn("review_count_group", F.element_at(labels, F.col("quintile")))
+        .drop("_tl_total")
     )
 
 
@@ -122,7 +125,7 @@ def with_log_count(clean: DataFrame) -> DataFrame:
 
 
 def histogram15(
-    clean: DataFrame, bins: int = HIST_BINS, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    clean: DataFrame, bins: int = HIST_BINS, max_broadcast_rows: int | None = None
 ) -> DataFrame:
     """Per category, ``bins`` equal-width bins of log10(count + 1), empty bins
     included, the way the plotting library bins them."""

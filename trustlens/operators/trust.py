@@ -98,7 +98,7 @@ def m_extremes(clean: DataFrame) -> DataFrame:
 
 
 def join_params(
-    clean: DataFrame, params: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
+    clean: DataFrame, params: DataFrame, max_broadcast_rows: int | None = None
 ) -> DataFrame:
     p = params.select("main_category", "m_value", "category_mean_rating")
     return lookup_join(clean, p, "main_category", "left", max_broadcast_rows)
@@ -114,7 +114,7 @@ def gated_rating(v: str = "rating_count", r: str = "rating", m: str = "m_value",
 def trust_rating(
     clean: DataFrame,
     params: DataFrame | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """``products_trust``: the clean table plus ``bayesian_rating``."""
     base = clean.dropna(subset=["main_category", "rating", "rating_count"])
@@ -127,7 +127,7 @@ def trust_rating(
 def trust_detail(
     clean: DataFrame,
     params: DataFrame | None = None,
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Per product: parameters, suspicion flag, adjusted rating, gap, rule."""
     base = clean.dropna(subset=["main_category", "rating", "rating_count"])

@@ -23,7 +23,7 @@ class ModelInputs:
 
 
 def clean_table(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
-    return C.clean_products(FX.products_raw(spark, sf_dir), threshold)
+    return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold).persist()
 
 
 def model_inputs(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> ModelInputs:
@@ -32,7 +32,7 @@ def model_inputs(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MI
     The clean table feeds both branches, so it is persisted once (memory and
     disk; lost blocks are recomputed from lineage).
     """
-    clean = clean_table(spark, sf_dir, threshold).persist()
+    clean = clean_table(spark, sf_dir, threshold)
     trust = T.trust_rating(clean)
     logged = FE.log_features(clean)
     feats = FE.feature_table(logged)

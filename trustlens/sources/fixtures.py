@@ -103,6 +103,23 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STAGED: dict[tuple, str] = {}
+
+
+def staged_products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``products_raw`` written once per session to the shared scratch folder
+    and read back as parquet, the way the reference reads its raw listing
+    file: downstream queries scan a file instead of re-deriving it."""
+    from ..plans.session import scratch_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _STAGED:
+        path = scratch_dir(spark, "products_raw")
+        products_raw(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
+
+
 def products_dummy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second catalogue with only three columns and messy category labels."""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
