@@ -49,10 +49,18 @@ def kpis_approx(clean: DataFrame, rsd: float = 0.01) -> DataFrame:
     )
 
 
-def review_quintile(clean: DataFrame) -> DataFrame:
-    """Rank by review count (ties by row order) and its quintile group."""
+RANK_KEEP = ["product_id", "ordinal", "main_category", "rating", "rating_count"]
+
+
+def review_quintile(clean: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rank by review count (ties by row order) and its quintile group.
+
+    Only ``keep`` columns go through the range shuffle and the checkpoint
+    (never the review text).
+    """
+    cols = keep or RANK_KEEP
     ranked = global_row_number(
-        clean, [F.asc("rating_count"), F.asc("ordinal")], "review_rank", total_col="_tl_total"
+        clean.select(*cols), [F.asc("rating_count"), F.asc("ordinal")], "review_rank", total_col="_tl_total"
     )
     q = quintile_of_rank(F.col("review_rank"), F.col("_tl_total"))
     labels = F.array(*[F.lit(x) for x in QUINTILE_LABELS])
