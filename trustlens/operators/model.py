@@ -76,16 +76,30 @@ def build_pipeline(name: str, numeric: list[str], categorical: str = CATEGORICAL
 
 _FITTED: dict[tuple, PipelineModel] = {}
 
+# Tree learners make one pass over the training data per tree level and per
+# boosting round; each pass pays per-task overhead, so the training table is
+# given one partition per this many rows (thousands of partitions at 100 TB,
+# one on a small sample).
+ROWS_PER_TRAIN_PARTITION = 500_000
+
+
+def sized_for_training(train: DataFrame, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> DataFrame:
+    n = train.count()
+    parts = max(1, -(-n // rows_per_partition))
+    # read once per tree level / boosting round: keep it cached (lost blocks
+    # are recomputed from lineage)
+    return train.repartition(parts).persist()
+
 
 def fit_model(name: str, train: DataFrame, numeric: list[str], cache_key: str | None = None) -> PipelineModel:
     """Fit the pipeline; with ``cache_key``, reuse a model already fitted in
     this session on the same input (the reference pickles the fitted model
     once and reloads it for explanation)."""
     if cache_key is None:
-        return build_pipeline(name, numeric).fit(train)
+        return build_pipeline(name, numeric).fit(sized_for_training(train))
     key = (id(train.sparkSession), cache_key, name, tuple(numeric))
     if key not in _FITTED:
-        _FITTED[key] = build_pipeline(name, numeric).fit(train)
+        _FITTED[key] = build_pipeline(name, numeric).fit(sized_for_training(train))
     return _FITTED[key]
 
 
