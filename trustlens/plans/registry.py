@@ -589,6 +589,18 @@ UNION ALL SELECT 'main_category', count(*) FILTER (WHERE main_category IS NULL)
        round_even(avg(abs(y - p)), 4) AS mae,
        round_even(1.0 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 4) AS r2 FROM pr""",
     )
+    idx = ", ".join(f"({i}, '{c}')" for i, c in enumerate(CANDIDATES))
+    o["feature_names"] = O.with_ctes(
+        fc,
+        f"""
+SELECT CAST(v.i AS INTEGER) AS feature_index,
+       'num__' || CASE WHEN k.need_log THEN 'log_' || v.c ELSE v.c END AS feature
+FROM (VALUES {idx}) v(i, c) JOIN skd k ON k.column_name = v.c
+UNION ALL
+SELECT CAST({len(CANDIDATES) - 1} + row_number() OVER (ORDER BY main_category) AS INTEGER),
+       'cat__main_category_' || main_category
+FROM (SELECT DISTINCT main_category FROM tr)""",
+    )
     o["product_labels"] = O.with_ctes(
         c15,
         """SELECT product_id, product_id || ' | ' || product_name AS option_label,
