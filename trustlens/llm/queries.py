@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup
+from . import neardup, substring
 from .storage import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.drop_repeated_windows(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,6 +25,17 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the words of a text, a list of strings (SPACE is [\x20\x09-\x0D])
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+ORACLE_SUBSTRING = rf"""
+with w as (select row_number() over () as rid, doc_id, {WORDS.format("coalesce(text, '')")} as w from documents),
+win as (select rid, i, array_to_string(w[i:i + 34], ' ') as s from (select rid, w, unnest(range(1, len(w) - 33)) as i from w)),
+rep as (select rid, i from (select rid, i, count(*) over (partition by s) as n from win) where n > 1),
+cov as (select distinct rid, unnest(range(i, i + 35)) as p from rep),
+pos as (select rid, unnest(w) as x, unnest(range(1, len(w) + 1)) as p from w),
+kept as (select rid, string_agg(x, ' ' order by p) as t, count(*) as n from pos anti join cov using (rid, p) group by 1)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from w left join kept using (rid)
+"""
+
 ORACLE_NEARDUP = rf"""
 with recursive w as (
   select doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
@@ -41,11 +56,13 @@ from w left join n using (doc_id) join c on c.a = w.doc_id
 
 def build_queries() -> dict[str, QueryFn]:
     return {
+        "op2_substring_dedup": op2_substring_dedup,
         "op9_minhash_neardup": op9_minhash_neardup,
     }
 
 
 def build_oracle() -> dict[str, str]:
     return {
+        "op2_substring_dedup": ORACLE_SUBSTRING,
         "op9_minhash_neardup": ORACLE_NEARDUP,
     }
