@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, substring
+from . import neardup, substring, tokenfile, topk
+from ..plans.session import scratch_dir
 from .storage import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.drop_repeated_windows(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark, "token-shards")
+    tokenfile.write_token_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_token_shards(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +49,18 @@ select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n
 from w left join kept using (rid)
 """
 
+ORACLE_TOPK = """
+with e as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint as score
+  from (select distinct vec_id, v from e where vec_id % 50 = 0) q join e c on c.vec_id <> q.vec_id and len(c.v) = len(q.v)),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
+select * from r where rank <= 5
+"""
+
 ORACLE_NEARDUP = rf"""
 with recursive w as (
   select doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
@@ -57,6 +82,8 @@ from w left join n using (doc_id) join c on c.a = w.doc_id
 def build_queries() -> dict[str, QueryFn]:
     return {
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_token_ids": op3_token_ids,
+        "op7_topk_search": op7_topk_search,
         "op9_minhash_neardup": op9_minhash_neardup,
     }
 
@@ -64,5 +91,6 @@ def build_queries() -> dict[str, QueryFn]:
 def build_oracle() -> dict[str, str]:
     return {
         "op2_substring_dedup": ORACLE_SUBSTRING,
+        "op7_topk_search": ORACLE_TOPK,
         "op9_minhash_neardup": ORACLE_NEARDUP,
     }
