@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, substring, tokenfile, topk
+from . import neardup, substring, tokenfile, topk, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
@@ -29,6 +29,11 @@ def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.pages_through_warc(table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,17 @@ r as (select query_id, row_number() over (partition by query_id order by score d
 select * from r where rank <= 5
 """
 
+ORACLE_WARC = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages),
+f as (select payload_digest, min(page_id) as first_id from p where payload_bytes >= 100 group by 1 having count(*) > 1)
+select page_id, payload_bytes, payload_digest,
+  case when first_id is not null and page_id is distinct from first_id then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first_id then first_id end as refers_to
+from p left join f using (payload_digest)
+"""
+
 ORACLE_NEARDUP = rf"""
 with recursive w as (
   select doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
@@ -84,6 +100,7 @@ def build_queries() -> dict[str, QueryFn]:
         "op2_substring_dedup": op2_substring_dedup,
         "op3_token_ids": op3_token_ids,
         "op7_topk_search": op7_topk_search,
+        "op8_warc": op8_warc,
         "op9_minhash_neardup": op9_minhash_neardup,
     }
 
@@ -92,5 +109,6 @@ def build_oracle() -> dict[str, str]:
     return {
         "op2_substring_dedup": ORACLE_SUBSTRING,
         "op7_topk_search": ORACLE_TOPK,
+        "op8_warc": ORACLE_WARC,
         "op9_minhash_neardup": ORACLE_NEARDUP,
     }
