@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup, substring, tokenfile, topk, warc
+from . import mixing, neardup, substring, tokenfile, topk, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
@@ -25,6 +25,11 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_shards(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = mixing.mix_counts(table(spark, sf_dir, "documents"))
+    return counts.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -54,6 +59,22 @@ select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n
 from w left join kept using (rid)
 """
 
+ORACLE_MIXING = r"""
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents),
+s as (select source, sum(size)::bigint as source_size, ((row_number() over (order by encode(source) nulls last) - 1) % 3 + 1)::bigint as weight
+  from d group by 1),
+o as (select *, row_number() over (order by source_size / weight, source) as rn from s),
+c as (select *, (select sum(source_size) from s) - coalesce(sum(3 * source_size) over (order by rn rows between unbounded preceding and 1 preceding), 0) as rest,
+  sum(weight) over (order by rn rows between current row and unbounded following) as share from o),
+k as (select rn, rest, share from c where weight * rest <= 3 * source_size * share order by rn limit 1),
+t as (select o.source, o.source_size, case when k.rn is null or o.rn < k.rn then (3 * o.source_size)::double
+  else k.rest::double * o.weight::double / k.share::double end as target from o left join k on true),
+r as (select d.*, source_size, target, case when source_size > 0 then target / source_size else 0 end as rate,
+  ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / 4503599627370496.0::double as draw
+  from d join t on d.source is not distinct from t.source)
+select doc_id, size, source_size, target, ((floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end) * size)::bigint as taken from r
+"""
+
 ORACLE_TOPK = """
 with e as (
   select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
@@ -99,6 +120,7 @@ def build_queries() -> dict[str, QueryFn]:
     return {
         "op2_substring_dedup": op2_substring_dedup,
         "op3_token_ids": op3_token_ids,
+        "op6_mixing": op6_mixing,
         "op7_topk_search": op7_topk_search,
         "op8_warc": op8_warc,
         "op9_minhash_neardup": op9_minhash_neardup,
@@ -108,6 +130,7 @@ def build_queries() -> dict[str, QueryFn]:
 def build_oracle() -> dict[str, str]:
     return {
         "op2_substring_dedup": ORACLE_SUBSTRING,
+        "op6_mixing": ORACLE_MIXING,
         "op7_topk_search": ORACLE_TOPK,
         "op8_warc": ORACLE_WARC,
         "op9_minhash_neardup": ORACLE_NEARDUP,
