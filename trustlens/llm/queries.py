@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, neardup, substring, tokenfile, topk, warc
+from . import langid, mixing, neardup, substring, tokenfile, topk, toxicity, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify_languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.drop_repeated_windows(table(spark, sf_dir, "documents"), digest=True)
 
@@ -25,6 +30,10 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_shards(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = mixing.mix_counts(table(spark, sf_dir, "documents"))
     return counts.select("doc_id", "size", "source_size", "target", "taken")
@@ -118,8 +127,10 @@ from w left join n using (doc_id) join c on c.a = w.doc_id
 
 def build_queries() -> dict[str, QueryFn]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_token_ids": op3_token_ids,
+        "op5_toxicity": op5_toxicity,
         "op6_mixing": op6_mixing,
         "op7_topk_search": op7_topk_search,
         "op8_warc": op8_warc,

@@ -85,6 +85,11 @@ def scan(column: pa.Array, lower: bool = False) -> Words:
     data, off = text_bytes(column)
     if lower:
         data = data + ((data - np.uint8(65) < 26) * np.uint8(32))
+    return scan_bytes(data, off)
+
+
+def scan_bytes(data: np.ndarray, off: np.ndarray) -> Words:
+    """Words of the texts ``data[off[i]:off[i + 1]]``."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
     inside[1:-1] = (data != 32) & (data - np.uint8(9) > 4)
