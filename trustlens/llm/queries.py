@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, mixing, neardup, substring, tokenfile, topk, toxicity, warc
+from . import decontam, langid, linededup, mixing, neardup, substring, tokenfile, topk, toxicity, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
@@ -30,6 +31,10 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_shards(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -52,6 +57,10 @@ def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), digest=True)
+
+
 # --- DuckDB ------------------------------------------------------------------
 
 # the words of a text, a list of strings (SPACE is [\x20\x09-\x0D])
@@ -124,17 +133,35 @@ select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, w.doc_i
 from w left join n using (doc_id) join c on c.a = w.doc_id
 """
 
+ORACLE_LINES = r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+x as (select doc_id, unnest(l) as s, unnest(range(1, len(l) + 1)) as p from d),
+y as (select *, not regexp_full_match(s, '[\x20\x09-\x0D]*') as solid from x),
+n as (select doc_id, s, p, row_number() over (partition by doc_id order by p) as i from y where solid),
+w as (select doc_id, i, hash(s) as h0, s || chr(10) || lead(s) over o || chr(10) || lead(s, 2) over o as win from n
+  window o as (partition by doc_id order by i)),
+f as (select doc_id, i, row_number() over (partition by win order by doc_id, i) as k from w where win is not null),
+g as (select distinct doc_id, unnest([i, i + 1, i + 2]) as i from f where k > 1),
+z as (select y.doc_id, y.s, y.p, y.solid, g.i is not null as gone from y left join n using (doc_id, p) left join g on g.doc_id = n.doc_id and g.i = n.i)
+select doc_id, count(*) filter (solid)::bigint as n_lines, count(*) filter (gone)::bigint as n_removed,
+  sha256(coalesce(string_agg(s, chr(10) order by p) filter (not gone), '')) as kept_sha256
+from z group by 1
+"""
+
 
 def build_queries() -> dict[str, QueryFn]:
     return {
         "op1_language_id": op1_language_id,
         "op2_substring_dedup": op2_substring_dedup,
         "op3_token_ids": op3_token_ids,
+        "op4_decontamination": op4_decontamination,
         "op5_toxicity": op5_toxicity,
         "op6_mixing": op6_mixing,
         "op7_topk_search": op7_topk_search,
         "op8_warc": op8_warc,
         "op9_minhash_neardup": op9_minhash_neardup,
+        "op10_line_dedup": op10_line_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -145,4 +172,5 @@ def build_oracle() -> dict[str, str]:
         "op7_topk_search": ORACLE_TOPK,
         "op8_warc": ORACLE_WARC,
         "op9_minhash_neardup": ORACLE_NEARDUP,
+        "op10_line_dedup": ORACLE_LINES,
     }
