@@ -64,9 +64,13 @@ class _Cells:
         self.tiles = np.uint64(tiles)
 
     def cell(self, anchors: np.ndarray) -> np.ndarray:
-        """tile << 32 | counter of row one << 16 | counter of row two."""
-        tile = ((anchors >> np.uint64(32)) * self.tiles) >> np.uint64(32)
-        return (tile << np.uint64(32)) | (mix(anchors) & np.uint64(0xFFFFFFFF))
+        """tile << 32 | counter of row one << 16 | counter of row two.
+
+        Anchors are least values, all near zero, so they are scrambled first.
+        """
+        even = mix(anchors)
+        tile = ((even >> np.uint64(32)) * self.tiles) >> np.uint64(32)
+        return (tile << np.uint64(32)) | (even & np.uint64(0xFFFFFFFF))
 
     def owner(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.words.first, places, side="right") - 1
