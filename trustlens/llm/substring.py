@@ -15,8 +15,10 @@ it can grow with the corpus: 8,192 anchors are expected per tile of 2 x 65,536
 counters.
 
 Pass two reads a chunk of documents next to its answers, and only windows
-whose estimate is two or more go on, as 128-bit hashes, to be counted exactly.
-An estimate is never too low, so none is lost.
+whose estimate is two or more go on, as 127-bit hashes, to be grouped exactly;
+a chunk sends each once, sorted, and gets one bit for each back.  Pass three
+finds the same windows in the same order and cuts what the bits mark.  An
+estimate is never too low, so none is lost.
 """
 
 from __future__ import annotations
@@ -27,15 +29,16 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import slices
+from .storage import slices, staged
 from .textscan import RUN_A, RUN_B, mix, run_hashes, run_starts, scan, sliding
 
 WIDTH = 35
 ANCHOR = 8
 CHUNK_BYTES = 8 << 20  # text in one chunk of documents
+SHARD_BYTES = 8 << 20  # text whose windows are grouped in one shard of hashes
 TILE_BYTES = 6 * 14 * 8192  # text whose anchors are expected in one tile
 FLUSH = 1 << 20  # anchors a task holds before it sends its sketch
 
@@ -146,65 +149,107 @@ def _in_order(docs: pa.Table) -> pa.Table:
     return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")]) if docs.num_rows else docs
 
 
-_CANDIDATE = "a long, b long, chunk int, doc int, word int, times int"
+class _Candidates:
+    """Windows of a chunk whose anchors are estimated at two or more.
 
+    ``a`` and ``b`` are the two halves of each distinct window's hash in
+    ascending order, the lowest bit of ``b`` set if the chunk has the window
+    more than once; ``back`` leads from the places (doc, word) to them.  Both
+    passes over a chunk find the same candidates in the same order.
+    """
 
-def _candidates(width: int, tiles: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("chunk", pa.int32()), ("doc", pa.int32()), ("word", pa.int32()), ("times", pa.int32())])
-
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        if not docs.num_rows or not answers.num_rows:
-            return schema.empty_table()
-        docs = _in_order(docs)
+    def __init__(self, docs: pa.Table, answers: pa.Table, width: int, tiles: int):
         hot = np.sort(np.frombuffer(b"".join(answers.column("cells").to_pylist()), "<u8"))
         parts, base = [], 0
-        for b in slices(iter(docs.select(["text"]).combine_chunks().to_batches()), "text"):
+        for b in slices(iter(docs.select(["text"]).combine_chunks().to_batches()) if len(hot) else iter(()), "text"):
             found = _Cells(b.column("text"), width, tiles)
-            n_docs = b.num_rows
             if len(found.inside):
                 # estimate each anchor once, then carry it to its windows
-                unique, back = np.unique(found.anchors, return_inverse=True)
+                unique = np.unique(found.anchors)
                 cell = found.cell(unique)
                 at = np.minimum(np.searchsorted(hot, cell), len(hot) - 1)
                 keep = unique[hot[at] == cell]
                 if len(keep):
                     at = np.minimum(np.searchsorted(keep, found.least), len(keep) - 1)
                     start = np.flatnonzero(found.inside & (keep[at] == found.least))
-                    a, c = (run_hashes(found.hashes, width, m)[start].view(np.int64) for m in (RUN_A, RUN_B))
+                    a, c = (run_hashes(found.hashes, width, m)[start] for m in (RUN_A, RUN_B))
                     doc = found.owner(start)
                     parts.append((a, c, doc + base, start - found.words.first[doc]))
-            base += n_docs
-        if not parts:
-            return schema.empty_table()
-        a, c, doc, word = (np.concatenate(x) for x in zip(*parts))
-        # windows met again in this chunk are settled here: one of them goes
-        # out under its hash with a count, the rest under keys of their own
+            base += b.num_rows
+        empty = (np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        a, c, self.doc, self.word = (np.concatenate(x) for x in zip(empty, *parts))
         order = np.lexsort((c, a))
-        sa, sc = a[order], c[order]
+        a, c = a[order], c[order]
         new = np.ones(len(order), bool)
-        new[1:] = (sa[1:] != sa[:-1]) | (sc[1:] != sc[:-1])
+        new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
         times = np.diff(np.append(np.flatnonzero(new), len(order)))
-        count = np.repeat(np.minimum(times, 2), times).astype(np.int32)
-        again = ~new
-        chunk = int(docs.column("chunk")[0].as_py())
-        sdoc, sword = doc[order], word[order]
-        own = mix((np.uint64(chunk) << np.uint64(40)) ^ (sdoc[again].astype(np.uint64) << np.uint64(20)) ^ sword[again].astype(np.uint64))
-        sa, sc = sa.copy(), sc.copy()
-        sa[again], sc[again] = own.view(np.int64), mix(own + np.uint64(1)).view(np.int64)
+        self.back = np.empty(len(order), np.int64)
+        self.back[order] = np.cumsum(new) - 1
+        self.a = a[new]
+        self.b = (c[new] & ~np.uint64(1)) | (times > 1).astype(np.uint64)
+
+    def edges(self, shards: int) -> np.ndarray:
+        """Where each shard's range of ``a`` begins, and the end."""
+        limits = np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
+        return np.concatenate([[0], np.searchsorted(self.a, limits), [len(self.a)]]).astype(np.int64)
+
+
+def _windows(width: int, tiles: int, shards: int):
+    """Pass two: the candidates of a chunk, sixteen bytes each, by shard."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        found = _Candidates(_in_order(docs), answers, width, tiles)
+        edges = found.edges(shards)
+        shard = np.flatnonzero(np.diff(edges))
+        both = np.stack([found.a, found.b], axis=1).astype("<u8")
         return pa.table(
-            [pa.array(sa), pa.array(sc), pa.array(np.full(len(sa), chunk, np.int32)), pa.array(sdoc.astype(np.int32)), pa.array(sword.astype(np.int32)), pa.array(count)],
-            schema=schema,
+            {
+                "shard": pa.array(shard, pa.int64()),
+                "chunk": pa.array(np.full(len(shard), docs.column("chunk")[0].as_py() if docs.num_rows else 0), pa.int32()),
+                "windows": pa.array([both[edges[k] : edges[k + 1]].tobytes() for k in shard], pa.binary()),
+            }
         )
 
     return run
 
 
-def _cut(width: int):
-    def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
+def _exact(group: pa.Table) -> pa.Table:
+    """Group the windows of one shard by their whole hash; for each chunk, one
+    bit per window that it sent: does the window start anywhere else."""
+    sent = [np.frombuffer(x.as_py(), "<u8").reshape(-1, 2) for x in group.column("windows")]
+    both = np.concatenate(sent)
+    a, b = both[:, 0], both[:, 1] & ~np.uint64(1)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    again = np.empty(len(a), bool)
+    again[order] = np.diff(np.append(np.flatnonzero(new), len(a)))[np.cumsum(new) - 1] > 1
+    again |= (both[:, 1] & np.uint64(1)) > 0
+    ends = np.cumsum([len(x) for x in sent])
+    return pa.table(
+        {
+            "chunk": group.column("chunk"),
+            "shard": group.column("shard"),
+            "cells": pa.array([np.packbits(again[e - len(x) : e]).tobytes() for x, e in zip(sent, ends)], pa.binary()),
+        }
+    )
+
+
+def _cut(width: int, tiles: int, shards: int):
+    """Pass three: the candidates again, the bits that came back, the cut."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         docs = _in_order(docs)
-        doc, word = (marks.column(c).to_numpy() for c in ("doc", "word"))
-        order = np.argsort(doc, kind="stable")
-        doc, word = doc[order], word[order]
+        shard = answers.column("shard").to_numpy()
+        found = _Candidates(docs, answers.filter(pa.array(shard < 0)), width, tiles)
+        edges, again = found.edges(shards), np.zeros(len(found.a), bool)
+        for k, bits in zip(shard.tolist(), answers.column("cells")):
+            if k >= 0:
+                n = int(edges[k + 1] - edges[k])
+                again[edges[k] : edges[k + 1]] = np.unpackbits(np.frombuffer(bits.as_py(), np.uint8), count=n)
+        repeated = again[found.back]
+        doc, word = found.doc[repeated], found.word[repeated]
         edges = np.searchsorted(doc, np.arange(docs.num_rows + 1))
         n_words, n_removed, kept = [], [], []
         for i, text in enumerate(docs.column("text").cast(pa.binary())):
@@ -230,8 +275,8 @@ def _cut(width: int):
 
 
 def _digest(run):
-    def digest(docs: pa.Table, marks: pa.Table) -> pa.Table:
-        out = run(docs, marks)
+    def digest(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        out = run(docs, answers)
         sums = [hashlib.sha256(x.as_py()).hexdigest() for x in out.column("kept")]
         return out.drop_columns(["kept"]).append_column("kept_sha256", pa.array(sums, pa.string()))
 
@@ -239,8 +284,8 @@ def _digest(run):
 
 
 def _text(run):
-    def text(docs: pa.Table, marks: pa.Table) -> pa.Table:
-        out = run(docs, marks)
+    def text(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        out = run(docs, answers)
         return out.drop_columns(["kept"]).append_column("text", out.column("kept").cast(pa.string()))
 
     return text
@@ -261,15 +306,17 @@ def drop_repeated_windows(docs: DataFrame, width: int = WIDTH, digest: bool = Fa
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks, tiles = 1 + size // CHUNK_BYTES, 1 + size // TILE_BYTES
+    chunks, tiles, shards = 1 + size // CHUNK_BYTES, 1 + size // TILE_BYTES, 1 + size // SHARD_BYTES
     placed = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
     sketches = placed.select("chunk", "text").mapInArrow(_sketch(width, tiles), "tile long, cells binary, chunks binary")
-    answers = sketches.groupBy("tile").applyInArrow(_merge, "chunk int, cells binary")
-    found = placed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_candidates(width, tiles), _CANDIDATE)
-    total = F.sum("times").over(Window.partitionBy("a", "b"))
-    marks = found.withColumn("total", total).where("total > 1").select("chunk", "doc", "word")
+    # read by both passes that follow
+    answers = staged(sketches.groupBy("tile").applyInArrow(_merge, "chunk int, cells binary"), "sketch-answers")
+    windows = placed.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    windows = windows.applyInArrow(_windows(width, tiles, shards), "shard long, chunk int, windows binary")
+    bits = windows.groupBy("shard").applyInArrow(_exact, "chunk int, shard long, cells binary")
+    back = answers.withColumn("shard", F.lit(-1).cast("long")).unionByName(bits)
     last, kind = (_digest, "kept_sha256 string") if digest else (_text, "text string")
-    return placed.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInArrow(
-        last(_cut(width)), f"doc_id long, n_words long, n_removed long, {kind}"
+    return placed.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
+        last(_cut(width, tiles, shards)), f"doc_id long, n_words long, n_removed long, {kind}"
     )
