@@ -22,6 +22,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -37,7 +40,9 @@ from .textscan import RUN_B, mix
 MAGIC = b"TLTOK01\n"
 GAMMA = 2  # bits per key and level
 SHARD_BYTES = 16 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+_PLAIN = re.compile(rb"[a-z]+").fullmatch
+_TAIL = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[\x20\x09-\x0d])")
 _SLOT = np.dtype([("fingerprint", "<u4"), ("row", "<u4"), ("rows", "<u4")])
 
 
@@ -145,7 +150,9 @@ class WordEncoder:
 
     For a tokenizer that drops white space and never joins across it, the ids
     of a text are those of its space-separated words one after another, so a
-    word met before is not encoded again.
+    word met before is not encoded again.  Where the tokenizer itself folds
+    case, and parts a word from the punctuation after it, that is done first,
+    and fewer words are new; words of a-z then go straight to its model.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -153,6 +160,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end_id
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.folds = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
+        self.parts = all(ids(f"word{x} b") == ids(f"word {x} b") for x in (".", ",", ";", ":", "!", "?", "?!", "..."))
+        added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.markers = [x.encode() for x in added]
+        plain = ["word", "thhethea", "a", "zz", "tokenization"]
+        self.direct = not any(re.fullmatch("[a-z]+", x) for x in added) and all(
+            ids(x) == [t.id for t in self.tokenizer.model.tokenize(x)] for x in plain
+        )
         self.kind = np.uint16 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
         self.forget()
 
@@ -170,19 +186,38 @@ class WordEncoder:
             setattr(self, name, np.concatenate([have, np.zeros(max(need, 2 * len(have)) - len(have), have.dtype)]))
 
     def learn(self, words: list[bytes]) -> None:
+        if self.direct:
+            plain = [w for w in words if _PLAIN(w)]
+            if plain:
+                tokenize = self.tokenizer.model.tokenize
+                self.keep(plain, [[t.id for t in tokenize(w.decode())] for w in plain])
+            words = [w for w in words if not _PLAIN(w)]
         for a in range(0, len(words), 20_000):
             some = words[a : a + 20_000]
-            found = [x.ids for x in self.tokenizer.encode_batch([w.decode() for w in some], add_special_tokens=False)]
-            n = np.array([len(x) for x in found], np.int64)
-            total = int(n.sum())
-            self._room("flat", self.used + total)
-            self._room("begin", self.entries + len(some))
-            self._room("size", self.entries + len(some))
-            self.flat[self.used : self.used + total] = [t for x in found for t in x]
-            self.begin[self.entries : self.entries + len(some)] = self.used + np.cumsum(n) - n
-            self.size[self.entries : self.entries + len(some)] = n
-            self.known.update(zip(some, range(self.entries, self.entries + len(some))))
-            self.used, self.entries = self.used + total, self.entries + len(some)
+            self.keep(some, [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)])
+
+    def keep(self, some: list[bytes], found: list[list[int]]) -> None:
+        """Store the ids of words."""
+        n = np.array([len(x) for x in found], np.int64)
+        total = int(n.sum())
+        self._room("flat", self.used + total)
+        self._room("begin", self.entries + len(some))
+        self._room("size", self.entries + len(some))
+        self.flat[self.used : self.used + total] = [t for x in found for t in x]
+        self.begin[self.entries : self.entries + len(some)] = self.used + np.cumsum(n) - n
+        self.size[self.entries : self.entries + len(some)] = n
+        self.known.update(zip(some, range(self.entries, self.entries + len(some))))
+        self.used, self.entries = self.used + total, self.entries + len(some)
+
+    def split(self, text: bytes) -> list[bytes]:
+        if any(x in text for x in self.markers):  # these are matched before anything is folded
+            return text.split()
+        if self.folds:
+            low = text.lower()
+            if any(x in low for x in self.markers):  # folding would make a marker
+                return text.split()
+            text = low
+        return (_TAIL.sub(rb" \1", text) if self.parts else text).split()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each), end ids included."""
@@ -192,7 +227,7 @@ class WordEncoder:
         ends = []
         for text in texts.cast(pa.binary()).to_pylist():
             if text:
-                words += text.split()
+                words += self.split(text)
             ends.append(len(words))
             words.append(b"")  # stands for the end id; no word is empty
         known = self.known
@@ -208,9 +243,17 @@ class WordEncoder:
         return self.flat[at], np.diff(np.concatenate([[0], ends]))
 
 
+def _worker_encoder(path: str, end_id: int) -> WordEncoder:
+    # a Python worker serves many tasks; the words it has met stay known
+    kept = sys.modules.setdefault("_trustlens_worker", types.ModuleType("_trustlens_worker")).__dict__
+    if (path, end_id) not in kept:
+        kept[path, end_id] = WordEncoder(path, end_id)
+    return kept[path, end_id]
+
+
 def _pack(tokenizer: str, end_id: int, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = _worker_encoder(tokenizer, end_id)
         partition, number = TaskContext.get().partitionId(), 0
         ids, parts, counts, held = [], [], [], 0
 
