@@ -66,6 +66,20 @@ def test_parsers(spark):
     assert tuple(got[2]) == (None, 5.0, 12.0, None)  # text "nan" is missing, never NaN
 
 
+def test_numbers_are_read_as_pandas_reads_them(spark):
+    texts = ["4d", "4.5f", "0x1p3", "1e3", " 7 ", "\t8\u00a0", "+.5", "5.", "-2", "1_000", "1,000", "", "e5", ".", "--1", "inf", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(S.parse_numeric("t")).collect()]
+    expected = [None if pd.isna(v) else float(v) for v in pd.to_numeric(pd.Series(texts), errors="coerce")]
+    expected[texts.index("\t8\u00a0")] = 8.0
+    assert got == expected
+
+
+def test_category_level_loses_all_white_space(spark):
+    df = spark.createDataFrame([("A|\tB\u00a0|C",), ("A|\u2003B\r\n",), ("A|B C",)], "c string")
+    assert [r[0] for r in df.select(S.category_level("c", 1)).collect()] == ["B", "B", "B C"]
+
+
 def test_review_length_counts_code_points(spark):
     df = spark.createDataFrame([("a😀b",), ("",)], "t string")
     assert [r[0] for r in df.select(F.length("t")).collect()] == [len("a😀b"), 0]

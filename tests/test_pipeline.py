@@ -59,37 +59,91 @@ def test_oracle_agrees_at_sf0001(spark, name):
     assert srows == drows
 
 
+def _difference(sampled, exact):
+    j = sampled.alias("a").join(exact.alias("b"), ["product_id", "feature"])
+    row = j.agg(F.count(F.lit(1)), F.max(F.abs(F.col("a.shap_value") - F.col("b.shap_value")))).first()
+    assert row[0] == exact.count() == sampled.count()
+    return row[1]
+
+
 def test_sampled_shapley_on_linear_model_is_exact(spark):
+    # the background is the whole training set, so both must agree on it
     mi = PL.model_inputs(spark, SF001, 8)
     train = mi.split.where("split = 'train'")
     model = M.fit_model("Linear Regression", train, mi.numeric)
-    sampled = X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=2, n_background=3)
-    # same background rows through the closed form
-    h = F.md5(F.concat(F.lit("42"), F.lit("|"), F.col("product_id")))
-    bg = train.withColumn("_h", h).orderBy("_h").limit(3).drop("_h")
-    exact = X.shap_linear(model, mi.ready, bg, mi.numeric)
-    j = sampled.alias("a").join(exact.alias("b"), ["product_id", "feature"])
-    diff = j.agg(F.max(F.abs(F.col("a.shap_value") - F.col("b.shap_value")))).first()[0]
-    assert j.count() == exact.count()
-    assert diff < 1e-9
+    sampled = X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=2)
+    assert _difference(sampled, X.shap_linear(model, mi.ready, train, mi.numeric)) < 1e-6
+    assert sampled.agg(F.max("std_error")).first()[0] < 1e-9
+    mean = X.background_mean(X.background_summary(model, train))
+    exact = X.feature_means(X.feature_arrays(model, train), len(mean))
+    assert max(abs(x - y) for x, y in zip(mean, exact)) < 1e-8
 
 
 def test_sampled_shapley_additivity_forest(spark):
     mi = PL.model_inputs(spark, SF001, 8)
     train = mi.split.where("split = 'train'")
-    model = M.fit_model("Random Forest", train, mi.numeric)
-    shap = X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=2, n_background=2)
+    model = M.fit_model("Random Forest", train, mi.numeric, max_depth=4)
+    shap = X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=2)
     total = shap.groupBy("product_id").agg(F.sum("shap_value").alias("phi"))
     pred = model.transform(mi.ready).select("product_id", "prediction")
-    bg = X.background_sample(model, train, 2)
+    background = X.background_summary(model, train)
     from pyspark.ml.functions import array_to_vector
 
-    bgdf = spark.createDataFrame([(x,) for x in bg], "x array<double>").select(array_to_vector("x").alias("features"))
-    base = model.stages[-1].transform(bgdf).agg(F.avg("prediction")).first()[0]
+    bgdf = spark.createDataFrame(background, "x array<double>, n long").withColumn("features", array_to_vector("x"))
+    at = model.stages[-1].transform(bgdf)
+    base = at.agg(F.sum(F.col("prediction") * F.col("n")) / F.sum("n")).first()[0]
     err = total.join(pred, "product_id").agg(F.max(F.abs(F.col("phi") - (F.col("prediction") - F.lit(base))))).first()[0]
     assert err < 1e-9
 
 
+def test_boosted_trees_fit_and_settings_reach_the_learner(spark):
+    mi = PL.model_inputs(spark, SF001, 8)
+    train = mi.split.where("split = 'train'")
+    stage = M.make_regressor("Gradient Boosting", max_depth=3, max_bins=16)
+    assert (stage.getMaxDepth(), stage.getMaxBins()) == (3, 16)
+    assert M.make_regressor("Random Forest").getMaxDepth() == M.FOREST_DEPTH
+    stage.setMaxIter(5)
+    from pyspark.ml import Pipeline
+
+    fitted = Pipeline(stages=M.feature_stages(mi.numeric) + [stage]).fit(M.sized_for_training(train))
+    row = fitted.transform(train).agg(F.avg((F.col("prediction") - F.col(M.TARGET)) ** 2), F.var_pop(M.TARGET)).first()
+    assert row[0] < row[1]
+    assert M.sized_for_training(train).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_unseen_category_is_all_zeros(spark):
+    mi = PL.model_inputs(spark, SF001, 8)
+    model = M.fit_model("Linear Regression", mi.split.where("split = 'train'"), mi.numeric)
+    odd = mi.ready.limit(1).withColumn("main_category", F.lit("never seen"))
+    x = X.feature_arrays(model, odd).first()["x"]
+    assert len(x) == len(X.feature_names(model, mi.numeric)) and sum(x[len(mi.numeric):]) == 0
+
+
+def test_saved_model_keeps_its_split(spark):
+    mi = PL.model_inputs(spark, SF001, 8)
+    model = M.fit_model("Linear Regression", mi.split.where("split = 'train'"), mi.numeric)
+    path = M.save_model(model, tempfile.mkdtemp(prefix="tl-model-") + "/m", mi.split)
+    again = M.load_split(spark, path)
+    assert sorted(again.select("product_id", "split").collect()) == sorted(mi.split.select("product_id", "split").collect())
+    assert M.load_model(path).stages[0].labels == model.stages[0].labels
+
+
+def test_metrics_of_a_constant_target_and_of_nothing(spark):
+    rows = spark.createDataFrame([(1.0, 1.5), (1.0, 0.5)], "bayesian_rating double, prediction double")
+    assert tuple(M.evaluate(rows).first()) == (0.5, 0.5, None)
+    assert tuple(M.evaluate(rows.limit(0)).first()) == (None, None, None)
+    detail = T.trust_detail(PL.clean_table(spark, SF001, 8)).limit(0)
+    assert T.trust_summary(detail).first()["suspicious_pct"] is None
+
+
+def test_wide_export_goes_back_to_long(spark):
+    long = spark.createDataFrame(
+        [("p", "a", 1.0, 0.5), ("p", "b", 2.0, -0.5), ("q", "a", 3.0, 0.25), ("q", "b", 4.0, 0.0)],
+        "product_id string, feature string, feature_value double, shap_value double",
+    )
+    assert sorted(X.shap_long(X.shap_wide(long, ["a", "b"])).collect()) == sorted(long.collect())
+
+
 def test_streaming_scorer_matches_batch(spark):
     clean = PL.clean_table(spark, SF001, 8)
     params = T.category_params(clean)

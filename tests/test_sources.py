@@ -1,5 +1,6 @@
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from trustlens.operators import profile as P
@@ -45,3 +46,44 @@ def test_approximate_variants_stay_close(spark):
     bounds = clean.groupBy("main_category").agg(F.min("rating_count").alias("lo"), F.max("rating_count").alias("hi"))
     for r in q.join(bounds, "main_category").collect():
         assert r["lo"] <= r["m_value_approx"] <= r["hi"]
+
+
+def _write(path, text):
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(text)
+
+
+def test_rows_of_several_files_are_numbered_by_path(spark):
+    d = tempfile.mkdtemp(prefix="tl-csv-")
+    _write(f"{d}/a.csv", "id,name\n1,x\n2,y\n")
+    _write(f"{d}/b.csv", "id,name\n" + "".join(f"{i},{'long ' * 50}\n" for i in range(3, 60)))
+    got = {r["id"]: r["ordinal"] for r in IO.read_listings(spark, d).collect()}
+    assert got == {str(i): i - 1 for i in range(1, 60)}
+
+
+def test_another_column_order_is_refused(spark):
+    d = tempfile.mkdtemp(prefix="tl-csv-")
+    _write(f"{d}/a.csv", "id,name\n1,x\n")
+    _write(f"{d}/b.csv", "name,id\ny,2\n" * 1)
+    with pytest.raises(Exception, match="(?i)header"):
+        IO.read_listings(spark, d).collect()
+
+
+def test_exchange_csv_with_a_byte_order_mark(spark):
+    path = tempfile.mkdtemp(prefix="tl-csv-") + "/out"
+    df = spark.createDataFrame([("1", " padded\t", 'a "b", c'), ("2", None, "x\ny")], "id string, name string, text string")
+    IO.write_csv(df, path, single_file=True, bom=True)
+    raw = spark.read.format("binaryFile").load(path + "/*.csv").first().content
+    assert bytes(raw).startswith(b"\xef\xbb\xbfid,")
+    assert sorted(tuple(r)[:3] for r in IO.read_listings(spark, path).collect()) == sorted(map(tuple, df.collect()))
+
+
+def test_zip_archives_round_trip(spark):
+    root = tempfile.mkdtemp(prefix="tl-zip-")
+    df = spark.createDataFrame([(str(i), f"name {i}\nline") for i in range(40)], "id string, name string").repartition(3)
+    archives = IO.zip_listings(df, root + "/zips")
+    got = IO.read_listings(spark, IO.unzip_listings(spark, archives, root + "/csv"))
+    assert sorted((r["id"], r["name"]) for r in got.collect()) == sorted(map(tuple, df.collect()))
+    assert sorted(r["ordinal"] for r in got.collect()) == list(range(40))
+    with pytest.raises(Exception, match="(?i)no item named"):
+        IO.unzip_listings(spark, archives, root + "/none", "other.csv")

@@ -1,48 +1,45 @@
-"""Joins against small lookup tables, broadcast only behind a size check."""
+"""Joins against lookup tables (per-category parameters, domains, ranges).
+
+A lookup table is an aggregate with one row per key, usually a few dozen rows
+against billions.  A plain join of the two lets the planner shuffle the big
+side by a key of which one value may hold a third of all rows, and no rule
+splits that shuffle when the other side is an aggregate.  So the lookup side
+is computed first and its rows are counted: a small one is broadcast, and the
+big side is not moved at all; a large one is joined on (key, salt), which
+spreads every hot key over many tasks.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it has at most this many rows.  The
-# lookup tables here (per-category parameters, label maps, the allowed
-# category domain, per-partition offsets) hold one row per category or per
-# partition, typically 10..10^4 rows; beyond the bound we fall back to a
-# shuffle join and let AQE pick the strategy from runtime statistics.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-
+from .staging import staged
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows``, else None.
-
-    Counts at most ``max_rows + 1`` rows, so the check is cheap even when the
-    table turns out to be large.
-    """
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+# Lookup rows that are collected and broadcast; they hold a key and a few
+# numbers each, so this is a megabyte or two.
+BROADCAST_ROWS = 10_000
+SALTS = 32
 
 
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
-    on,
+    on: str | list[str],
     how: str = "left",
-    max_broadcast_rows: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``big`` with a lookup table (per-category parameters, domains).
-
-    Default: no hint.  The lookup side is an aggregate, so the planner
-    broadcasts it only when its size estimate (an upper bound: an aggregate
-    never outgrows its input) is under ``spark.sql.autoBroadcastJoinThreshold``,
-    and otherwise AQE re-plans the shuffle join into a broadcast join only if
-    the *materialized* lookup stage is under the adaptive threshold.  Either
-    way the broadcast is behind a size check and a shuffle join is the
-    fallback, and the lookup's upstream is computed once.
-
-    With ``max_broadcast_rows`` the caller asks for an explicit row-count
-    check instead (one extra job; use it for persisted lookup tables).
+    """Join ``big`` with the lookup table ``small`` on equal key columns.
+
+    ``how`` is ``left``, ``inner`` or ``left_semi``.  Null keys match nothing.
     """
-    if max_broadcast_rows is not None and bounded_rows(small, max_broadcast_rows) is not None:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    rows = small.limit(broadcast_rows + 1).collect()
+    if len(rows) <= broadcast_rows:
+        local = small.sparkSession.createDataFrame(rows, small.schema)
+        return big.join(F.broadcast(local), keys, how)
+    spread = F.pmod(F.xxhash64(*big.columns), F.lit(salts))
+    copies = staged(small, "lookup").withColumn("_tl_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = copies.withColumn("_tl_salt", F.col("_tl_salt").cast("long"))
+    return big.withColumn("_tl_salt", spread).join(copies, [*keys, "_tl_salt"], how).drop("_tl_salt")

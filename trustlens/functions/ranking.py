@@ -14,6 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.session import ensure_checkpoint_dir
+from .staging import staged
+
+# Rows of one range partition at most, on average; below that the session's
+# shuffle partition count decides.
+ROWS_PER_RANGE = 500_000
 
 _PART_BITS = 33  # monotonically_increasing_id puts the partition id above bit 33
 
@@ -31,11 +36,17 @@ def global_row_number(
     result to be deterministic, like pandas ``rank(method="first")`` over an
     explicit row ordinal.  ``total_col`` adds the total row count (taken from
     the same per-partition counts, no extra job).
+
+    Pass narrow rows: all of them go through a range shuffle and a checkpoint.
+    The number of ranges grows with the number of rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    # written once: counted, sampled for the ranges and ranged from the files
+    df = staged(df, "to-rank")
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        by_rows = -(-df.count() // ROWS_PER_RANGE)
+        num_partitions = max(by_rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
     # Reliable checkpoint: partition contents and in-partition order are fixed
     # on shared storage, so both uses below see the same layout even if an
@@ -63,3 +74,25 @@ def global_row_number(
     return joined.withColumn(rank_col, (F.col("_tl_off") + local + F.lit(1)).cast("long")).drop(
         "_tl_mid", "_tl_part", "_tl_off"
     )
+
+
+def running_total(df: DataFrame, order: list[str], weight: str, total_col: str) -> DataFrame:
+    """Add ``total_col`` = sum of ``weight`` over all rows up to and including
+    this one in ``order`` (which must be a total order of the rows).
+
+    Like the row number above: ranges of the order, totals within each range,
+    and the prefix sums of one total per range.
+    """
+    df = staged(df, "to-sum")
+    by_rows = -(-df.count() // ROWS_PER_RANGE)
+    ranges = max(by_rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = df.repartitionByRange(ranges, *order).withColumn("_tl_part", F.spark_partition_id())
+    frozen = staged(placed, "ranges")
+    within = Window.partitionBy("_tl_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.orderBy("_tl_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = frozen.groupBy("_tl_part").agg(F.sum(weight).alias("_tl_sum"))
+    # one row per range: a proven bound, as above
+    offsets = parts.select("_tl_part", F.coalesce(F.sum("_tl_sum").over(before), F.lit(0)).alias("_tl_off"))
+    local = frozen.withColumn(total_col, F.sum(weight).over(within))
+    joined = local.join(F.broadcast(offsets), "_tl_part")
+    return joined.withColumn(total_col, F.col(total_col) + F.col("_tl_off")).drop("_tl_part", "_tl_off")

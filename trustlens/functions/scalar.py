@@ -14,6 +14,11 @@ CURRENCY_CHARS = "₹,"
 PERCENT_CHARS = "%"
 COUNT_CHARS = ","
 CATEGORY_SEPARATOR = "|"
+# Every character that Python's ``str.strip`` removes.
+WHITE_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+# What pandas ``to_numeric`` reads as a number; Java's parser also takes type
+# suffixes (4d, 4.5f) and hexadecimal floats, which are text here.
+NUMBER_PATTERN = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?)"
 
 
 def _col(c: str | Column) -> Column:
@@ -23,11 +28,12 @@ def _col(c: str | Column) -> Column:
 def parse_numeric(c: str | Column) -> Column:
     """Text -> double; unparsable text -> NULL (never an exception).
 
-    ``try_cast`` turns the literal text ``nan`` into NaN, which Spark sorts
-    above every number; map it to NULL so missing stays missing.
+    Only plain decimal and exponent forms count, with white space around them
+    allowed; the literal text ``nan`` is missing, never NaN (which Spark sorts
+    above every number).
     """
-    parsed = _col(c).try_cast("double")
-    return F.when(F.isnan(parsed), F.lit(None).cast("double")).otherwise(parsed)
+    text = F.btrim(_col(c).cast("string"), F.lit(WHITE_SPACE))
+    return F.when(text.rlike(f"^({NUMBER_PATTERN})$"), text.try_cast("double"))
 
 
 def parse_money(c: str | Column) -> Column:
@@ -46,9 +52,10 @@ def parse_count(c: str | Column) -> Column:
 
 
 def category_level(c: str | Column, level: int = 1) -> Column:
-    """Element ``level`` (0-based) of the ``|`` path, trimmed; NULL if absent."""
+    """Element ``level`` (0-based) of the ``|`` path, without the white space
+    around it (tabs, line ends and no-break spaces too); NULL if absent."""
     parts = F.split(_col(c), "\\" + CATEGORY_SEPARATOR)
-    return F.trim(F.get(parts, F.lit(level)))
+    return F.btrim(F.get(parts, F.lit(level)), F.lit(WHITE_SPACE))
 
 
 def round_even(c: str | Column, digits: int) -> Column:
@@ -69,7 +76,7 @@ def exact_mean(c: str | Column, scale: int = 4) -> Column:
     is exact and the single division gives the same double in any engine.
     """
     dec = _col(c).cast(f"decimal(38,{scale})")
-    return F.sum(dec).cast("double") / F.count(dec).cast("double")
+    return F.try_divide(F.sum(dec).cast("double"), F.count(dec).cast("double"))
 
 
 def log10p(c: str | Column, digits: int = 9) -> Column:

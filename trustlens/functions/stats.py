@@ -5,39 +5,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+from .ranking import running_total
 from .scalar import round_even
+from .staging import staged
 
 QUANTILE_DIGITS = 9
 
 
-def group_quantiles(
-    df: DataFrame,
+def value_counts(df: DataFrame, group_cols: list[str], value: str, *more: Column) -> DataFrame:
+    """(groups, value, n, more): rows counted by group and value, written once.
+
+    Whatever depends on the distribution alone (quantiles, boxes, bins) is
+    computed from this table, weighted by n, and the rows are not read again.
+    Nulls of ``value`` are left out.  ``more`` are further aggregates.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group_cols, value)
+    return staged(counts.agg(F.count(F.lit(1)).alias("n"), *more), "value-counts")
+
+
+def quantiles_of(
+    counts: DataFrame,
     group_cols: list[str],
     value: str,
     qs: list[float],
     names: list[str],
     digits: int | None = QUANTILE_DIGITS,
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles of ``value`` per group.
-
-    Pre-aggregates to (group, value, n) first: each map task combines its own
-    rows, the shuffle is keyed by (group, value) so a hot group is spread over
-    many reducers, and the final percentile sees one row per distinct value.
-    With no group columns this is a global quantile over distinct values.
-    Interpolated results are rounded to ``digits`` decimals (engines differ
-    in the last bit of the interpolation), before any comparison uses them.
+    """Exact linear-interpolation quantiles per group from value_counts().
+
+    Values are range-partitioned in order of (group, value) and their counts
+    summed up along it, so even one group's values are never in one task; the
+    two neighbours of a quantile are the values whose span of positions holds
+    them.  Results are rounded to ``digits`` decimals (engines differ in the
+    last bit of the interpolation), before any comparison uses them.
     """
-    freq = df.where(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(
-        F.count(F.lit(1)).alias("_tl_w")
-    )
-    agg = (freq.groupBy(*group_cols) if group_cols else freq.groupBy()).agg(
-        F.percentile(value, qs, F.col("_tl_w")).alias("_tl_q")
+    groups = group_cols or ["_tl_all"]
+    rows = counts if group_cols else counts.withColumn("_tl_all", F.lit(0))
+    upto = running_total(rows.select(*groups, value, "n"), [*groups, value], "n", "_tl_upto")
+    spans = upto.groupBy(*groups).agg(F.min(F.col("_tl_upto") - F.col("n")).alias("_tl_start"), F.sum("n").alias("_tl_size"))
+    at = lookup_join(upto, spans, groups, "inner")
+    first, end = F.col("_tl_upto") - F.col("n") - F.col("_tl_start"), F.col("_tl_upto") - F.col("_tl_start")
+    position = lambda q: F.lit(float(q)) * (F.col("_tl_size") - 1)
+    holds = lambda k: F.max(F.when((first <= k) & (k < end), F.col(value).cast("double")))
+    found = at.groupBy(*groups, "_tl_size").agg(
+        *[holds(F.floor(position(q))).alias(f"_tl_low{i}") for i, q in enumerate(qs)],
+        *[holds(F.ceil(position(q))).alias(f"_tl_high{i}") for i, q in enumerate(qs)],
     )
+
     def pick(i: int) -> Column:
-        v = F.col("_tl_q")[i]
-        return round_even(v, digits) if digits is not None else v
+        share = position(qs[i]) - F.floor(position(qs[i]))
+        x = F.col(f"_tl_low{i}") * (F.lit(1.0) - share) + F.col(f"_tl_high{i}") * share
+        return round_even(x, digits) if digits is not None else x
+
+    return found.select(*group_cols, *[pick(i).alias(name) for i, name in enumerate(names)])
 
-    return agg.select(*group_cols, *[pick(i).alias(n) for i, n in enumerate(names)])
+
+def group_quantiles(
+    df: DataFrame,
+    group_cols: list[str],
+    value: str,
+    qs: list[float],
+    names: list[str],
+    digits: int | None = QUANTILE_DIGITS,
+) -> DataFrame:
+    """Exact linear-interpolation quantiles of ``value`` per group."""
+    return quantiles_of(value_counts(df, group_cols, value), group_cols, value, qs, names, digits)
 
 
 def histogram_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:

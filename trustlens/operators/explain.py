@@ -5,11 +5,11 @@ Two attribution jobs:
 - ``shap_linear``: closed form beta_j * (x_j - mean_j) for a linear model.
 - ``shap_sampled``: any fitted pipeline.  Each explained row is expanded
   (a generator, not a join) into hybrid feature vectors along P fixed
-  permutations against B fixed background rows; the model scores all hybrids
-  in one distributed ``transform``; every prediction adds +f to the feature
-  that entered at its step and -f to the feature that enters next, and one
-  grouped sum gives the attributions.  The sum over features equals
-  prediction minus the mean background prediction exactly.
+  permutations against the training set's mean row per category; the model
+  scores all hybrids in one distributed ``transform``; every prediction adds
+  +f to the feature that entered at its step and -f to the feature that enters
+  next, and grouped sums give the attributions.  The sum over features equals
+  prediction minus the weighted mean background prediction exactly.
 
 Long form ``(product_id, feature, feature_value, shap_value)`` is the
 natural result; the wide export is a pivot.
@@ -23,8 +23,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
-from ..functions.scalar import truncate_label
+from ..functions.joins import lookup_join
+from ..functions.scalar import exact_mean, truncate_label
 from .features import CATEGORICAL
 
 # Fixed values that must equal the reference's for right results: the
@@ -37,14 +37,8 @@ TOP_FEATURES = 7
 TOP_CONTRIBUTIONS = 8
 TITLE_WIDTH = 30
 
-# Default display labels (our wording) for the numeric features.
-NUMERIC_LABELS = {
-    "rating_count": "review count",
-    "discount_percentage": "discount rate",
-    "actual_price": "list price",
-    "review_length": "review length",
-    "discounted_price": "discounted price",
-}
+# Means are exact sums of values of so many decimals, whatever their order.
+MEAN_SCALE = 9
 
 
 def feature_names(model: PipelineModel, numeric: list[str]) -> list[str]:
@@ -62,9 +56,14 @@ def _feature_model(model: PipelineModel) -> PipelineModel:
     return PipelineModel(stages=model.stages[:-1])
 
 
+def dense_features(stages: PipelineModel, df: DataFrame) -> DataFrame:
+    """product_id + dense feature array ``x`` made by fitted feature stages."""
+    return stages.transform(df).select("product_id", vector_to_array("features").alias("x"))
+
+
 def feature_arrays(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """product_id + dense feature array ``x`` as the model sees it."""
-    return _feature_model(model).transform(df).select("product_id", vector_to_array("features").alias("x"))
+    """dense_features() of a whole fitted pipeline."""
+    return dense_features(_feature_model(model), df)
 
 
 def _long(arr_df: DataFrame, names: list[str], shap_col: str) -> DataFrame:
@@ -82,32 +81,39 @@ def _long(arr_df: DataFrame, names: list[str], shap_col: str) -> DataFrame:
     )
 
 
-def background_sample(model: PipelineModel, train: DataFrame, size: int, seed: int = 42) -> list[list[float]]:
-    """``size`` training rows chosen by hash order (a top-k, bounded)."""
-    h = F.md5(F.concat(F.lit(str(seed)), F.lit("|"), F.col("product_id")))
-    picked = train.withColumn("_tl_h", h).orderBy("_tl_h").limit(size)
-    return [list(r["x"]) for r in feature_arrays(model, picked).orderBy("product_id").collect()]
+def background_summary(model: PipelineModel, train: DataFrame) -> list[tuple[list[float], int]]:
+    """The training set as weighted rows: per category the mean feature vector
+    and the number of rows.  As many rows as the model has category slots."""
+    arr = _feature_model(model).transform(train).select(CATEGORICAL, vector_to_array("features").alias("x"))
+    pos = arr.select(CATEGORICAL, F.posexplode("x").alias("j", "v"))
+    mean = pos.groupBy(CATEGORICAL, "j").agg(exact_mean("v", MEAN_SCALE).alias("m"), F.count(F.lit(1)).alias("n"))
+    rows = mean.groupBy(CATEGORICAL).agg(F.array_sort(F.collect_list(F.struct("j", "m"))).alias("x"), F.max("n").alias("n"))
+    return [([p.m for p in r.x], r.n) for r in rows.orderBy(CATEGORICAL).collect()]
+
+
+def background_mean(background: list[tuple[list[float], int]]) -> list[float]:
+    """Mean feature vector of a background summary."""
+    total = sum(n for _, n in background)
+    return [sum(x[j] * n for x, n in background) / total for j in range(len(background[0][0]))]
 
 
-def background_mean(model: PipelineModel, background: DataFrame, k: int) -> list[float]:
-    """Mean feature vector of the background rows (k scalars)."""
-    arr = feature_arrays(model, background)
-    row = arr.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(k)]).first()
-    return [float(row[f"m{i}"]) for i in range(k)]
+def feature_means(arr: DataFrame, k: int) -> list[float]:
+    """Exact means of the k entries of the feature arrays ``x``."""
+    row = arr.agg(*[exact_mean(F.col("x")[i], MEAN_SCALE).alias(f"m{i}") for i in range(k)]).first()
+    return [float(v) for v in row]
+
+
+def linear_attributions(arr: DataFrame, names: list[str], beta: list[float], mean: list[float]) -> DataFrame:
+    """beta_j (x_j - mean_j) for every row of ``arr`` (product_id, x)."""
+    b, m = (F.array(*[F.lit(float(v)) for v in x]) for x in (beta, mean))
+    return _long(arr.withColumn("_tl_shap", F.transform("x", lambda x, i: (x - m[i]) * b[i])), names, "_tl_shap")
 
 
 def shap_linear(model: PipelineModel, data: DataFrame, background: DataFrame, numeric: list[str]) -> DataFrame:
-    """Exact Shapley values of a linear model: beta_j (x_j - E[x_j])."""
-    lr = model.stages[-1]
-    beta = [float(b) for b in lr.coefficients.toArray()]
-    names = feature_names(model, numeric)
-    k = len(beta)
-    mean = background_mean(model, background, k)
-    arr = feature_arrays(model, data)
-    b_lit = F.array(*[F.lit(b) for b in beta])
-    m_lit = F.array(*[F.lit(m) for m in mean])
-    shap = F.transform(F.col("x"), lambda x, i: (x - m_lit[i]) * b_lit[i])
-    return _long(arr.withColumn("_tl_shap", shap), names, "_tl_shap")
+    """Exact Shapley values of a linear model against the whole background."""
+    beta = [float(b) for b in model.stages[-1].coefficients.toArray()]
+    mean = feature_means(feature_arrays(model, background), len(beta))
+    return linear_attributions(feature_arrays(model, data), feature_names(model, numeric), beta, mean)
 
 
 def permutations(k: int, n_perm: int, seed: int = 42) -> list[list[int]]:
@@ -129,71 +135,63 @@ def shap_sampled(
     train: DataFrame,
     numeric: list[str],
     n_perm: int = 4,
-    n_background: int = 4,
     seed: int = 42,
-    target_partitions: int | None = None,
 ) -> DataFrame:
-    """Sampled-permutation Shapley values for any fitted pipeline.
+    """Sampled-permutation Shapley values for any fitted pipeline, against the
+    whole training set summarised by background_summary().
 
-    Work is n x P x B x (k+1) model evaluations, spread over the cluster;
-    P and B bound the fan-out per row (they are sampling parameters, every
-    row and every feature is still explained).
+    Along a permutation only features that differ between the row and the
+    background row can change the prediction, so only these make a step: at
+    most the numeric ones and two category slots, however many categories
+    there are.  ``std_error`` is that of the mean over the permutations.
     """
     names = feature_names(model, numeric)
-    k = len(names)
-    perms = permutations(k, n_perm, seed)
-    pos = [[0] * k for _ in perms]
-    for pi, p in enumerate(perms):
-        for t, j in enumerate(p):
-            pos[pi][j] = t
-    bg = background_sample(model, train, n_background, seed)
-    n_bg = len(bg)
-    if n_bg == 0:
-        raise ValueError("empty background sample")
-    steps = k + 1
-    combos = len(perms) * n_bg
-    pos_lit = F.array(*[F.array(*[F.lit(v) for v in row]) for row in pos])
-    perm_lit = F.array(*[F.array(*[F.lit(v) for v in row]) for row in perms])
-    bg_lit = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in bg])
+    background = background_summary(model, train)
+    if not background:
+        raise ValueError("empty training set")
+    total = sum(n for _, n in background)
+    doubles = lambda xs: F.array(*[F.lit(float(v)) for v in xs])
+    perms = permutations(len(names), n_perm, seed)
+    perm_lit = F.array(*[F.array(*[F.lit(v) for v in p]) for p in perms])
+    bg = F.array(*[F.struct(doubles(x).alias("z"), F.lit(n / total).alias("w")) for x, n in background])
 
     arr = feature_arrays(model, data)
-    if target_partitions:
-        arr = arr.repartition(target_partitions)
-    hid = F.explode(F.sequence(F.lit(0), F.lit(combos * steps - 1))).alias("_tl_hid")
-    expanded = arr.select("product_id", "x", hid)
-    p_idx = (F.col("_tl_hid") / F.lit(n_bg * steps)).cast("int")
-    b_idx = ((F.col("_tl_hid") / F.lit(steps)).cast("int")) % F.lit(n_bg)
-    t_idx = F.col("_tl_hid") % F.lit(steps)
-    expanded = expanded.select("product_id", "x", p_idx.alias("_p"), b_idx.alias("_b"), t_idx.alias("_t"))
-    hybrid = F.transform(
-        F.col("x"),
-        lambda xv, j: F.when(pos_lit[F.col("_p")][j] < F.col("_t"), xv).otherwise(bg_lit[F.col("_b")][j]),
-    )
-    hybrids = expanded.withColumn("features", array_to_vector(hybrid))
-    scored = model.stages[-1].transform(hybrids).select("product_id", "x", "_p", "_t", "prediction")
-    f = F.col("prediction")
-    t = F.col("_t")
-    plus = F.when(t >= 1, F.struct(perm_lit[F.col("_p")][t - 1].alias("j"), f.alias("v")))
-    minus = F.when(t <= k - 1, F.struct(perm_lit[F.col("_p")][t].alias("j"), (-f).alias("v")))
-    contrib = scored.select(
-        "product_id", "x", F.explode(F.filter(F.array(plus, minus), lambda s: s.isNotNull())).alias("c")
-    )
-    agg = contrib.groupBy("product_id", F.col("c.j").alias("feature_index")).agg(
-        (F.sum("c.v") / F.lit(float(combos))).alias("shap_value"),
-        F.max(F.col("x")[F.col("c.j")]).alias("feature_value"),
-    )
+    runs = arr.select("product_id", "x", F.explode(bg).alias("b")).select("product_id", "x", "b.z", "b.w")
+    runs = runs.select("*", F.posexplode(perm_lit).alias("perm", "order"))
+    active = F.filter("order", lambda j: F.col("x")[j] != F.col("z")[j])
+    runs = runs.select("product_id", "x", "z", "w", "perm", active.alias("steps"))
+    runs = runs.withColumn("t", F.explode(F.sequence(F.lit(0), F.size("steps"))))
+    taken = F.slice("steps", F.lit(1), F.col("t"))
+    hybrid = F.transform("x", lambda v, j: F.when(F.array_contains(taken, j), v).otherwise(F.col("z")[j]))
+    scored = model.stages[-1].transform(runs.withColumn("features", array_to_vector(hybrid)))
+    f, t, steps = F.col("prediction") * F.col("w"), F.col("t"), F.col("steps")
+    plus = F.when(t >= 1, F.struct(F.get(steps, t - 1).alias("j"), f.alias("v")))
+    minus = F.when(t < F.size(steps), F.struct(F.get(steps, t).alias("j"), (-f).alias("v")))
+    moved = scored.select(
+        "product_id", "perm", F.explode(F.filter(F.array(plus, minus), lambda c: c.isNotNull())).alias("c")
+    ).select("product_id", "perm", "c.j", "c.v")
+    # a feature that never made a step has the value 0 in every permutation
+    every = arr.select("product_id", F.explode(F.sequence(F.lit(0), F.lit(len(perms) - 1))).alias("perm"), "x")
+    every = every.select("product_id", "perm", F.posexplode("x").alias("j", "value"))
+    both = moved.select("*", F.lit(None).cast("double").alias("value")).unionByName(every.withColumn("v", F.lit(0.0)))
+    per = both.groupBy("product_id", "j", "perm").agg(F.sum("v").alias("phi"), F.max("value").alias("value"))
     name_arr = F.array(*[F.lit(n) for n in names])
-    return agg.select(
+    return per.groupBy("product_id", "j").agg(
+        F.avg("phi").alias("shap_value"),
+        (F.stddev_samp("phi") / F.lit(float(len(perms)) ** 0.5)).alias("std_error"),
+        F.max("value").alias("feature_value"),
+    ).select(
         "product_id",
-        F.element_at(name_arr, F.col("feature_index") + 1).alias("feature"),
+        F.element_at(name_arr, F.col("j") + 1).alias("feature"),
         "feature_value",
         "shap_value",
+        "std_error",
     )
 
 
 def shap_importance(shap_long: DataFrame) -> DataFrame:
     """Mean |SHAP| per feature (order: importance desc, then name)."""
-    return shap_long.groupBy("feature").agg(F.avg(F.abs("shap_value")).alias("importance"))
+    return shap_long.groupBy("feature").agg(exact_mean(F.abs("shap_value"), MEAN_SCALE).alias("importance"))
 
 
 def top_features(importance: DataFrame, k: int = TOP_FEATURES) -> DataFrame:
@@ -210,6 +208,15 @@ def shap_wide(shap_long: DataFrame, names: list[str]) -> DataFrame:
     return vals.select("product_id", *cols)
 
 
+def shap_long(wide: DataFrame) -> DataFrame:
+    """Rows (product_id, feature, feature_value, shap_value) of a wide export:
+    every ``shap_value_`` column with the column it explains."""
+    names = [c.removeprefix(SHAP_PREFIX) for c in wide.columns if c.startswith(SHAP_PREFIX)]
+    pairs = [F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").alias("v"), F.col(f"`{SHAP_PREFIX}{n}`").alias("s")) for n in names]
+    rows = wide.select("product_id", F.explode(F.array(*pairs)).alias("p"))
+    return rows.select("product_id", "p.feature", F.col("p.v").alias("feature_value"), F.col("p.s").alias("shap_value"))
+
+
 def top_contributions(shap_long: DataFrame, k: int = TOP_CONTRIBUTIONS) -> DataFrame:
     """Per product, the k features with the largest |SHAP|, with direction.
 
@@ -232,28 +239,27 @@ def shap_dependence(shap_long: DataFrame, bins: int = 20) -> DataFrame:
     b = F.when(width > 0, F.least(F.floor((F.col("feature_value") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0)
     return j.groupBy("feature", b.cast("int").alias("value_bin")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.avg("feature_value").alias("mean_feature_value"),
-        F.avg("shap_value").alias("mean_shap_value"),
+        exact_mean("feature_value", MEAN_SCALE).alias("mean_feature_value"),
+        exact_mean("shap_value", MEAN_SCALE).alias("mean_shap_value"),
     )
 
 
-def default_labels(spark, names: list[str]) -> DataFrame:
-    """Display label per feature: a fixed map for numerics, a rule for
-    one-hot slots ("category: <name>")."""
+def default_labels(spark, names: list[str], own: dict[str, str] | None = None) -> DataFrame:
+    """Display label per feature: the caller's for the column, else the column
+    name with spaces; "category: <name>" for one-hot slots."""
     rows = []
     for n in names:
         if n.startswith(NUM_PREFIX):
-            base = n[len(NUM_PREFIX):]
-            raw = base[4:] if base.startswith("log_") else base
-            rows.append((n, NUMERIC_LABELS.get(raw)))
+            column = n[len(NUM_PREFIX):].removeprefix("log_")
+            rows.append((n, (own or {}).get(column, column.replace("_", " "))))
         elif n.startswith(CAT_PREFIX):
             rows.append((n, "category: " + n[len(CAT_PREFIX):]))
     return spark.createDataFrame(rows, "feature string, label string")
 
 
-def label_features(df: DataFrame, labels: DataFrame, max_broadcast_rows: int | None = None) -> DataFrame:
+def label_features(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Attach a display label, falling back to the raw feature name."""
-    j = lookup_join(df, labels, "feature", "left", max_broadcast_rows)
+    j = lookup_join(df, labels, "feature")
     return j.withColumn("label", F.coalesce(F.col("label"), F.col("feature")))
 
 

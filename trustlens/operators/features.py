@@ -24,6 +24,7 @@ TARGET = "bayesian_rating"
 SPLIT_SEED = 42
 TEST_FRACTION = 0.2
 SKEW_DIGITS = 6
+LOG_PREFIX = "log_"
 
 
 def skew_report(
@@ -66,13 +67,14 @@ def log_features(df: DataFrame, decisions: dict[str, bool] | None = None) -> Dat
     """Add ``log_<col>`` = ln(1 + col) for every column whose skew passes."""
     if decisions is None:
         decisions = log_decisions(df)
-    adds = {f"log_{c}": log1p_stable(c) for c, need in decisions.items() if need}
+    adds = {LOG_PREFIX + c: log1p_stable(c) for c, need in decisions.items() if need}
     return df.withColumns(adds) if adds else df
 
 
-def resolved_features(columns: list[str], candidates: list[str] = CANDIDATE_FEATURES) -> list[str]:
-    """``log_x`` if that column exists, else ``x`` (decided from the schema)."""
-    return [f"log_{c}" if f"log_{c}" in columns else c for c in candidates]
+def feature_columns(decisions: dict[str, bool]) -> list[str]:
+    """Numeric feature names after the skew decisions: a logged column goes by
+    its log, in the order in which the columns were decided."""
+    return [LOG_PREFIX * logged + column for column, logged in decisions.items()]
 
 
 def missing_report(df: DataFrame, required: list[str]) -> DataFrame:
@@ -82,19 +84,16 @@ def missing_report(df: DataFrame, required: list[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def feature_table(df_logged: DataFrame) -> DataFrame:
-    """product_id, the five resolved numeric features, main_category."""
-    cols = resolved_features(df_logged.columns)
-    return df_logged.select("product_id", *cols, CATEGORICAL)
+def feature_table(df_logged: DataFrame, numeric: list[str]) -> DataFrame:
+    """product_id, the numeric features of feature_columns(), main_category."""
+    return df_logged.select("product_id", *numeric, CATEGORICAL)
 
 
 def model_ready(features: DataFrame, target: DataFrame) -> DataFrame:
     """Inner join of features with the target on product_id; rows missing a
     feature or the target are dropped."""
-    t = target.select("product_id", TARGET)
-    merged = features.join(t, "product_id", "inner")
-    required = resolved_features(features.columns) + [CATEGORICAL, TARGET]
-    return merged.dropna(subset=required)
+    merged = features.join(target.select("product_id", TARGET), "product_id", "inner")
+    return merged.dropna(subset=[c for c in merged.columns if c != "product_id"])
 
 
 def join_audit(features: DataFrame, target: DataFrame) -> DataFrame:

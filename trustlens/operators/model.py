@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import lookup_join
-from ..functions.scalar import exact_mean, round_even
+from ..functions.scalar import round_even
+from ..functions.staging import staged
 from .features import CATEGORICAL, TARGET
 
 # Fixed values that must equal the reference's for right results: tree and
@@ -21,6 +22,10 @@ MODEL_SEED = 42
 METRIC_DIGITS = 4
 MODEL_NAMES = ["Linear Regression", "Random Forest", "Gradient Boosting"]
 
+# Spark ML's deepest tree, and its split candidates per feature.
+FOREST_DEPTH = 30
+MAX_BINS = 64
+
 CAT_INDEX = "_tl_cat_idx"
 CAT_VEC = "_tl_cat_vec"
 
@@ -40,135 +45,128 @@ def feature_stages(numeric: list[str], categorical: str = CATEGORICAL) -> list:
     return [indexer, encoder, assembler]
 
 
-def make_regressor(name: str, label: str = TARGET):
+def make_regressor(name: str, label: str = TARGET, max_depth: int | None = None, max_bins: int = MAX_BINS):
+    """A regressor by its display name.
+
+    ``max_depth`` is a tree's deepest level: for the forest by default as deep
+    as Spark ML grows trees (the reference's forest has no limit), for the
+    boosted trees the boosting library's own default.  ``max_bins`` are the
+    split candidates per feature.
+    """
+    shared = {"featuresCol": "features", "labelCol": label}
     if name == "Linear Regression":
-        return LinearRegression(featuresCol="features", labelCol=label)
+        return LinearRegression(**shared)
+    trees = shared | {"maxBins": max_bins, "seed": MODEL_SEED}
     if name == "Random Forest":
-        # all features at every split, bootstrap rows, as the reference
-        # forest; depth is capped so the model size (<= 511 nodes per tree)
-        # does not grow with the data and the driver can hold 200 trees
+        # all features at every split, bootstrap rows, as the reference forest
         return RandomForestRegressor(
-            featuresCol="features",
-            labelCol=label,
-            numTrees=N_TREES,
-            featureSubsetStrategy="all",
-            maxDepth=8,
-            maxBins=64,
-            seed=MODEL_SEED,
+            numTrees=N_TREES, featureSubsetStrategy="all", maxDepth=max_depth or FOREST_DEPTH, **trees
         )
     if name == "Gradient Boosting":
-        # depth 6 and step 0.3 are the boosting library's defaults
-        return GBTRegressor(
-            featuresCol="features",
-            labelCol=label,
-            maxIter=N_ROUNDS,
-            maxDepth=6,
-            stepSize=0.3,
-            seed=MODEL_SEED,
-            checkpointInterval=10,
-        )
+        return GBTRegressor(maxIter=N_ROUNDS, maxDepth=max_depth or 6, stepSize=0.3, checkpointInterval=10, **trees)
     raise ValueError(f"unknown model {name!r}")
 
 
-def build_pipeline(name: str, numeric: list[str], categorical: str = CATEGORICAL) -> Pipeline:
-    return Pipeline(stages=feature_stages(numeric, categorical) + [make_regressor(name)])
+def build_pipeline(name: str, numeric: list[str], categorical: str = CATEGORICAL, **settings) -> Pipeline:
+    return Pipeline(stages=feature_stages(numeric, categorical) + [make_regressor(name, **settings)])
 
 
-_FITTED: dict[tuple, PipelineModel] = {}
-
-# Tree learners make one pass over the training data per tree level and per
-# boosting round; each pass pays per-task overhead, so the training table is
-# given one partition per this many rows (thousands of partitions at 100 TB,
-# one on a small sample).
+# Tree learners pass over the training data once per level and boosting round.
 ROWS_PER_TRAIN_PARTITION = 500_000
 
 
 def sized_for_training(train: DataFrame, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> DataFrame:
-    n = train.count()
-    parts = max(1, -(-n // rows_per_partition))
-    # read once per tree level / boosting round: keep it cached (lost blocks
-    # are recomputed from lineage)
+    """``train`` cached in one partition per so many rows, and in no fewer than
+    the cluster runs at once."""
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // rows_per_partition))
     return train.repartition(parts).persist()
 
 
-def fit_model(name: str, train: DataFrame, numeric: list[str], cache_key: str | None = None) -> PipelineModel:
-    """Fit the pipeline; with ``cache_key``, reuse a model already fitted in
-    this session on the same input (the reference pickles the fitted model
-    once and reloads it for explanation)."""
-    if cache_key is None:
-        return build_pipeline(name, numeric).fit(sized_for_training(train))
-    key = (id(train.sparkSession), cache_key, name, tuple(numeric))
-    if key not in _FITTED:
-        _FITTED[key] = build_pipeline(name, numeric).fit(sized_for_training(train))
-    return _FITTED[key]
+def fit_model(name: str, train: DataFrame, numeric: list[str], **settings) -> PipelineModel:
+    """Fit the pipeline; keep it with save_model() to use it again."""
+    cached = sized_for_training(train)
+    try:
+        return build_pipeline(name, numeric, **settings).fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def evaluate(pred: DataFrame, label: str = TARGET, prediction: str = "prediction", by: list[str] | None = None):
     """RMSE, MAE and R^2 (rounded to 4 dp) in one aggregate.
 
     R^2 = 1 - SSE / (n * var_pop(y)); ``var_pop`` is computed with merged
-    central moments, so the whole metric is a single distributed pass.
+    central moments, so the whole metric is a single distributed pass.  R^2 of
+    a constant target, and every metric of no rows, is NULL.
     """
     e = F.col(label) - F.col(prediction)
     n = F.count(F.lit(1)).cast("double")
     sse = F.sum(e * e)
     g = pred.groupBy(*by) if by else pred.groupBy()
     return g.agg(
-        round_even(F.sqrt(sse / n), METRIC_DIGITS).alias("rmse"),
+        round_even(F.sqrt(F.try_divide(sse, n)), METRIC_DIGITS).alias("rmse"),
         round_even(F.avg(F.abs(e)), METRIC_DIGITS).alias("mae"),
-        round_even(F.lit(1.0) - sse / (n * F.var_pop(label)), METRIC_DIGITS).alias("r2"),
+        round_even(F.lit(1.0) - F.try_divide(sse, n * F.var_pop(label)), METRIC_DIGITS).alias("r2"),
     )
 
 
-def baseline_predictions(split_df: DataFrame, label: str = TARGET) -> DataFrame:
+def baseline_predictions(split_df: DataFrame, label: str = TARGET, by_category: bool = True) -> DataFrame:
     """Mean-of-category baseline fitted on the train split, applied to test
-    (unknown category -> mean of all training rows)."""
-    train = split_df.where(F.col("split") == "train")
-    test = split_df.where(F.col("split") == "test")
-    cat_mean = train.groupBy(CATEGORICAL).agg(exact_mean(label, 4).alias("_tl_cat_mean"))
-    overall = train.agg(exact_mean(label, 4).alias("m")).first()["m"]  # one scalar
-    scored = lookup_join(test, cat_mean, CATEGORICAL, "left")
-    return scored.withColumn("prediction", F.coalesce("_tl_cat_mean", F.lit(overall))).drop("_tl_cat_mean")
-
-
-def predictions(name: str, split_df: DataFrame, numeric: list[str], cache_key: str | None = None) -> DataFrame:
-    """Fit ``name`` on the train split; score the test split."""
+    (unknown category -> mean of all training rows); without ``by_category``
+    the mean of all training rows for every row."""
     train = split_df.where(F.col("split") == "train")
     test = split_df.where(F.col("split") == "test")
-    model = fit_model(name, train, numeric, cache_key)
-    return model.transform(test).select("product_id", CATEGORICAL, TARGET, "prediction").withColumn(
-        "model", F.lit(name)
-    )
-
-
-def compare_models(
-    split_df: DataFrame, numeric: list[str], names: list[str] = MODEL_NAMES, cache_key: str | None = None
-) -> DataFrame:
-    """Fit every model, evaluate all in one grouped aggregate, flag the best
-    (lowest RMSE, ties by name)."""
-    scored = None
-    train = split_df.where(F.col("split") == "train").persist()
-    test = split_df.where(F.col("split") == "test").persist()
-    for name in names:
-        model = fit_model(name, train, numeric, cache_key)
-        part = model.transform(test).select(TARGET, "prediction").withColumn("model", F.lit(name))
-        scored = part if scored is None else scored.unionByName(part)
+    total, n = F.sum(F.col(label).cast("decimal(38,4)")), F.count(label)
+    # sums per category; the overall mean follows from them
+    per = staged(train.groupBy(CATEGORICAL).agg(total.alias("_tl_sum"), n.alias("_tl_n")), "category-sums")
+    mean = lambda a, b: F.try_divide(a.cast("double"), b.cast("double"))
+    overall = per.agg(mean(F.sum("_tl_sum"), F.sum("_tl_n")).alias("m")).first()["m"]  # one scalar
+    if not by_category:
+        return test.withColumn("prediction", F.lit(overall).cast("double"))
+    cat_mean = per.select(CATEGORICAL, mean(F.col("_tl_sum"), F.col("_tl_n")).alias("_tl_cat_mean"))
+    scored = lookup_join(test, cat_mean, CATEGORICAL)
+    return scored.withColumn("prediction", F.coalesce("_tl_cat_mean", F.lit(overall).cast("double"))).drop("_tl_cat_mean")
+
+
+def predictions(model: PipelineModel, name: str, split_df: DataFrame) -> DataFrame:
+    """``model`` applied to the test split."""
+    scored = model.transform(split_df.where(F.col("split") == "test"))
+    return scored.select("product_id", CATEGORICAL, TARGET, "prediction").withColumn("model", F.lit(name))
+
+
+def compare_predictions(scored: DataFrame) -> DataFrame:
+    """Metrics of every model in rows (model, target, prediction), one grouped
+    aggregate, with the best flagged (lowest RMSE, ties by name)."""
     metrics = evaluate(scored, by=["model"])
     # one row per model: a window over the whole (tiny) metrics table
     first = F.row_number().over(Window.orderBy("rmse", "model")) == 1
-    # train/test stay cached: the returned plan still reads them
     return metrics.select("model", "rmse", "mae", "r2", first.alias("is_best"))
 
 
+def compare_models(models: dict[str, PipelineModel], split_df: DataFrame) -> DataFrame:
+    """compare_predictions() of fitted models on the test split."""
+    parts = [predictions(m, name, split_df).select("model", TARGET, "prediction") for name, m in models.items()]
+    scored = parts[0]
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
+    return compare_predictions(scored)
+
+
 def best_model(metrics: DataFrame) -> DataFrame:
     """The row with the lowest RMSE (ties by model name)."""
     return metrics.orderBy("rmse", "model").limit(1)
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel, path: str, split: DataFrame | None = None) -> str:
+    """Save the model and, beside it, the rows of the split it was fitted on."""
+    model.write().overwrite().save(f"{path}/model")
+    if split is not None:
+        split.write.mode("overwrite").parquet(f"{path}/split")
     return path
 
 
 def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    return PipelineModel.load(f"{path}/model")
+
+
+def load_split(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/split")

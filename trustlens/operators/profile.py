@@ -7,11 +7,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from ..functions.joins import lookup_join
 from ..functions.ranking import global_row_number
 from ..functions.scalar import exact_mean, log10p, quintile_of_rank, round_even
-from ..functions.stats import group_quantiles, histogram_bin, widened_range
-from .trust import category_params
+from ..functions.stats import group_quantiles, histogram_bin, quantiles_of, value_counts, widened_range
+from .trust import category_params, category_values
 
 # Fixed values that must equal the reference's for right results: the five
 # review-count group labels (in order), the histogram bin count, the whisker
@@ -27,8 +27,10 @@ MEAN_DIGITS = 4
 
 
 def category_counts(clean: DataFrame) -> DataFrame:
-    """Products per category (display order: count desc, then name)."""
-    return clean.groupBy("main_category").agg(F.count(F.lit(1)).alias("product_count"))
+    """Products per category, and its place in display order (count desc, then
+    name)."""
+    counts = clean.groupBy("main_category").agg(F.count(F.lit(1)).alias("product_count"))
+    return global_row_number(counts, [F.desc("product_count"), F.col("main_category")], "position")
 
 
 def kpis(clean: DataFrame) -> DataFrame:
@@ -89,18 +91,20 @@ def quintile_summary(clean: DataFrame) -> DataFrame:
 def extreme_bounds(clean: DataFrame) -> tuple[float, float]:
     """Global 20 % and 80 % quantiles of review count (two scalars)."""
     row = group_quantiles(clean, [], "rating_count", [LOW_Q, HIGH_Q], ["q_low", "q_high"]).first()
-    return float(row["q_low"]), float(row["q_high"])
+    # without any product there is no bound, and no row to hold against it
+    return (float(row["q_low"]), float(row["q_high"])) if row else (float("nan"), float("nan"))
 
 
 def extremes_groups(clean: DataFrame) -> DataFrame:
     """Rows of the bottom-20 % (count <= q20) and top-20 % (count >= q80)
     groups; bounds are inclusive, so a row can be in both."""
     q_low, q_high = extreme_bounds(clean)
-    bottom = clean.where(F.col("rating_count") <= F.lit(q_low)).withColumn("extreme_group", F.lit("bottom_20"))
-    top = clean.where(F.col("rating_count") >= F.lit(q_high)).withColumn("extreme_group", F.lit("top_20"))
-    return bottom.unionByName(top).withColumn(
-        "threshold", F.when(F.col("extreme_group") == "bottom_20", F.lit(q_low)).otherwise(F.lit(q_high))
-    )
+    x = F.col("rating_count")
+    group = lambda name, bound: F.struct(F.lit(name).alias("extreme_group"), F.lit(bound).alias("threshold"))
+    both = F.array(F.when(x <= q_low, group("bottom_20", q_low)), F.when(x >= q_high, group("top_20", q_high)))
+    # one pass: a row is repeated for each group that it is in
+    rows = clean.withColumn("_tl_group", F.explode(F.filter(both, lambda g: g.isNotNull())))
+    return rows.select(*clean.columns, "_tl_group.extreme_group", "_tl_group.threshold")
 
 
 def extremes_compare(clean: DataFrame) -> DataFrame:
@@ -114,45 +118,46 @@ def extremes_compare(clean: DataFrame) -> DataFrame:
     )
 
 
-def category_profile(clean: DataFrame, params: DataFrame | None = None) -> DataFrame:
-    """Per category: size, mean review count, median and Q1 m, mean rating."""
-    if params is None:
-        params = category_params(clean)
-    med = group_quantiles(clean, ["main_category"], "rating_count", [0.5], ["median_m"])
-    agg = clean.groupBy("main_category").agg(
-        F.count(F.lit(1)).alias("product_count"),
-        round_even(exact_mean("rating_count", 2), MEAN_DIGITS).alias("mean_review_count"),
-        round_even(exact_mean("rating", 4), MEAN_DIGITS).alias("mean_rating"),
+def category_profile(clean: DataFrame) -> DataFrame:
+    """Per category: size, mean review count, median and Q1 m, mean rating;
+    all from category_values()."""
+    values = category_values(clean)
+    params = category_params(clean, values=values)
+    med = quantiles_of(values, ["main_category"], "rating_count", [0.5], ["median_m"])
+    reviews = F.sum(F.col("rating_count").cast("decimal(18,2)") * F.col("n").cast("decimal(18,0)"))
+    mean = lambda x: round_even(x.cast("double") / F.sum("n").cast("double"), MEAN_DIGITS)
+    agg = values.groupBy("main_category").agg(
+        F.sum("n").alias("product_count"),
+        mean(reviews).alias("mean_review_count"),
+        mean(F.sum("rating_sum")).alias("mean_rating"),
     )
     p = params.select("main_category", F.col("m_value").alias("q1_m")).join(med, "main_category")
-    return lookup_join(agg, p, "main_category", "left")
+    return lookup_join(agg, p, "main_category")
 
 
 def with_log_count(clean: DataFrame) -> DataFrame:
     return clean.withColumn("log_review_count", log10p("rating_count"))
 
 
-def histogram15(
-    clean: DataFrame, bins: int = HIST_BINS, max_broadcast_rows: int | None = None
-) -> DataFrame:
+def histogram15(clean: DataFrame, bins: int = HIST_BINS) -> DataFrame:
     """Per category, ``bins`` equal-width bins of log10(count + 1), empty bins
     included, the way the plotting library bins them."""
-    x = with_log_count(clean).select("main_category", "log_review_count")
-    rng = x.groupBy("main_category").agg(
+    counts = value_counts(with_log_count(clean), ["main_category"], "log_review_count")
+    rng = counts.groupBy("main_category").agg(
         F.min("log_review_count").alias("_mn"), F.max("log_review_count").alias("_mx")
     )
     lo, hi = widened_range(F.col("_mn"), F.col("_mx"))
     rng = rng.select("main_category", lo.alias("bin_range_lo"), hi.alias("bin_range_hi"))
-    binned = lookup_join(x, rng, "main_category", "inner", max_broadcast_rows).withColumn(
+    binned = lookup_join(counts, rng, "main_category", "inner").withColumn(
         "bin", histogram_bin(F.col("log_review_count"), F.col("bin_range_lo"), F.col("bin_range_hi"), bins)
     )
-    counts = binned.groupBy("main_category", "bin").agg(F.count(F.lit(1)).alias("product_count"))
+    filled = binned.groupBy("main_category", "bin").agg(F.sum("n").alias("product_count"))
     # every (category, bin) pair, generated from the one-row-per-category range
     grid = rng.select(
         "main_category", "bin_range_lo", "bin_range_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
     step = (F.col("bin_range_hi") - F.col("bin_range_lo")) / F.lit(float(bins))
-    out = grid.join(counts, ["main_category", "bin"], "left")
+    out = grid.join(filled, ["main_category", "bin"], "left")
     return out.select(
         "main_category",
         "bin",
@@ -165,8 +170,10 @@ def histogram15(
 
 
 def box_stats(df: DataFrame, group_cols: list[str], value: str) -> DataFrame:
-    """Quartiles, 1.5 IQR whiskers (furthest point inside) and outlier count."""
-    qs = group_quantiles(df, group_cols, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    """Quartiles, 1.5 IQR whiskers (furthest point inside) and outlier count,
+    all from the values and how often each occurs."""
+    counts = value_counts(df, group_cols, value)
+    qs = quantiles_of(counts, group_cols, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
     qs = qs.withColumns(
         {
@@ -174,16 +181,17 @@ def box_stats(df: DataFrame, group_cols: list[str], value: str) -> DataFrame:
             "hi_fence": F.col("q3") + F.lit(WHISKER) * iqr,
         }
     )
-    joined = lookup_join(df.select(*group_cols, value), qs, group_cols, "inner")
+    joined = lookup_join(counts, qs, group_cols, "inner")
     v = F.col(value)
+    outside = (v < F.col("lo_fence")) | (v > F.col("hi_fence"))
     return joined.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("n").alias("n"),
         F.max("q1").alias("q1"),
         F.max("median").alias("median"),
         F.max("q3").alias("q3"),
         F.min(F.when(v >= F.col("lo_fence"), v)).alias("whisker_low"),
         F.max(F.when(v <= F.col("hi_fence"), v)).alias("whisker_high"),
-        F.count_if((v < F.col("lo_fence")) | (v > F.col("hi_fence"))).alias("n_outliers"),
+        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("n_outliers"),
     )
 
 

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from ..functions.joins import lookup_join
 from ..functions.ranking import global_row_number
 from ..functions.scalar import exact_mean, round_even
-from ..functions.stats import group_quantiles
+from ..functions.stats import group_quantiles, quantiles_of, value_counts
 
 # Fixed values that must equal the reference's for right results: the
 # quantile that defines m, the rounding of m (1 dp) and of C and the adjusted
@@ -26,45 +26,38 @@ RULE_RELIABLE = "reliable: keep original rating"
 RULE_SUSPICIOUS = "suspicious: apply Bayesian formula"
 
 
-def _value_frequencies(clean: DataFrame, value: str, group: str = "main_category") -> DataFrame:
-    """(group, value, n): the pre-aggregation behind every exact quantile.
+def category_quantile(clean: DataFrame, value: str, q: float, group: str = "main_category") -> DataFrame:
+    """Exact linear-interpolation quantile of ``value`` per group.
 
-    A hot category is spread over many reducers by the (group, value) key and
-    each map task combines its own rows first, so the percentile step that
-    follows sees one row per distinct value, not one per product.
+    Equals pandas ``quantile`` and SQL ``quantile_cont``.
     """
-    return clean.groupBy(group, value).agg(F.count(F.lit(1)).alias("_tl_w"))
-
+    return group_quantiles(clean, [group], value, [q], ["quantile"], None)
 
-def category_quantile(
-    clean: DataFrame, value: str, q: float | list[float], group: str = "main_category"
-) -> DataFrame:
-    """Exact linear-interpolation quantile(s) of ``value`` per group.
 
-    Equals pandas ``quantile`` and SQL ``quantile_cont``.
-    """
-    freq = _value_frequencies(clean, value, group)
-    return freq.groupBy(group).agg(F.percentile(value, q, F.col("_tl_w")).alias("quantile"))
+def category_values(clean: DataFrame) -> DataFrame:
+    """(main_category, rating_count, n, rating_sum): the table that parameters,
+    thresholds, bins and boxes per category follow from."""
+    rating_sum = F.sum(F.col("rating").cast("decimal(38,4)")).alias("rating_sum")
+    return value_counts(clean, ["main_category"], "rating_count", rating_sum)
 
 
-def category_params(clean: DataFrame, m_quantile: float = M_QUANTILE) -> DataFrame:
+def category_params(
+    clean: DataFrame, m_quantile: float = M_QUANTILE, values: DataFrame | None = None
+) -> DataFrame:
     """Per category: ``m_value`` (Q1 of review count, 1 dp) and
     ``category_mean_rating`` (mean rating, 4 dp), plus the unrounded mean
     ``category_mean_exact`` used by the purchase guide.
 
-    One pass: pre-aggregate to (category, review count) with the count and
-    the exact decimal rating sum, then one small aggregate per category.
+    All from category_values(), one pass over the products.
     """
-    per_value = clean.groupBy("main_category", "rating_count").agg(
-        F.count(F.lit(1)).alias("_tl_w"),
-        F.sum(F.col("rating").cast("decimal(38,4)")).alias("_tl_rsum"),
-    )
-    agg = per_value.groupBy("main_category").agg(
-        F.percentile("rating_count", m_quantile, F.col("_tl_w")).alias("_tl_q"),
-        (F.sum("_tl_rsum").cast("double") / F.sum("_tl_w").cast("double")).alias("category_mean_exact"),
-        F.sum("_tl_w").alias("product_count"),
+    if values is None:
+        values = category_values(clean)
+    m = quantiles_of(values, ["main_category"], "rating_count", [m_quantile], ["_tl_q"], None)
+    agg = values.groupBy("main_category").agg(
+        (F.sum("rating_sum").cast("double") / F.sum("n").cast("double")).alias("category_mean_exact"),
+        F.sum("n").alias("product_count"),
     )
-    return agg.select(
+    return lookup_join(agg, m, "main_category").select(
         "main_category",
         round_even("_tl_q", M_DIGITS).alias("m_value"),
         round_even("category_mean_exact", C_DIGITS).alias("category_mean_rating"),
@@ -74,9 +67,12 @@ def category_params(clean: DataFrame, m_quantile: float = M_QUANTILE) -> DataFra
 
 
 def m_values(clean: DataFrame) -> DataFrame:
-    """m per category with product count and display order (count desc)."""
-    p = category_params(clean)
-    return p.select("main_category", "m_value", "product_count")
+    """m per category with the product count, and the place of the category in
+    both display orders: most products first, and least m first (ties: name)."""
+    p = category_params(clean).select("main_category", "m_value", "product_count")
+    name = F.col("main_category")
+    p = global_row_number(p, [F.desc("product_count"), name], "count_position")
+    return global_row_number(p, [F.col("m_value"), name], "m_position")
 
 
 def m_values_approx(clean: DataFrame, accuracy: int = 10000) -> DataFrame:
@@ -97,11 +93,8 @@ def m_extremes(clean: DataFrame) -> DataFrame:
     return top.unionByName(low).select("which", "main_category", "m_value")
 
 
-def join_params(
-    clean: DataFrame, params: DataFrame, max_broadcast_rows: int | None = None
-) -> DataFrame:
-    p = params.select("main_category", "m_value", "category_mean_rating")
-    return lookup_join(clean, p, "main_category", "left", max_broadcast_rows)
+def join_params(clean: DataFrame, params: DataFrame) -> DataFrame:
+    return lookup_join(clean, params.select("main_category", "m_value", "category_mean_rating"), "main_category")
 
 
 def gated_rating(v: str = "rating_count", r: str = "rating", m: str = "m_value", c: str = "category_mean_rating"):
@@ -111,29 +104,21 @@ def gated_rating(v: str = "rating_count", r: str = "rating", m: str = "m_value",
     return round_even(raw, RATING_DIGITS)
 
 
-def trust_rating(
-    clean: DataFrame,
-    params: DataFrame | None = None,
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
+def trust_rating(clean: DataFrame, params: DataFrame | None = None) -> DataFrame:
     """``products_trust``: the clean table plus ``bayesian_rating``."""
     base = clean.dropna(subset=["main_category", "rating", "rating_count"])
     if params is None:
         params = category_params(base)
-    joined = join_params(base, params, max_broadcast_rows)
+    joined = join_params(base, params)
     return joined.withColumn("bayesian_rating", gated_rating()).drop("m_value", "category_mean_rating")
 
 
-def trust_detail(
-    clean: DataFrame,
-    params: DataFrame | None = None,
-    max_broadcast_rows: int | None = None,
-) -> DataFrame:
+def trust_detail(clean: DataFrame, params: DataFrame | None = None) -> DataFrame:
     """Per product: parameters, suspicion flag, adjusted rating, gap, rule."""
     base = clean.dropna(subset=["main_category", "rating", "rating_count"])
     if params is None:
         params = category_params(base)
-    joined = join_params(base, params, max_broadcast_rows)
+    joined = join_params(base, params)
     suspicious = F.col("rating_count") < F.col("m_value")
     return joined.select(
         "product_id",
@@ -156,6 +141,7 @@ def trust_detail(
     )
 
 
+# Fixed: the columns of the rank-movers table, in this order.
 RANK_COLUMNS = [
     "product_id",
     "product_name",
@@ -174,22 +160,33 @@ RANK_COLUMNS = [
 ]
 
 
-def rank_movers(detail: DataFrame) -> DataFrame:
-    """Rank by rating and by adjusted rating (descending, ties by row order)
-    and the change between them; positive change = the product fell."""
-    r1 = global_row_number(detail, [F.desc("rating"), F.asc("ordinal")], "rating_rank")
+def product_ranks(detail: DataFrame) -> DataFrame:
+    """(ordinal, product_id, rating_rank, bayesian_rank, rank_change,
+    abs_rank_change): ranks by rating and by adjusted rating (descending, ties
+    by row order); positive change = the product fell.
+
+    Only these few columns are ranged and checkpointed, never the labels.
+    """
+    narrow = detail.select("ordinal", "product_id", "rating", "bayesian_rating")
+    r1 = global_row_number(narrow, [F.desc("rating"), F.asc("ordinal")], "rating_rank")
     r2 = global_row_number(r1, [F.desc("bayesian_rating"), F.asc("ordinal")], "bayesian_rank")
     change = F.col("bayesian_rank") - F.col("rating_rank")
-    return r2.withColumn("rank_change", change).withColumn("abs_rank_change", F.abs(change))
+    ranks = r2.withColumn("rank_change", change).withColumn("abs_rank_change", F.abs(change))
+    return ranks.drop("rating", "bayesian_rating")
+
+
+def rank_movers(detail: DataFrame) -> DataFrame:
+    """``detail`` with the columns of product_ranks()."""
+    return detail.join(product_ranks(detail).drop("product_id"), "ordinal")
 
 
 def rank_movers_top(detail: DataFrame, k: int = 50) -> DataFrame:
     """The k products whose rank moves most (ties: product id).
 
-    A top-k: every task keeps k rows and the driver merges k x tasks rows.
+    A top-k of narrow rows; the k winners' other columns are fetched after.
     """
-    moved = rank_movers(detail)
-    return moved.orderBy(F.desc("abs_rank_change"), F.asc("product_id")).limit(k).select(*RANK_COLUMNS)
+    top = product_ranks(detail).orderBy(F.desc("abs_rank_change"), F.asc("product_id")).limit(k)
+    return lookup_join(detail, top.drop("product_id"), "ordinal", "inner").select(*RANK_COLUMNS)
 
 
 def trust_summary(detail: DataFrame) -> DataFrame:
@@ -200,29 +197,29 @@ def trust_summary(detail: DataFrame) -> DataFrame:
         total.alias("total_products"),
         (total - susp).alias("reliable_products"),
         susp.alias("suspicious_products"),
-        round_even(susp.cast("double") / total.cast("double") * F.lit(100.0), 2).alias("suspicious_pct"),
+        round_even(F.try_divide(susp.cast("double"), total.cast("double")) * F.lit(100.0), 2).alias("suspicious_pct"),
         round_even(exact_mean("rating", 4), 4).alias("mean_rating"),
         round_even(exact_mean("bayesian_rating", 4), 4).alias("mean_bayesian_rating"),
         round_even(exact_mean("rating_gap", 4), 4).alias("mean_rating_gap"),
     )
 
 
-def m_choice_compare(clean: DataFrame, params: DataFrame | None = None) -> DataFrame:
-    """Per category: suspects under m = median against m = Q1 (1 dp)."""
-    if params is None:
-        params = category_params(clean)
-    med = group_quantiles(clean, ["main_category"], "rating_count", [0.5], ["median_m"])
-    p = params.select("main_category", "m_value").join(med, "main_category")
-    joined = lookup_join(clean.select("main_category", "rating_count"), p, "main_category", "left")
-    n = F.count(F.lit(1))
-    s_med = F.count_if(F.col("rating_count") < F.col("median_m"))
-    s_q1 = F.count_if(F.col("rating_count") < F.col("m_value"))
+def m_choice_compare(clean: DataFrame) -> DataFrame:
+    """Per category: suspects under m = median against m = Q1 (1 dp), counted
+    from category_values() alone."""
+    values = category_values(clean)
+    params = category_params(clean, values=values).select("main_category", "m_value")
+    med = quantiles_of(values, ["main_category"], "rating_count", [0.5], ["median_m"])
+    joined = lookup_join(values, params.join(med, "main_category"), "main_category")
+    n = F.sum("n")
+    below = lambda m: F.sum(F.when(F.col("rating_count") < F.col(m), F.col("n")).otherwise(0))
+    pct = lambda m: round_even(below(m).cast("double") / n.cast("double") * F.lit(100.0), 1)
     return joined.groupBy("main_category").agg(
         n.alias("product_count"),
         F.max("median_m").alias("median_m"),
         F.max("m_value").alias("q1_m"),
-        s_med.alias("suspect_median"),
-        round_even(s_med.cast("double") / n.cast("double") * F.lit(100.0), 1).alias("pct_median"),
-        s_q1.alias("suspect_q1"),
-        round_even(s_q1.cast("double") / n.cast("double") * F.lit(100.0), 1).alias("pct_q1"),
+        below("median_m").alias("suspect_median"),
+        pct("median_m").alias("pct_median"),
+        below("m_value").alias("suspect_q1"),
+        pct("m_value").alias("pct_q1"),
     )

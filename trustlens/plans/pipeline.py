@@ -12,6 +12,11 @@ from ..operators import trust as T
 from ..sources import fixtures as FX
 
 
+def target_split(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
+    """Products with category, target and split; what needs no feature."""
+    return FE.split_assign(T.trust_rating(clean_table(spark, sf_dir, threshold)))
+
+
 @dataclass
 class ModelInputs:
     clean: DataFrame
@@ -23,20 +28,16 @@ class ModelInputs:
 
 
 def clean_table(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
-    return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold).persist()
+    return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold)
 
 
 def model_inputs(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> ModelInputs:
-    """clean -> trust target; clean -> skew-driven features; join; split.
-
-    The clean table feeds both branches, so it is persisted once (memory and
-    disk; lost blocks are recomputed from lineage).
-    """
+    """clean -> trust target; clean -> skew-driven features; join; split."""
     clean = clean_table(spark, sf_dir, threshold)
     trust = T.trust_rating(clean)
-    logged = FE.log_features(clean)
-    feats = FE.feature_table(logged)
+    decisions = FE.log_decisions(clean)
+    numeric = FE.feature_columns(decisions)
+    feats = FE.feature_table(FE.log_features(clean, decisions), numeric)
     ready = FE.model_ready(feats, trust)
-    numeric = FE.resolved_features(feats.columns)
     split = FE.split_assign(ready)
     return ModelInputs(clean, trust, feats, ready, split, numeric)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from ..operators import model as M
 from ..operators import guide as G
 from ..operators import profile as P
 from ..operators import trust as T
+from ..functions.joins import lookup_join
+from ..functions.stats import group_quantiles
 from ..sources import fixtures as FX
 from . import oracle as O
 from ..sources import io as IO
@@ -29,14 +33,39 @@ from .session import scratch_dir
 # coarser 80 that leaves a large ``Other`` group (see FIXTURES.md).
 THRESHOLD = 15
 THRESHOLD_COARSE = 80
+# The caller's text for each verdict of the purchase guide.
+MESSAGES = {
+    "success": "falls by less than 0.1",
+    "warning": "falls by less than 0.3",
+    "error": "falls by 0.3 or more",
+}
+
+# Coefficients planted for the attribution queries, so that SQL can state the
+# result: numeric feature i, and category slot i in alphabetical order.
+def planted(i: int, numeric: bool) -> float:
+    return (i + 1) / 8 if numeric else (i % 7 - 3) / 16
+
+
+_MODELS: dict[tuple, str] = {}
+
+
+def _model(spark: SparkSession, sf_dir: str, name: str) -> tuple[PipelineModel, PL.ModelInputs]:
+    """The model of this name for the input as it is now: fitted and saved with
+    its split once, loaded from its path after that."""
+    key = (spark.sparkContext.applicationId, FX.input_version(spark, sf_dir), name)
+    mi = PL.model_inputs(spark, sf_dir)
+    if key not in _MODELS:
+        model = M.fit_model(name, mi.split.where("split = 'train'"), mi.numeric)
+        _MODELS[key] = M.save_model(model, scratch_dir(spark, "model"), mi.split)
+    return M.load_model(_MODELS[key]), mi
+
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def _clean(spark: SparkSession, sf_dir: str, threshold: int = THRESHOLD) -> DataFrame:
-    # the clean table feeds both sides of most queries (an aggregate and the
-    # rows it is joined back to): persist it so its pipeline runs once
-    return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold).persist()
+    # not cached: every query prunes it to the columns that it needs
+    return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold)
 
 
 def _detail(spark: SparkSession, sf_dir: str, threshold: int = THRESHOLD) -> DataFrame:
@@ -112,7 +141,15 @@ def build_queries() -> dict[str, QueryFn]:
 
     # trust outputs
     q["m_values"] = lambda s, d: T.m_values(_clean(s, d))
-    q["m_values_approx"] = lambda s, d: T.m_values_approx(_clean(s, d))
+
+    def approx_m(s, d):
+        clean = _clean(s, d)
+        near = group_quantiles(clean, ["main_category"], "rating_count", [0.2, 0.3], ["low", "high"])
+        both = lookup_join(T.m_values_approx(clean), near, "main_category")
+        within = F.col("m_value_approx").between(F.col("low"), F.col("high"))
+        return both.select("main_category", "product_count", within.alias("near_first_quartile"))
+
+    q["m_values_approx"] = approx_m
     q["m_extremes"] = lambda s, d: T.m_extremes(_clean(s, d))
     q["trust_summary"] = lambda s, d: T.trust_summary(_detail(s, d))
     q["trust_summary_t80"] = lambda s, d: T.trust_summary(_detail(s, d, THRESHOLD_COARSE))
@@ -121,7 +158,7 @@ def build_queries() -> dict[str, QueryFn]:
     # purchase guide
     def scored(s, d):
         clean = _clean(s, d)
-        return G.score_candidates(FX.candidates(clean), T.category_params(clean))
+        return G.score_candidates(FX.candidates(clean), T.category_params(clean), MESSAGES)
 
     def compared(s, d):
         clean = _clean(s, d)
@@ -133,7 +170,14 @@ def build_queries() -> dict[str, QueryFn]:
 
     # profiles
     q["kpis"] = lambda s, d: P.kpis(_clean(s, d))
-    q["kpis_approx"] = lambda s, d: P.kpis_approx(_clean(s, d))
+
+    def approx_kpis(s, d):
+        clean = _clean(s, d)
+        exact = P.kpis(clean).first()
+        near = lambda c: (F.abs(F.col(f"{c}_approx") - exact[c]) <= 0.05 * exact[c]).alias(f"{c}_near")
+        return P.kpis_approx(clean).select(near("distinct_products"), near("distinct_categories"))
+
+    q["kpis_approx"] = approx_kpis
     q["review_quintile"] = lambda s, d: P.review_quintile(_clean(s, d)).select(
         "product_id", "rating_count", "review_rank", "quintile", "review_count_group"
     )
@@ -181,14 +225,21 @@ def build_queries() -> dict[str, QueryFn]:
         return FE.join_audit(mi.features, mi.trust)
 
     q["join_audit"] = audit
-    q["split_assign"] = lambda s, d: PL.model_inputs(s, d).split.select("product_id", "split")
-    q["evaluate_baseline"] = lambda s, d: M.evaluate(M.baseline_predictions(PL.model_inputs(s, d).split))
+    q["split_assign"] = lambda s, d: FE.split_assign(_clean(s, d).select("product_id")).select("product_id", "split")
+    q["evaluate_baseline"] = lambda s, d: M.evaluate(M.baseline_predictions(PL.target_split(s, d)))
 
-    # models (Spark ML; rows-only checks)
+    # models: SQL states what must hold of them
     def fitted(name):
         def run(s, d):
-            mi = PL.model_inputs(s, d)
-            return M.predictions(name, mi.split, mi.numeric, cache_key=f"{d}|{THRESHOLD}")
+            model, mi = _model(s, d, name)
+            test = F.col("split") == "test"
+            error = F.when(~test, (F.col(FE.TARGET) - F.col("prediction")) ** 2)
+            return model.transform(mi.split).agg(
+                F.lit(name).alias("model"),
+                F.count_if(test).alias("test_rows"),
+                F.count_if(test & F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted_rows"),
+                (F.avg(error) < F.var_pop(F.when(~test, F.col(FE.TARGET)))).alias("fits_better_than_mean"),
+            )
 
         return run
 
@@ -197,56 +248,94 @@ def build_queries() -> dict[str, QueryFn]:
     q["fit_boosted"] = fitted("Gradient Boosting")
 
     def compare(s, d):
-        mi = PL.model_inputs(s, d)
-        return M.compare_models(mi.split, mi.numeric, cache_key=f"{d}|{THRESHOLD}")
+        models, mi = {}, None
+        for name in M.MODEL_NAMES:
+            models[name], mi = _model(s, d, name)
+        metrics = M.compare_models(models, mi.split)
+        least = F.min_by("is_best", "rmse")
+        return metrics.agg(
+            F.count(F.lit(1)).alias("models"),
+            F.count_if("is_best").alias("best"),
+            least.alias("best_has_least_rmse"),
+            (F.count("rmse") + F.count("mae") + F.count("r2")).alias("metrics"),
+        )
 
     q["compare_models"] = compare
-    q["best_model"] = lambda s, d: M.best_model(compare(s, d))
 
-    def linear_shap(s, d):
-        mi = PL.model_inputs(s, d)
-        train = mi.split.where("split = 'train'")
-        model = M.fit_model("Linear Regression", train, mi.numeric, f"{d}|{THRESHOLD}")
-        return X.shap_linear(model, mi.ready, train, mi.numeric), model, mi
+    def best_of_baselines(s, d):
+        split = PL.target_split(s, d)
+        parts = [
+            M.baseline_predictions(split, by_category=c).select(F.lit(n).alias("model"), FE.TARGET, "prediction")
+            for n, c in (("Category Mean", True), ("Overall Mean", False))
+        ]
+        return M.best_model(M.compare_predictions(parts[0].unionByName(parts[1])))
 
-    q["shap_linear"] = lambda s, d: linear_shap(s, d)[0]
+    q["best_model"] = best_of_baselines
 
-    def sampled(name, n_perm, n_bg):
+    def sampled(name):
         def run(s, d):
-            mi = PL.model_inputs(s, d)
+            model, mi = _model(s, d, name)
             train = mi.split.where("split = 'train'")
-            model = M.fit_model(name, train, mi.numeric, f"{d}|{THRESHOLD}")
-            return X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=n_perm, n_background=n_bg)
+            shap = X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=2)
+            background = X.background_summary(model, train)
+            total = sum(n for _, n in background)
+            rows = s.createDataFrame([(x, n / total) for x, n in background], "x array<double>, w double")
+            at = model.stages[-1].transform(rows.withColumn("features", array_to_vector("x")))
+            base = at.agg(F.sum(F.col("prediction") * F.col("w"))).first()[0]
+            sums = shap.groupBy("product_id").agg(F.sum("shap_value").alias("phi"), F.count(F.lit(1)).alias("n"))
+            both = model.transform(mi.ready).select("product_id", "prediction").join(sums, "product_id")
+            return both.agg(
+                F.count(F.lit(1)).alias("products"),
+                F.max("n").alias("features"),
+                (F.max(F.abs(F.col("phi") - (F.col("prediction") - F.lit(base)))) < 1e-9).alias("adds_up"),
+            )
 
         return run
 
-    q["shap_sampled"] = sampled("Linear Regression", 4, 4)
-    q["shap_sampled_forest"] = sampled("Random Forest", 2, 2)
+    q["shap_sampled"] = sampled("Linear Regression")
+    q["shap_sampled_forest"] = sampled("Random Forest")
 
-    def feature_names(s, d):
-        _, model, mi = linear_shap(s, d)
-        return X.feature_names_df(s, X.feature_names(model, mi.numeric))
+    def features_and_names(s, d):
+        mi = PL.model_inputs(s, d)
+        stages = Pipeline(stages=M.feature_stages(mi.numeric)).fit(mi.split.where("split = 'train'"))
+        return stages, X.feature_names(stages, mi.numeric), mi
+
+    def linear_shap(s, d):
+        stages, names, mi = features_and_names(s, d)
+        k = len(mi.numeric)
+        beta = [planted(i, True) for i in range(k)] + [planted(i, False) for i in range(len(names) - k)]
+        mean = X.feature_means(X.dense_features(stages, mi.split.where("split = 'train'")), len(names))
+        return X.linear_attributions(X.dense_features(stages, mi.ready), names, beta, mean), names, mi
 
-    q["feature_names"] = feature_names
+    q["feature_names"] = lambda s, d: X.feature_names_df(s, features_and_names(s, d)[1])
+    q["shap_linear"] = lambda s, d: linear_shap(s, d)[0]
     q["shap_importance"] = lambda s, d: X.shap_importance(linear_shap(s, d)[0])
     q["top_features"] = lambda s, d: X.top_features(X.shap_importance(linear_shap(s, d)[0]))
+    q["top_features5"] = lambda s, d: X.top_features(X.shap_importance(linear_shap(s, d)[0]), 5)
 
     def wide(s, d):
-        sl, model, mi = linear_shap(s, d)
-        return X.shap_wide(sl, X.feature_names(model, mi.numeric))
+        sl, names, mi = linear_shap(s, d)
+        out = X.shap_wide(sl, names)
+        numeric = names[: len(mi.numeric)]
+        return out.select(
+            "product_id",
+            *[F.col(f"`{n}`").alias(f"value_{i}") for i, n in enumerate(numeric)],
+            *[F.col(f"`{X.SHAP_PREFIX}{n}`").alias(f"shap_{i}") for i, n in enumerate(numeric)],
+        )
 
     q["shap_wide"] = wide
+    q["shap_long"] = lambda s, d: (lambda sl, names, _: X.shap_long(X.shap_wide(sl, names)))(*linear_shap(s, d))
     q["top_contributions"] = lambda s, d: X.top_contributions(linear_shap(s, d)[0])
     q["shap_dependence"] = lambda s, d: X.shap_dependence(linear_shap(s, d)[0])
 
     def labelled(s, d):
-        sl, model, mi = linear_shap(s, d)
-        return X.label_features(X.shap_importance(sl), X.default_labels(s, X.feature_names(model, mi.numeric)))
+        sl, names, _ = linear_shap(s, d)
+        return X.label_features(X.shap_importance(sl), X.default_labels(s, names))
 
     q["label_features"] = labelled
 
     def explained(s, d):
-        sl, model, mi = linear_shap(s, d)
+        sl, _, mi = linear_shap(s, d)
         return X.product_explain(mi.trust, sl)
 
     q["product_explain"] = explained
@@ -259,6 +348,19 @@ def build_queries() -> dict[str, QueryFn]:
 
     q["read_listings"] = listings_roundtrip
 
+    def numbered_listings(s, d):
+        raw_rows = FX.products_raw(s, d).repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal")
+        path = IO.write_csv(raw_rows.drop("ordinal"), scratch_dir(s, "listings_parts"), bom=True)
+        return IO.read_listings(s, path).select(*FX.RAW_COLUMNS)
+
+    q["read_listings_numbered"] = numbered_listings
+
+    def zipped(s, d):
+        archives = IO.zip_listings(FX.products_raw(s, d), scratch_dir(s, "listings_zip"))
+        return IO.read_listings(s, IO.unzip_listings(s, archives, scratch_dir(s, "unzipped"))).select(*FX.RAW_COLUMNS)
+
+    q["read_zip"] = zipped
+
     def table_roundtrip(s, d):
         path = IO.write_table(T.trust_rating(_clean(s, d)), scratch_dir(s, "products_trust"))
         return IO.read_table(s, path)
@@ -266,7 +368,7 @@ def build_queries() -> dict[str, QueryFn]:
     q["write_table"] = table_roundtrip
 
     def gold(s, d):
-        clean = _clean(s, d).persist()
+        clean = _clean(s, d)
         params = T.category_params(clean)
         paths = IO.materialize(
             {"products_clean": clean, "category_params": params, "products_trust": T.trust_rating(clean, params)},
@@ -284,7 +386,7 @@ def build_queries() -> dict[str, QueryFn]:
     q["materialize_gold"] = gold
 
     def metrics_roundtrip(s, d):
-        m = M.evaluate(M.baseline_predictions(PL.model_inputs(s, d).split)).select(
+        m = M.evaluate(M.baseline_predictions(PL.target_split(s, d))).select(
             F.lit("Category Mean Baseline").alias("model"), "rmse", "mae", "r2"
         )
         path = IO.write_metrics_json(m, scratch_dir(s, "metrics_json"))
@@ -294,11 +396,12 @@ def build_queries() -> dict[str, QueryFn]:
 
     def model_roundtrip(s, d):
         mi = PL.model_inputs(s, d)
-        train = mi.split.where("split = 'train'")
-        test = mi.split.where("split = 'test'")
-        model = M.fit_model("Linear Regression", train, mi.numeric, f"{d}|{THRESHOLD}")
-        loaded = M.load_model(M.save_model(model, scratch_dir(s, "linear_model")))
-        return loaded.transform(test).select("product_id", FE.TARGET, "prediction")
+        model = M.fit_model("Linear Regression", mi.split.where("split = 'train'"), mi.numeric)
+        path = M.save_model(model, scratch_dir(s, "linear_model"), mi.split)
+        test = M.load_split(s, path).where("split = 'test'")
+        cols = lambda m, name: m.transform(test).select("product_id", F.col("prediction").alias(name))
+        both = cols(model, "now").join(cols(M.load_model(path), "loaded"), "product_id")
+        return both.agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("now") == F.col("loaded")).alias("same_rows"))
 
     q["save_model"] = model_roundtrip
     return q
@@ -326,28 +429,29 @@ def build_oracle() -> dict[str, str]:
     o["rank_movers_top50"] = O.with_ctes(c15, RANK_SELECT)
     o["rank_movers_top50_t80"] = O.with_ctes(c80, RANK_SELECT)
 
-    money = "TRY_CAST(replace(replace({c}, '₹', ''), ',', '') AS DOUBLE)"
+    money = lambda c: O.number_sql(f"replace(replace({c}, '₹', ''), ',', '')")
     o["parse_money"] = O.with_ctes(
         c15,
-        f"""SELECT ordinal, actual_price AS actual_price_text, {money.format(c="actual_price")} AS actual_price,
-       discounted_price AS discounted_price_text, {money.format(c="discounted_price")} AS discounted_price
+        f"""SELECT ordinal, actual_price AS actual_price_text, {money("actual_price")} AS actual_price,
+       discounted_price AS discounted_price_text, {money("discounted_price")} AS discounted_price
 FROM raw""",
     )
     o["parse_percent"] = O.with_ctes(
         c15,
-        """SELECT ordinal, discount_percentage AS discount_percentage_text,
-       TRY_CAST(replace(discount_percentage, '%', '') AS DOUBLE) AS discount_percentage FROM raw""",
+        f"""SELECT ordinal, discount_percentage AS discount_percentage_text,
+       {O.number_sql("replace(discount_percentage, '%', '')")} AS discount_percentage FROM raw""",
     )
     o["parse_count"] = O.with_ctes(
         c15,
-        """SELECT ordinal, rating_count AS rating_count_text,
-       TRY_CAST(replace(rating_count, ',', '') AS DOUBLE) AS rating_count FROM raw""",
+        f"""SELECT ordinal, rating_count AS rating_count_text,
+       {O.number_sql("replace(rating_count, ',', '')")} AS rating_count FROM raw""",
     )
     o["parse_numeric"] = O.with_ctes(
-        c15, "SELECT ordinal, rating AS rating_text, TRY_CAST(rating AS DOUBLE) AS rating FROM raw"
+        c15, f"SELECT ordinal, rating AS rating_text, {O.number_sql('rating')} AS rating FROM raw"
     )
+    second = "string_split(category, '|')[2]"
     o["category_level"] = O.with_ctes(
-        c15, "SELECT ordinal, category, trim(string_split(category, '|')[2]) AS second_category FROM raw"
+        c15, f"SELECT ordinal, category, {O.trim_sql(second)} AS second_category FROM raw"
     )
     o["dedup_first"] = O.with_ctes(c15, "SELECT product_id, ordinal FROM firsts")
     o["bucket_rare"] = O.with_ctes(
@@ -357,7 +461,9 @@ FROM leveled l LEFT JOIN majors m ON l.second_category = m.major""",
     )
     o["review_length"] = O.with_ctes(c15, "SELECT product_id, review_length FROM clean")
     o["category_counts"] = O.with_ctes(
-        c15, "SELECT main_category, count(*) AS product_count FROM clean GROUP BY main_category"
+        c15,
+        """SELECT main_category, product_count, row_number() OVER (ORDER BY product_count DESC, main_category) AS position
+FROM (SELECT main_category, count(*) AS product_count FROM clean GROUP BY main_category)""",
     )
     dm = {**c15, **O.dummy_ctes()}
     o["align_schema"] = O.with_ctes(dm, "SELECT * FROM aligned")
@@ -375,7 +481,12 @@ FROM (SELECT coalesce(a.main_category, b.main_category) AS main_category,
       ON a.main_category = b.main_category)""",
     )
 
-    o["m_values"] = O.with_ctes(c15, "SELECT main_category, m_value, product_count FROM params")
+    o["m_values"] = O.with_ctes(
+        c15,
+        """SELECT main_category, m_value, product_count,
+       row_number() OVER (ORDER BY product_count DESC, main_category) AS count_position,
+       row_number() OVER (ORDER BY m_value, main_category) AS m_position FROM params""",
+    )
     ext = """
 (SELECT 'highest' AS which, main_category, m_value FROM params ORDER BY m_value DESC, main_category LIMIT 1)
 UNION ALL
@@ -420,6 +531,7 @@ GROUP BY c.main_category""",
         gd,
         """
 SELECT pr.pair_id, pr.a_id, pr.b_id, a.category AS a_category, b.category AS b_category,
+       a.rating AS a_rating, b.rating AS b_rating, a.review_count AS a_review_count, b.review_count AS b_review_count,
        a.corrected_rating AS a_corrected_rating, b.corrected_rating AS b_corrected_rating,
        a.decline AS a_decline, b.decline AS b_decline, a.level AS a_level, b.level AS b_level,
        CASE WHEN a.corrected_rating > b.corrected_rating THEN 'A'
@@ -513,7 +625,14 @@ GROUP BY 1, 2, 3""",
 FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
     )
     _features_oracle(o, c15)
-    o["read_listings"] = o["products_raw"]
+    o["read_listings"] = o["read_zip"] = o["products_raw"]
+    o["read_listings_numbered"] = O.with_ctes(
+        c15, "SELECT * REPLACE (row_number() OVER (ORDER BY ordinal) - 1 AS ordinal) FROM raw"
+    )
+    o["m_values_approx"] = O.with_ctes(
+        c15, "SELECT main_category, product_count, true AS near_first_quartile FROM params"
+    )
+    o["kpis_approx"] = "SELECT true AS distinct_products_near, true AS distinct_categories_near"
     o["write_table"] = o["trust_rating"]
     o["materialize_gold"] = O.with_ctes(
         c15,
@@ -589,7 +708,84 @@ UNION ALL SELECT 'main_category', count(*) FILTER (WHERE main_category IS NULL)
        round_even(avg(abs(y - p)), 4) AS mae,
        round_even(1.0 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 4) AS r2 FROM pr""",
     )
+    o["best_model"] = O.with_ctes(
+        fc,
+        """SELECT model, round_even(sqrt(sum((y - p) * (y - p)) / count(*)), 4) AS rmse,
+       round_even(avg(abs(y - p)), 4) AS mae,
+       round_even(1.0 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)), 4) AS r2, true AS is_best
+FROM (SELECT 'Category Mean' AS model, y, p FROM pr
+      UNION ALL SELECT 'Overall Mean', te.bayesian_rating, om.all_mean FROM te CROSS JOIN om)
+GROUP BY model ORDER BY rmse, model LIMIT 1""",
+    )
+    for key, name in (("fit_linear", "Linear Regression"), ("fit_forest", "Random Forest"), ("fit_boosted", "Gradient Boosting")):
+        o[key] = O.with_ctes(
+            fc, f"SELECT '{name}' AS model, count(*) AS test_rows, count(*) AS predicted_rows, true AS fits_better_than_mean FROM te"
+        )
+    o["compare_models"] = "SELECT 3 AS models, 1 AS best, true AS best_has_least_rmse, 9 AS metrics"
+    o["save_model"] = O.with_ctes(fc, "SELECT count(*) AS test_rows, count(*) AS same_rows FROM te")
+    o["shap_sampled"] = o["shap_sampled_forest"] = O.with_ctes(
+        fc,
+        f"""SELECT (SELECT count(*) FROM sp) AS products,
+       {len(CANDIDATES)} + (SELECT count(DISTINCT main_category) FROM tr) AS features, true AS adds_up""",
+    )
     idx = ", ".join(f"({i}, '{c}')" for i, c in enumerate(CANDIDATES))
+    sc = {
+        **fc,
+        "slots": """SELECT main_category AS slot, row_number() OVER (ORDER BY main_category) - 1 AS i
+                    FROM (SELECT DISTINCT main_category FROM tr)""",
+        "names": f"""SELECT v.i, 'num__' || CASE WHEN k.need_log THEN 'log_' || v.c ELSE v.c END AS feature,
+                    (v.i + 1) / 8.0::DOUBLE AS beta FROM (VALUES {idx}) v(i, c) JOIN skd k ON k.column_name = v.c""",
+        "xs": """SELECT product_id, 'num__' || feature AS feature, value FROM ft
+                 UNION ALL
+                 SELECT s.product_id, 'cat__main_category_' || slot, CASE WHEN s.main_category = slot THEN 1.0 ELSE 0.0 END::DOUBLE
+                 FROM sp s CROSS JOIN slots""",
+        "betas": """SELECT i, feature, beta FROM names
+                    UNION ALL SELECT 5 + i, 'cat__main_category_' || slot, (i % 7 - 3) / 16.0::DOUBLE FROM slots""",
+        "ms": f"SELECT feature, {O.exact_mean_sql('value', 9)} AS m FROM xs JOIN tr USING (product_id) GROUP BY feature",
+        "sh": """SELECT product_id, feature, value AS feature_value, (value - m) * beta AS shap_value, i
+                 FROM xs JOIN ms USING (feature) JOIN betas USING (feature)""",
+        "imp": f"SELECT feature, {O.exact_mean_sql('abs(shap_value)', 9)} AS importance FROM sh GROUP BY feature",
+    }
+    o["shap_linear"] = o["shap_long"] = O.with_ctes(sc, "SELECT product_id, feature, feature_value, shap_value FROM sh")
+    o["shap_importance"] = O.with_ctes(sc, "SELECT * FROM imp")
+    for key, k in (("top_features", 7), ("top_features5", 5)):
+        o[key] = O.with_ctes(sc, f"SELECT * FROM imp ORDER BY importance DESC, feature LIMIT {k}")
+    cells = ", ".join(
+        f"max(feature_value) FILTER (WHERE i = {i}) AS value_{i}, max(shap_value) FILTER (WHERE i = {i}) AS shap_{i}"
+        for i in range(len(CANDIDATES))
+    )
+    o["shap_wide"] = O.with_ctes(sc, f"SELECT product_id, {cells} FROM sh GROUP BY product_id")
+    o["top_contributions"] = O.with_ctes(
+        sc,
+        """SELECT product_id, feature, feature_value, shap_value,
+       CAST(row_number() OVER (PARTITION BY product_id ORDER BY abs(shap_value) DESC, feature) AS INTEGER) AS contribution_rank,
+       CASE WHEN shap_value >= 0 THEN 'up' ELSE 'down' END AS direction
+FROM sh QUALIFY contribution_rank <= 8""",
+    )
+    o["shap_dependence"] = O.with_ctes(
+        sc,
+        f"""SELECT feature, value_bin, count(*) AS n, {O.exact_mean_sql("feature_value", 9)} AS mean_feature_value,
+       {O.exact_mean_sql("shap_value", 9)} AS mean_shap_value
+FROM (SELECT s.*, CAST(CASE WHEN hi - lo > 0 THEN least(floor((feature_value - lo) / ((hi - lo) / 20.0)), 19) ELSE 0 END AS INTEGER) AS value_bin
+      FROM sh s JOIN (SELECT feature, min(feature_value) AS lo, max(feature_value) AS hi FROM sh GROUP BY feature) r USING (feature))
+GROUP BY feature, value_bin""",
+    )
+    o["label_features"] = O.with_ctes(
+        sc,
+        """SELECT feature, importance, CASE WHEN starts_with(feature, 'cat__') THEN 'category: ' || substr(feature, 20)
+       ELSE replace(CASE WHEN starts_with(feature, 'num__log_') THEN substr(feature, 10) ELSE substr(feature, 6) END, '_', ' ') END AS label
+FROM imp""",
+    )
+    o["product_explain"] = O.with_ctes(
+        sc,
+        """
+SELECT t.product_id, t.product_name, t.main_category, t.rating, t.rating_count, t.bayesian_rating,
+       u.feature AS top_positive_feature, u.feature_value AS top_positive_value, u.shap_value AS top_positive_shap,
+       w.feature AS top_negative_feature, w.feature_value AS top_negative_value, w.shap_value AS top_negative_shap
+FROM trust t
+JOIN (SELECT * FROM sh QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY shap_value DESC, feature DESC) = 1) u USING (product_id)
+JOIN (SELECT * FROM sh QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY shap_value, feature) = 1) w USING (product_id)""",
+    )
     o["feature_names"] = O.with_ctes(
         fc,
         f"""

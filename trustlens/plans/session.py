@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,7 +38,7 @@ def get_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    if master and master.startswith("local"):
+    if master and re.match(r"local(\[|$)", master):
         # local mode: the driver JVM is the executor; on a cluster memory is
         # set by spark-submit instead
         conf["spark.driver.memory"] = "12g"
@@ -70,7 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    # local[n] is one process; local-cluster has executors of its own
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS/S3/ABFS) before running trustlens on a cluster"

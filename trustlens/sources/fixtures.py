@@ -62,7 +62,7 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     pk = F.col("p_partkey")
     base = (
         part.join(lines, pk == F.col("l_partkey"), "left")
-        .join(docs, pk == F.col("doc_id"), "left")
+        .join(docs, F.expr("p_partkey div 2") == F.col("doc_id"), "left")
         .withColumn(
             "dup",
             F.explode(
@@ -76,16 +76,23 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # integer divisions (SQL ``div``) keep every derived number exact
     cents = F.col("cents")
     pct = F.col("pct")
+    plain_rating = F.expr("concat(cast(tenths div 10 as string), '.', cast(tenths % 10 as string))")
     rating_text = (
         F.when(pk % 97 == 3, F.lit("|"))
         .when(pk % 193 == 11, F.lit("7.5"))
-        .otherwise(F.expr("concat(cast(tenths div 10 as string), '.', cast(tenths % 10 as string))"))
+        # what Java reads as a number and pandas does not
+        .when(pk % 83 == 17, F.concat(plain_rating, F.lit("d")))
+        .when(pk % 127 == 19, F.lit("0x1p1"))
+        .when(pk % 59 == 7, F.concat(F.lit("\t"), plain_rating, F.lit(" ")))
+        .otherwise(plain_rating)
     )
     count_value = F.expr("(qty * qty * qty) div 10000")
+    # a tab before and a no-break space after the brand
+    brand = F.when(pk % 61 == 7, F.concat(F.lit("\t"), F.col("p_brand"), F.lit("\u00a0"))).otherwise(F.col("p_brand"))
     category = (
         F.when(pk % 211 == 5, F.lit(None).cast("string"))
         .when(pk % 101 == 7, F.col("p_type"))
-        .otherwise(F.concat_ws("|", "p_type", "p_brand", "p_name"))
+        .otherwise(F.concat_ws("|", F.col("p_type"), brand, F.col("p_name")))
     )
     return base.select(
         (pk * 2 + F.col("dup")).alias("ordinal"),
@@ -97,6 +104,7 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(pct.cast("string"), F.lit("%")).alias("discount_percentage"),
         rating_text.alias("rating"),
         F.when(pk % 89 == 4, F.lit(None).cast("string"))
+        .when(pk % 71 == 9, F.concat(F.format_number(count_value, 0), F.lit("f")))
         .otherwise(F.format_number(count_value, 0))
         .alias("rating_count"),
         F.col("review_content"),
@@ -104,15 +112,26 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STAGED: dict[tuple, str] = {}
+INPUTS = ("part", "lineitem", "documents")
+
+
+def input_version(spark: SparkSession, sf_dir: str) -> str:
+    """A fingerprint of the input files (path, length, change time): a changed
+    input has another one.  Lists files, reads none."""
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in INPUTS]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h")).first()
+    return f"{row.n}:{row.h}"
 
 
 def staged_products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``products_raw`` written once per session to the shared scratch folder
-    and read back as parquet, the way the reference reads its raw listing
-    file: downstream queries scan a file instead of re-deriving it."""
+    """``products_raw`` written once per session and input version to the
+    shared scratch folder and read back as parquet, the way the reference
+    reads its raw listing file: downstream queries scan a file instead of
+    deriving it again."""
     from ..plans.session import scratch_dir
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_version(spark, sf_dir))
     if key not in _STAGED:
         path = scratch_dir(spark, "products_raw")
         products_raw(spark, sf_dir).write.mode("overwrite").parquet(path)
@@ -121,10 +140,11 @@ def staged_products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products_dummy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second catalogue with only three columns and messy category labels."""
+    """A second catalogue, a listing per part, with only three columns and messy
+    category labels."""
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     pk = F.col("p_partkey")
-    slot = F.expr("(p_partkey div 7) % 8")
+    slot = F.expr("p_partkey % 8")
     label = (
         F.when(slot == 0, F.lit("Others"))
         .when(slot == 1, F.lit("others"))
@@ -132,7 +152,7 @@ def products_dummy(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(slot == 3, F.lit("Unknown"))
         .otherwise(F.col("p_brand"))
     )
-    return part.where(pk % 7 == 0).select(
+    return part.select(
         pk.alias("ordinal"),
         pk.cast("string").alias("product_id"),
         F.col("p_name").alias("product_name"),
@@ -140,27 +160,13 @@ def products_dummy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CANDIDATE_COUNTS = (0, 12, 3200)
-
-
 def candidates(clean: DataFrame) -> DataFrame:
-    """Every tenth clean product as a purchase-guide input.
-
-    Review counts cycle through 0, 12 and 3,200 so the guide sees an empty
-    count, a thin one and a solid one.
-    """
-    pk = F.expr("ordinal div 2")
-    idx = F.expr("ordinal div 20")
-    count = (
-        F.when(idx % 3 == 0, F.lit(CANDIDATE_COUNTS[0]))
-        .when(idx % 3 == 1, F.lit(CANDIDATE_COUNTS[1]))
-        .otherwise(F.lit(CANDIDATE_COUNTS[2]))
-    )
-    return clean.where(pk % 10 == 0).select(
-        idx.cast("long").alias("candidate_id"),
+    """Every clean product as a purchase-guide input, with its own count."""
+    return clean.select(
+        F.expr("ordinal div 2").cast("long").alias("candidate_id"),
         F.col("main_category").alias("category"),
         F.col("rating"),
-        count.cast("long").alias("review_count"),
+        F.col("rating_count").cast("long").alias("review_count"),
     )
 
 

@@ -5,9 +5,11 @@ All paths may be any Hadoop-compatible URI (HDFS, S3, ABFS, local).
 
 from __future__ import annotations
 
+import io
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +31,7 @@ def strip_columns(df: DataFrame) -> DataFrame:
 
 def read_listings(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     multiline: bool = True,
     ordinal_col: str = "ordinal",
 ) -> DataFrame:
@@ -37,41 +39,81 @@ def read_listings(
 
     Quoted fields may hold commas, quotes and newlines (``multiLine``); such
     files cannot be split, so convert them to parquet once and read that.
-    When the file carries no ``ordinal`` column, one is attached from the
-    read order (file order within one file).
+    All files must have the header of the first one; reading raises if a file
+    has other columns or the same in another order.  When the files carry no
+    ``ordinal`` column, rows are numbered from 0 by file path and position.
     """
-    df = (
-        spark.read.option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .csv(path)
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+    reader = reader.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    header = reader.option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = reader.option("enforceSchema", False).schema(schema).csv(path)
+    names = strip_columns(df).columns
+    if ordinal_col in names:
+        return df.toDF(*names).withColumn(ordinal_col, F.col(ordinal_col).cast("long"))
+    # rows of one split are numbered in a row; splits follow by path and place
+    placed = df.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(header, names)],
+        F.col("_metadata.file_path").alias("_tl_path"),
+        F.col("_metadata.file_block_start").alias("_tl_start"),
+        F.monotonically_increasing_id().alias("_tl_id"),
     )
-    df = strip_columns(df)
-    if ordinal_col in df.columns:
-        return df.withColumn(ordinal_col, F.col(ordinal_col).cast("long"))
-    return df.withColumn(ordinal_col, F.monotonically_increasing_id())
+    splits = placed.groupBy("_tl_path", "_tl_start").agg(F.min("_tl_id").alias("_tl_first"), F.count(F.lit(1)).alias("_tl_n"))
+    # one row per file split: a window over the list of splits
+    before = Window.orderBy("_tl_path", "_tl_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_tl_before", F.coalesce(F.sum("_tl_n").over(before), F.lit(0))).drop("_tl_n")
+    numbered = placed.join(F.broadcast(splits), ["_tl_path", "_tl_start"])
+    return numbered.select(*names, (F.col("_tl_before") + F.col("_tl_id") - F.col("_tl_first")).alias(ordinal_col))
+
+
+def _write_bytes(df: DataFrame, path: str) -> str:
+    """Write each row's ``content`` as a file of its own.  The text sink writes
+    a string's bytes as they are, and a line feed after them."""
+    raw = df.select(F.col("content").cast("string").alias("value"))
+    raw.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def zip_listings(df: DataFrame, path: str, member: str = "listings.csv") -> str:
+    """Write listings as zip archives, each with one CSV member with a header."""
+
+    def pack(frames):
+        for pdf in frames:
+            out = io.BytesIO()
+            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr(member, pdf.to_csv(index=False))
+            yield pd.DataFrame({"content": [out.getvalue()]})
 
+    return _write_bytes(df.mapInPandas(pack, "content binary"), path)
 
-def stage_zip(zip_path: str, member: str, out_path: str) -> str:
-    """Copy one member out of a zip archive (Spark has no zip codec).
 
-    Streams the bytes; nothing is parsed on the driver.  Local paths only:
-    stage archives before putting them on shared storage.
+def unzip_listings(spark: SparkSession, archives: str, out_path: str, member: str = "listings.csv") -> str:
+    """Extract one member of every zip archive under a path, each to a CSV file.
+
+    Archives are read and members written through Spark, so both paths may be
+    any Hadoop URI; a task holds one archive at a time.  Read the result with
+    read_listings().  An archive without the member raises.
     """
-    with zipfile.ZipFile(zip_path) as zf, zf.open(member) as src, open(out_path, "wb") as dst:
-        while True:
-            chunk = src.read(1 << 20)
-            if not chunk:
-                break
-            dst.write(chunk)
-    return out_path
+
+    def extract(frames):
+        for pdf in frames:
+            for content in pdf["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    yield pd.DataFrame({"content": [archive.read(member)]})
+
+    files = spark.read.format("binaryFile").load(archives).where("length > 0").select("content")
+    return _write_bytes(files.mapInPandas(extract, "content binary"), out_path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """Exchange CSV with a header; quotes every field that needs it."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, bom: bool = False) -> str:
+    """Exchange CSV with a header; quotes every field that needs it.  With
+    ``bom`` every file starts with the UTF-8 byte order mark (as part of its
+    first header name, which read_listings() strips again)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    if bom:
+        out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0])
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    out.write.mode("overwrite").options(header=True, escape='"', **keep).csv(path)
     return path
 
 
@@ -89,7 +131,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_metrics_json(metrics: DataFrame, path: str) -> str:
-    """Write metric rows as one JSON array document (one small file)."""
+    """Write metric rows, one per model, as one JSON array document."""
     doc = metrics.agg(F.to_json(F.collect_list(F.struct(*metrics.columns))).alias("value"))
     doc.coalesce(1).write.mode("overwrite").text(path)
     return path
