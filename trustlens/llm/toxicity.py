@@ -29,8 +29,8 @@ from .textscan import scan_bytes
 BITS = 20
 FACTORS = 4
 SAMPLE = {1: 4000, 0: 8000}  # rows learned from, at most, by label
-MIN_ROWS, MIN_Z, MAX_TERMS = 3, 3.0, 1 << 14
-EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.1, 1e-4
+MIN_ROWS, MIN_Z, MAX_TERMS = 3, 6.0, 1 << 14
+EPOCHS, BATCH, RATE, DECAY, KEEP = 40, 64, 0.1, 1e-4, 0.75
 
 
 def term_sets(texts: pa.Array, column_of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -93,9 +93,10 @@ def fit(terms: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
     column_of = np.full(1 << BITS, -1, np.int64)
     column_of[chosen] = np.arange(len(chosen))
     rows = [c[c >= 0] for c in (column_of[t] for t in terms)]
-    ones = min(max(y.mean(), 1 / len(y)), 1 - 1 / len(y)) if len(y) > 1 else 0.5
+    ones = min(max(y.mean(), 0.01), 0.99)
     weight = np.where(y > 0, 0.5 / ones, 0.5 / (1 - ones))
-    bias = 0.0
+    # without a telling term every text gets the odds of the sample
+    bias = 0.0 if len(chosen) else float(np.log(ones / (1 - ones)))
     w, v = np.zeros(len(chosen)), rng.normal(0, 0.05, (len(chosen), FACTORS))
     seen_w, seen_v, seen_b = np.full(len(chosen), 1e-6), np.full(v.shape, 1e-6), 1e-6
     for _ in range(EPOCHS if len(chosen) else 0):
@@ -103,11 +104,15 @@ def fit(terms: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
         for a in range(0, len(y), BATCH):
             pick = order[a : a + BATCH]
             at = np.concatenate([rows[i] for i in pick])
-            if not len(at):
+            # a quarter of the terms is left out of a step, so that no term comes
+            # to count only in the company of others
+            left = rng.random(len(at)) < KEEP
+            row = np.repeat(np.arange(len(pick)), [len(rows[i]) for i in pick])[left]
+            used, column = np.unique(at[left], return_inverse=True)
+            if not len(used):
                 continue
-            used, column = np.unique(at, return_inverse=True)
             x = np.zeros((len(pick), len(used)))
-            x[np.repeat(np.arange(len(pick)), [len(rows[i]) for i in pick]), column] = 1
+            x[row, column] = 1
             sums = x @ v[used]
             z = bias + x @ w[used] + (sums**2 - x @ v[used] ** 2).sum(1) / 2
             slope = (sigmoid(z) - y[pick]) * weight[pick] / len(pick)
@@ -145,7 +150,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -
     got = found.orderBy("doc_id").collect()
     if not got:
         return None
-    return fit([np.frombuffer(r.terms, "<u4").astype(np.int64) for r in got], np.array([r.toxic for r in got], np.float64))
+    # copies of one text would make all its words look telling
+    kinds: dict[bytes, int] = {}
+    for r in got:
+        kinds[bytes(r.terms)] = max(r.toxic, kinds.get(bytes(r.terms), 0))
+    return fit([np.frombuffer(t, "<u4").astype(np.int64) for t in kinds], np.array(list(kinds.values()), np.float64))
 
 
 def _score(machine: Machine):
