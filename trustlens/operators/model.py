@@ -56,7 +56,8 @@ def make_regressor(name: str, label: str = TARGET, max_depth: int | None = None,
     shared = {"featuresCol": "features", "labelCol": label}
     if name == "Linear Regression":
         return LinearRegression(**shared)
-    trees = shared | {"maxBins": max_bins, "seed": MODEL_SEED}
+    # more nodes per pass over the data than the default memory allows
+    trees = shared | {"maxBins": max_bins, "seed": MODEL_SEED, "maxMemoryInMB": 512}
     if name == "Random Forest":
         # all features at every split, bootstrap rows, as the reference forest
         return RandomForestRegressor(
