@@ -374,14 +374,22 @@ def build_queries() -> dict[str, QueryFn]:
             {"products_clean": clean, "category_params": params, "products_trust": T.trust_rating(clean, params)},
             scratch_dir(s, "gold"),
         )
-        parts = [
-            IO.read_table(s, path).agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(name))
-            for name, path in paths.items()
-        ]
+        # what the written tables hold, as a sum over a hash of each row's key
+        # and one value
+        content = {
+            "products_clean": ["product_id", "main_category"],
+            "category_params": ["main_category", F.rint(F.col("m_value") * 10).cast("long").cast("string")],
+            "products_trust": ["product_id", F.rint(F.col("bayesian_rating") * 10000).cast("long").cast("string")],
+        }
+        parts = []
+        for name, path in paths.items():
+            digest = F.conv(F.substring(F.md5(F.concat_ws("|", *content[name])), 1, 8), 16, 10).cast("long")
+            sums = IO.read_table(s, path).agg(F.count(F.lit(1)).alias("row_count"), F.sum(digest).alias("content_sum"))
+            parts.append(sums.withColumn("table_name", F.lit(name)))
         out = parts[0]
         for p_ in parts[1:]:
             out = out.unionByName(p_)
-        return out.select("table_name", "row_count")
+        return out.select("table_name", "row_count", "content_sum")
 
     q["materialize_gold"] = gold
 
@@ -636,9 +644,15 @@ FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
     o["write_table"] = o["trust_rating"]
     o["materialize_gold"] = O.with_ctes(
         c15,
-        """SELECT 'products_clean' AS table_name, count(*) AS row_count FROM clean
-UNION ALL SELECT 'category_params', count(*) FROM params
-UNION ALL SELECT 'products_trust', count(*) FROM trust""",
+        "\nUNION ALL\n".join(
+            f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+       CAST(sum(CAST('0x' || substr(md5({key} || '|' || {value}), 1, 8) AS BIGINT)) AS BIGINT) AS content_sum FROM {source}"""
+            for name, source, key, value in (
+                ("products_clean", "clean", "product_id", "main_category"),
+                ("category_params", "params", "main_category", "CAST(CAST(round_even(m_value * 10, 0) AS BIGINT) AS VARCHAR)"),
+                ("products_trust", "trust", "product_id", "CAST(CAST(round_even(bayesian_rating * 10000, 0) AS BIGINT) AS VARCHAR)"),
+            )
+        ),
     )
     o["read_metrics"] = o["evaluate_baseline"].replace(
         "SELECT round_even(sqrt(", "SELECT 'Category Mean Baseline' AS model, round_even(sqrt(", 1
