@@ -46,6 +46,11 @@ def planted(i: int, numeric: bool) -> float:
     return (i + 1) / 8 if numeric else (i % 7 - 3) / 16
 
 
+# Settings of the registered fits.  200 trees as deep as Spark grows them take
+# minutes on a small machine, so the registered forest stops at depth 8; the
+# operator itself has no such limit.
+SETTINGS = {"Random Forest": {"max_depth": 8}}
+
 _MODELS: dict[tuple, str] = {}
 
 
@@ -55,7 +60,7 @@ def _model(spark: SparkSession, sf_dir: str, name: str) -> tuple[PipelineModel,
     key = (spark.sparkContext.applicationId, FX.input_version(spark, sf_dir), name)
     mi = PL.model_inputs(spark, sf_dir)
     if key not in _MODELS:
-        model = M.fit_model(name, mi.split.where("split = 'train'"), mi.numeric)
+        model = M.fit_model(name, mi.split.where("split = 'train'"), mi.numeric, **SETTINGS.get(name, {}))
         _MODELS[key] = M.save_model(model, scratch_dir(spark, "model"), mi.split)
     return M.load_model(_MODELS[key]), mi
 
