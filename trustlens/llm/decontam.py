@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import slices, staged
+from .storage import slices, staged, wide_rows
 from .textscan import Words, run_hashes, run_starts, scan_bytes, text_bytes
 
 MATCH = 4  # words in the shortest tile
@@ -138,7 +138,7 @@ class Benchmark:
             yield int(text[a]), self.ids[item[a]], sum(n for _, _, n in tiles(words, piece)) / len(words)
 
 
-def _update(ids: list[int], texts: list[str]):
+def _update(ids: list[int], texts: list[str], last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = Benchmark(ids, texts)
         for b in slices(batches, "plain"):
@@ -148,7 +148,8 @@ def _update(ids: list[int], texts: list[str]):
                     item[i], share[i] = found, covered
             at = b.schema.get_field_index
             b = b.set_column(at("item_id"), "item_id", pa.array(item, pa.int64()))
-            yield b.set_column(at("coverage"), "coverage", pa.array(share, pa.float64()))
+            b = b.set_column(at("coverage"), "coverage", pa.array(share, pa.float64()))
+            yield b.drop_columns(["plain"]) if last else b
 
     return run
 
@@ -156,7 +157,7 @@ def _update(ids: list[int], texts: list[str]):
 def _covered(docs: DataFrame, benchmark: DataFrame, keep) -> DataFrame:
     """``docs`` as (kept columns, item_id, coverage): the item that a text
     covers most, the least item_id of several, null and 0.0 for none."""
-    rows = docs.select(keep, F.lower("text").alias("plain"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("coverage"))
+    rows = wide_rows(docs).select(keep, F.lower("text").alias("plain"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("coverage"))
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text"))
     items = items.withColumn("bytes", F.octet_length("text"))
     size = items.agg(F.sum("bytes")).first()[0] or 0
@@ -164,8 +165,9 @@ def _covered(docs: DataFrame, benchmark: DataFrame, keep) -> DataFrame:
     items = staged(items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "benchmark")
     for block in range(blocks):
         got = items.where(F.col("block") == block).orderBy("item_id", "text").collect()
-        if got:
-            rows = rows.mapInArrow(_update([r.item_id for r in got], [r.text for r in got]), rows.schema)
+        last = block == blocks - 1
+        schema = rows.drop("plain").schema if last else rows.schema
+        rows = rows.mapInArrow(_update([r.item_id for r in got], [r.text for r in got], last), schema)
     return rows
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .holdout import held_out, letters, softmax
-from .storage import slices, staged
+from .storage import slices, staged, wide_rows
 from .textscan import mix
 
 ROWS = 1 << 13
@@ -196,7 +196,7 @@ def identify_languages(docs: DataFrame) -> DataFrame:
     from; repeated rows are predicted alike.  Columns doc_id, text and (to
     learn from) lang are read, others not.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    rows = wide_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     model = train(rows)
     rows = rows.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
     if model is None:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import global_row_number
-from .storage import bounded_broadcast, staged
+from .storage import bounded_broadcast, staged, wide_rows
 
 MIN_LINES = 3
 CHUNK_BYTES = 8 << 20
@@ -131,7 +131,7 @@ def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, digest: boo
     none.  Every row is a document of its own; rows of one doc_id come in an
     order of their texts' hashes.  Only doc_id and text are read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = wide_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = 1 + size // CHUNK_BYTES
     placed = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))

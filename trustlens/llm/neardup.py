@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .storage import bounded_broadcast, slices, staged
+from .storage import bounded_broadcast, slices, staged, wide_rows
 from .textscan import RUN_A, RUN_B, mix, run_hashes, run_starts, scan
 
 SHINGLE = 5
@@ -118,7 +118,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, registers) per document: the size of
     the shingle set, a 128-bit digest of it, and its registers."""
     schema = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sign, schema)
+    return wide_rows(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(_sign, schema)
 
 
 def _register_matrix(column: pa.Array) -> np.ndarray:

@@ -1,4 +1,4 @@
-"""Written intermediate tables and small helpers shared by the corpus operators."""
+"""Small helpers shared by the corpus operators."""
 
 from __future__ import annotations
 
@@ -8,25 +8,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.session import scratch_dir
+from ..functions.staging import staged  # noqa: F401  (what every operator writes its intermediate tables with)
 
 # A side is broadcast only when it was counted first and has at most this
 # many rows; beyond it the caller takes a shuffle join.
 BROADCAST_ROWS = 1_000_000
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage: later jobs read the files, so a lost executor costs only
-    the tasks it was running.
-    """
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows (reads at most one more)."""
     return df.limit(max_rows + 1).count() <= max_rows
@@ -37,11 +25,28 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if small_enough(df, max_rows) else df
 
 
+TEXT_ROWS = 1000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def wide_rows(df: DataFrame) -> DataFrame:
+    """``df`` as it is, after limiting the session's Arrow batches to 1,000 rows.
+
+    The default of 10,000 is meant for narrow rows; of whole texts it makes
+    batches of tens of megabytes, which stand in the executor's and the
+    worker's memory several times.  A lower setting is kept.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_ROWS)) > TEXT_ROWS:
+        conf.set(_BATCH_ROWS, TEXT_ROWS)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds at most ``max_bytes`` in each.
 
     A longer single row comes alone, whole.  Keeps the working set of the
@@ -62,3 +67,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             b = max(a + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
             yield batch.slice(a, b - a)
             a = b
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers stay around idle for
+    the next task, next to the executor's heap."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)

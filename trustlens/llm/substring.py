@@ -7,12 +7,12 @@ Pass one gives every window an anchor: the least hash among its runs of
 eight words.  Equal windows have equal anchors at equal places, so the number
 of places where an anchor stands is never below the number of places where
 one of its windows starts: counts kept by anchor overestimate window counts,
-with a fourteenth of the entries.  Each partition turns its anchors into a
+with about an eleventh of the entries.  Each partition turns its anchors into a
 sparse count-min sketch of two rows, cut into tiles by hash; the partition
 sketches are merged tile by tile, and a tile tells every chunk of documents
 which of its own cells hold two or more.  No sketch is ever in one place, so
-it can grow with the corpus: 8,192 anchors are expected per tile of 2 x 65,536
-counters.
+it can grow with the corpus: some ten thousand anchors meet in a tile of
+2 x 65,536 counters.
 
 Pass two reads a chunk of documents next to its answers, and only windows
 whose estimate is two or more go on, as 127-bit hashes, to be grouped exactly;
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import slices, staged
+from .storage import slices, staged, wide_rows
 from .textscan import RUN_A, RUN_B, mix, run_hashes, run_starts, scan, sliding
 
 WIDTH = 35
@@ -304,7 +304,7 @@ def drop_repeated_windows(docs: DataFrame, width: int = WIDTH, digest: bool = Fa
     than a window keep all.  Every row counts as a document of its own, also
     if its doc_id is null or repeated.  Only doc_id and text are read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = wide_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, tiles, shards = 1 + size // CHUNK_BYTES, 1 + size // TILE_BYTES, 1 + size // SHARD_BYTES
     placed = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))

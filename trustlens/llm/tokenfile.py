@@ -34,13 +34,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .storage import slices, staged
+from .storage import give_back, slices, staged, wide_rows
 from .textscan import RUN_B, mix
 
 MAGIC = b"TLTOK01\n"
 GAMMA = 2  # bits per key and level
-SHARD_BYTES = 16 << 20
-CACHED_WORDS = 1_000_000
+SHARD_BYTES = 8 << 20
+CACHED_WORDS = 200_000
 _PLAIN = re.compile(rb"[a-z]+").fullmatch
 _TAIL = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[\x20\x09-\x0d])")
 _SLOT = np.dtype([("fingerprint", "<u4"), ("row", "<u4"), ("rows", "<u4")])
@@ -261,7 +261,7 @@ def _pack(tokenizer: str, end_id: int, shard_bytes: int):
             content = pack_shard((partition, number), ids, np.concatenate(parts), np.concatenate(counts))
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
 
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", min(1 << 20, shard_bytes)):
             payload, n = encoder.encode(b.column("text"))
             ids += b.column("doc_id").to_pylist()
             parts.append(payload)
@@ -273,6 +273,8 @@ def _pack(tokenizer: str, end_id: int, shard_bytes: int):
                 ids, parts, counts, held = [], [], [], 0
         if ids:
             yield shard()
+        ids, parts, counts = [], [], []
+        give_back()
 
     return run
 
@@ -288,7 +290,7 @@ def write_token_shards(
     are written by Spark's own committer, one shard per file; an empty table
     leaves no shard.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = wide_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     tie = F.xxhash64("text")
     rows = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie, "text")
     shards = rows.mapInArrow(_pack(tokenizer, end_id, shard_bytes), "content binary")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .holdout import held_out, letters
-from .storage import slices, staged
+from .storage import slices, staged, wide_rows
 from .textscan import scan_bytes
 
 BITS = 20
@@ -43,7 +43,7 @@ def term_sets(texts: pa.Array, column_of: np.ndarray | None = None) -> tuple[np.
     if column_of is not None:
         term = column_of[term]
         used = term >= 0
-        term, owner = term[used], owner[used]
+        term, owner = term[used].astype(np.int64), owner[used]
     both = np.unique((owner << BITS) | term)
     return both & ((1 << BITS) - 1), np.searchsorted(both >> BITS, np.arange(len(off)))
 
@@ -90,9 +90,9 @@ def fit(terms: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
     """
     rng = np.random.default_rng(seed)
     chosen = choose_terms(terms, y)
-    column_of = np.full(1 << BITS, -1, np.int64)
+    column_of = np.full(1 << BITS, -1, np.int16)  # as small as MAX_TERMS lets it be
     column_of[chosen] = np.arange(len(chosen))
-    rows = [c[c >= 0] for c in (column_of[t] for t in terms)]
+    rows = [c[c >= 0].astype(np.int64) for c in (column_of[t] for t in terms)]
     ones = min(max(y.mean(), 0.01), 0.99)
     weight = np.where(y > 0, 0.5 / ones, 0.5 / (1 - ones))
     # without a telling term every text gets the odds of the sample
@@ -138,6 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -
     """Fit on at most ``sample[label]`` documents per label: those outside the
     held-out fifth with the least hash of their id.  A doc_id labelled twice
     counts once, as toxic if any of its labels is.  None without any."""
+    wide_rows(docs)
     known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isin(0, 1))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     known = staged(known.join(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi"), "labelled")
@@ -192,7 +193,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     schema = docs.select(whole.alias("_row")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        texts = (pa.record_batch([b.column("_row"), b.column("_row").field("text")], ["_row", "text"]) for b in batches)
+        for b in slices(texts, "text"):
             yield b.select(["_row"]).filter(pa.array(machine.scores(b.column("text")) < 0.5))
 
-    return docs.select(whole.alias("_row"), "text").mapInArrow(run, schema).select("_row.*")
+    return docs.select(whole.alias("_row")).mapInArrow(run, schema).select("_row.*")

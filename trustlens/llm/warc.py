@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import bounded_broadcast, slices, staged
+from .storage import bounded_broadcast, slices, staged, wide_rows
 
 #: Fixed values of the two formats: field names by ARC version, WARC's version
 #: line and the profile of a revisit with an identical payload.
@@ -131,7 +131,7 @@ def pages_to_arc(pages: DataFrame, date: str = "20240101000000") -> DataFrame:
     """(content): version 2 ARC files of the rows of ``pages`` (page_id, url,
     html), one record each; a null html is an empty payload, a null url is
     named after the page.  The page's id is the record's Filename field."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    rows = wide_rows(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     return rows.mapInArrow(_to_arc(date), "content binary")
 
 
