@@ -740,7 +740,7 @@ GROUP BY model ORDER BY rmse, model LIMIT 1""",
         o[key] = O.with_ctes(
             fc, f"SELECT '{name}' AS model, count(*) AS test_rows, count(*) AS predicted_rows, true AS fits_better_than_mean FROM te"
         )
-    o["compare_models"] = "SELECT 3 AS models, 1 AS best, true AS best_has_least_rmse, 9 AS metrics"
+    o["compare_models"] = "SELECT 3::BIGINT AS models, 1::BIGINT AS best, true AS best_has_least_rmse, 9::BIGINT AS metrics"
     o["save_model"] = O.with_ctes(fc, "SELECT count(*) AS test_rows, count(*) AS same_rows FROM te")
     o["shap_sampled"] = o["shap_sampled_forest"] = O.with_ctes(
         fc,
