@@ -108,7 +108,9 @@ def test_boosted_trees_fit_and_settings_reach_the_learner(spark):
     fitted = Pipeline(stages=M.feature_stages(mi.numeric) + [stage]).fit(M.sized_for_training(train))
     row = fitted.transform(train).agg(F.avg((F.col("prediction") - F.col(M.TARGET)) ** 2), F.var_pop(M.TARGET)).first()
     assert row[0] < row[1]
-    assert M.sized_for_training(train).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    many = M.sized_for_training(spark.range(100_000))
+    assert many.rdd.getNumPartitions() == min(100, spark.sparkContext.defaultParallelism)
+    many.unpersist()
 
 
 def test_unseen_category_is_all_zeros(spark):

@@ -74,13 +74,16 @@ def build_pipeline(name: str, numeric: list[str], categorical: str = CATEGORICAL
 
 # Tree learners pass over the training data once per level and boosting round.
 ROWS_PER_TRAIN_PARTITION = 500_000
+# Fewer rows than these do not pay for a task of their own in every pass.
+ROWS_WORTH_A_TASK = 1_000
 
 
 def sized_for_training(train: DataFrame, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> DataFrame:
-    """``train`` cached in one partition per so many rows, and in no fewer than
-    the cluster runs at once."""
-    parts = max(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // rows_per_partition))
-    return train.repartition(parts).persist()
+    """``train`` cached in one partition per so many rows, and in as many as the
+    cluster runs at once wherever each still gets a thousand rows."""
+    n = train.count()
+    at_once = min(train.sparkSession.sparkContext.defaultParallelism, max(1, n // ROWS_WORTH_A_TASK))
+    return train.repartition(max(at_once, -(-n // rows_per_partition))).persist()
 
 
 def fit_model(name: str, train: DataFrame, numeric: list[str], **settings) -> PipelineModel:
