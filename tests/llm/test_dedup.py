@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from helpers import corpus, documents, words
 
+import __spark_entry__
 from trustlens.llm import linededup, neardup, substring
 from trustlens.llm.components import connected_components
 
@@ -168,3 +169,11 @@ def test_lines_of_null_ids_come_last(spark):
     got = linededup.drop_repeated_lines(documents(spark, [(None, "a\nb\nc"), (9, "a\nb\nc"), (3, None)])).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, 3, 3, ""), (9, 3, 0, "a\nb\nc"), (3, 0, 0, "")], key=str)
     assert linededup.drop_repeated_lines(documents(spark, [])).collect() == []
+
+
+def test_a_registered_query_takes_runs_of_any_length(spark, tmp_path):
+    rows = [(1, "only line"), (2, "only line"), (3, "a\nb\n\nc"), (4, "b\nx\na\nb"), (5, "y\ny\nz")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = __spark_entry__.queries()["line_dedup_any_run"](spark, str(tmp_path)).collect()
+    assert _bag(got) == _bag(_lines(rows, 1))
+    assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 1, 3: 0, 4: 3, 5: 1}

@@ -61,6 +61,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), digest=True)
 
 
+def line_dedup_any_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_lines=1, digest=True)
+
+
 # --- DuckDB ------------------------------------------------------------------
 
 # the words of a text, a list of strings (SPACE is [\x20\x09-\x0D])
@@ -148,6 +152,18 @@ select doc_id, count(*) filter (solid)::bigint as n_lines, count(*) filter (gone
 from z group by 1
 """
 
+# the same with runs of one line on
+ORACLE_LINES_ANY_RUN = r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+x as (select doc_id, unnest(l) as s, unnest(range(1, len(l) + 1)) as p from d),
+y as (select *, not regexp_full_match(s, '[\x20\x09-\x0D]*') as solid from x),
+f as (select doc_id, p, row_number() over (partition by s order by doc_id, p) as k from y where solid),
+z as (select y.doc_id, y.s, y.p, y.solid, coalesce(f.k > 1, false) as gone from y left join f using (doc_id, p))
+select doc_id, count(*) filter (solid)::bigint as n_lines, count(*) filter (gone)::bigint as n_removed,
+  sha256(coalesce(string_agg(s, chr(10) order by p) filter (not gone), '')) as kept_sha256
+from z group by 1
+"""
+
 
 def build_queries() -> dict[str, QueryFn]:
     return {
@@ -161,6 +177,7 @@ def build_queries() -> dict[str, QueryFn]:
         "op8_warc": op8_warc,
         "op9_minhash_neardup": op9_minhash_neardup,
         "op10_line_dedup": op10_line_dedup,
+        "line_dedup_any_run": line_dedup_any_run,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -173,4 +190,5 @@ def build_oracle() -> dict[str, str]:
         "op8_warc": ORACLE_WARC,
         "op9_minhash_neardup": ORACLE_NEARDUP,
         "op10_line_dedup": ORACLE_LINES,
+        "line_dedup_any_run": ORACLE_LINES_ANY_RUN,
     }
