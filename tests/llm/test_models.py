@@ -110,6 +110,26 @@ def test_pairs_that_no_additive_model_tells(spark):
     assert pair[0] @ pair[1] > 0
 
 
+def test_a_rare_pair_among_frequent_clean_terms():
+    # one in forty toxic texts holds nothing but the pair; each of its terms
+    # stands in one clean text of twenty
+    rng = np.random.default_rng(4)
+    texts, y = [], []
+    for i in range(6000):
+        words = [f"n{rng.integers(200)}" for _ in range(6)]
+        if i < 2000:
+            words += ["these", "vermin"] if i % 40 == 0 else ["moron"]
+        else:
+            words += ["these"] if i % 20 == 0 else ["vermin"] if i % 20 == 1 else []
+        texts.append(" ".join(rng.permutation(words)))
+        y.append(float(i < 2000))
+    terms, first = toxicity.term_sets(pa.array(texts))
+    machine = toxicity.fit([terms[x:z] for x, z in zip(first[:-1], first[1:])], np.array(y))
+    s = machine.scores(pa.array(["n1 these vermin", "n1 these", "n1 vermin", "n1", "n1 moron"]))
+    assert s[0] > 0.5 and s[4] > 0.5 and max(s[1:4]) < 0.5
+    assert (machine.column_of >= 0).sum() < 20  # chance pairs stay out
+
+
 def _toxic_rows():
     rows = [(i, ("you idiot, moron " if i % 3 == 0 else "a fine day ") + "word" + "abcdefghij"[i // 10] + "klmnopqrst"[i % 10] + " and more") for i in range(90)]
     return rows, [(i, 1, int(i % 3 == 0)) for i in range(90)]

@@ -9,7 +9,8 @@ spaces, so case and punctuation hide nothing; a text counts a term once, so
 length does not dilute it.
 
 Learned in numpy by adaptive gradient steps on a bounded, documented sample of
-labelled rows; which terms take part is decided by their counts in the sample.
+labelled rows; which terms take part is decided by the sample's counts of
+terms and of pairs of terms.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ BITS = 20
 FACTORS = 4
 SAMPLE = {1: 4000, 0: 8000}  # rows learned from, at most, by label
 MIN_ROWS, MIN_Z, MAX_TERMS = 3, 6.0, 1 << 14
+PAIR_CHANCE = 0.01  # of one pair or more passing by chance
 EPOCHS, BATCH, RATE, DECAY, KEEP = 40, 64, 0.1, 1e-4, 0.75
 
 
@@ -72,14 +74,75 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def choose_terms(terms: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Buckets whose share of texts differs clearly between the labels."""
+    """Buckets whose share of texts differs clearly between the labels, and
+    those of pairs that tell what their terms do not."""
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
     counts = [np.bincount(np.concatenate([np.zeros(0, np.int64), *(t for t, l in zip(terms, y) if l == k)]), minlength=1 << BITS) for k in (0, 1)]
     seen = counts[0] + counts[1]
     p = seen / (n0 + n1)
     z = np.abs(counts[1] / n1 - counts[0] / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n0 + 1 / n1))
     good = np.flatnonzero((seen >= MIN_ROWS) & (z >= MIN_Z))
-    return np.sort(good[np.argsort(-z[good], kind="stable")[:MAX_TERMS]])
+    good = good[np.argsort(-z[good], kind="stable")]
+    paired = pair_terms(terms, y, counts, seen >= MIN_ROWS)
+    return np.sort(np.concatenate([good, paired[~np.isin(paired, good)]])[:MAX_TERMS])
+
+
+def pair_terms(terms: list[np.ndarray], y: np.ndarray, counts: list[np.ndarray], open_: np.ndarray) -> np.ndarray:
+    """Buckets of ``open_`` whose texts together with another one's have a
+    label more often than each of the two explains, or both added up; the
+    clearest pair first.
+
+    A pair passes if the Chernoff bound of its count, n * KL(share | expected),
+    is beyond chance for as many pairs as there are.  Terms too rare for any
+    pair of theirs to pass are left out before pairs are counted.
+    """
+    evidence = np.zeros(1 << BITS)
+    share = counts[1] / np.maximum(counts[0] + counts[1], 1)
+    base = min(max(y.mean(), 1e-9), 1 - 1e-9)
+    bar = np.log(max(1, int(open_.sum())) ** 2 / PAIR_CHANCE)
+    logit = lambda p: np.log(np.clip(p, 1e-9, 1) / np.clip(1 - p, 1e-9, 1))
+    for label in (1, 0):
+        own = share if label else 1 - share
+        # rows of the label that a pair needs at least, if all its rows have it
+        need = bar / np.maximum(-np.log(np.clip(own, 1e-9, 1)), 1e-9)
+        used = np.flatnonzero(open_ & (counts[label] >= need))
+        if len(used) < 2:
+            continue
+        column_of = np.full(1 << BITS, -1, np.int32)
+        column_of[used] = np.arange(len(used))
+        own, need = own[used], need[used]
+        odds = logit(own)
+        sides = [_postings([c[c >= 0] for c in (column_of[t] for t, l in zip(terms, y) if l == k)], len(used)) for k in (label, 1 - label)]
+        for i in range(len(used)):
+            k = _together(*sides[0], i, len(used))
+            k[: i + 1] = 0
+            j = np.flatnonzero((k >= need) & (k >= need[i]))
+            if not len(j):
+                continue
+            k, n = k[j], k[j] + _together(*sides[1], i, len(used))[j]
+            added = sigmoid(odds[i] + odds[j] - logit(base if label else 1 - base))
+            q, p = np.clip(np.maximum(np.maximum(own[i], own[j]), added), 1e-9, 1 - 1e-9), k / n
+            score = k * np.log(p / q) + (n - k) * np.log(np.clip(1 - p, 1e-9, 1) / (1 - q))
+            passed = (p > q) & (score >= bar)
+            j, score = used[j[passed]], score[passed]
+            if len(j):
+                evidence[j] = np.maximum(evidence[j], score)
+                evidence[used[i]] = max(evidence[used[i]], score.max())
+    found = np.flatnonzero(evidence)
+    return found[np.argsort(-evidence[found], kind="stable")]
+
+
+def _postings(rows: list[np.ndarray], n: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(rows, owner, first): the rows of column c are owner[first[c]:first[c + 1]]."""
+    flat = np.concatenate([np.zeros(0, np.int32), *rows])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    return rows, owner[np.argsort(flat, kind="stable")], np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=n))])
+
+
+def _together(rows: list[np.ndarray], owner: np.ndarray, first: np.ndarray, column: int, n: int) -> np.ndarray:
+    """How many rows every column shares with ``column``."""
+    mine = owner[first[column] : first[column + 1]].tolist()
+    return np.bincount(np.concatenate([np.zeros(0, np.int32), *(rows[r] for r in mine)]), minlength=n)
 
 
 def fit(terms: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
