@@ -86,6 +86,21 @@ def test_shared_seeds_are_looked_at_in_groups(spark, monkeypatch):
     assert got == {**{10 + k: (k, 1.0) for k in range(5)}, 20: (None, 0.0)}
 
 
+@pytest.mark.parametrize("block", [decontam.BLOCK_BYTES, 100])
+def test_a_long_passage_of_a_long_item(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+    item = [f"w{k}" for k in range(300)]
+    items = [(1, " ".join(item)), (2, "a short item of seven words only")]
+    least = decontam.PASSAGE
+    rows = [(1, "before " + " ".join(item[50:150]) + " after"), (2, " ".join(item[-least:])), (3, " ".join(item[: least - 1]))]
+    # many short pieces are no passage; a short item of a higher share does not hide one
+    rows += [(4, " x ".join(" ".join(item[k : k + 5]) for k in range(0, 100, 10))), (5, rows[0][1] + " a short item of seven words or so")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.item_id, round(r.coverage, 9), r.contaminated) for r in decontam.find_contaminated(documents(spark, rows), bench, 0.9).collect()}
+    assert got == {1: (1, round(1 / 3, 9), True), 2: (1, least / 300, True), 3: (None, 0.0, False), 4: (None, 0.0, False), 5: (1, round(1 / 3, 9), True)}
+    assert {r.doc_id for r in decontam.drop_contaminated(documents(spark, rows), bench).collect()} == {3, 4}
+
+
 def test_empty_sides(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_contaminated(documents(spark, []), none).collect() == []

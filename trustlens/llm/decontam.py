@@ -6,7 +6,8 @@ unmarked words is marked in both, again and again, until none of four words is
 left.  Matches of a length are found by running Karp-Rabin hashes over windows
 of that length, the length falling by halves.  The share of the item's words
 under tiles does not depend on the order of the pieces, so a passage whose
-sentences were moved around is caught as well as a verbatim one.
+sentences were moved around is caught as well as a verbatim one.  Of a long
+item one tile of many words is enough, however small its share.
 
 The benchmark is the query set: it goes to every task in blocks of bounded
 size, and documents are neither shuffled nor paired with each other.
@@ -26,6 +27,7 @@ from .textscan import Words, run_hashes, run_starts, scan_bytes, text_bytes
 
 MATCH = 4  # words in the shortest tile
 COVERAGE = 0.5
+PASSAGE = 30  # words of one tile that are a leak by themselves
 BLOCK_BYTES = 8 << 20
 SEED_ROWS = 1 << 20  # shared seeds looked at together, whole texts at least
 _FILTER = 22  # bits of the filter ahead of the seed table
@@ -96,9 +98,10 @@ class Benchmark:
         self.filter = np.zeros(1 << _FILTER, bool)
         self.filter[(self.seeds >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
 
-    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, float]]:
-        """(text number, item id, coverage) wherever a text and an item may
-        reach the coverage that matters; others share too few seeds."""
+    def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, float, int]]:
+        """(text number, item id, coverage, words in the longest tile) wherever
+        a text and an item may reach the coverage or the passage that matters;
+        others share too few seeds."""
         w = plain_words(texts)
         hashes = w.hashes()
         runs = run_hashes(hashes, MATCH)
@@ -116,7 +119,7 @@ class Benchmark:
         for a, b in zip(edges[:-1], edges[1:]):
             yield from self._tiled(w, hashes, at[a:b], low[a:b], many[a:b])
 
-    def _tiled(self, w: Words, hashes: np.ndarray, at: np.ndarray, low: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int, float]]:
+    def _tiled(self, w: Words, hashes: np.ndarray, at: np.ndarray, low: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
         # one row for each seed of a text met in an item
         seed = np.repeat(low - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
         place, item = np.repeat(at, many), self.owner[seed]
@@ -129,35 +132,40 @@ class Benchmark:
             reach = np.zeros(len(words), bool)
             for k in range(MATCH):
                 reach[self.place[seed[a:b]] + k] = True
-            if reach.sum() < COVERAGE * len(words):
+            if reach.sum() < COVERAGE * len(words) and not (len(words) >= PASSAGE and _all_free(reach, PASSAGE).any()):
                 continue
             # only words under a seed can be tiled; a gap stays a gap
             near = np.unique((place[a:b, None] + np.arange(MATCH)).ravel())
             gap = np.flatnonzero(np.diff(near) > 1) + 1
             piece = np.insert(hashes[near], gap, np.uint64(0))
-            yield int(text[a]), self.ids[item[a]], sum(n for _, _, n in tiles(words, piece)) / len(words)
+            found = [n for _, _, n in tiles(words, piece)]
+            yield int(text[a]), self.ids[item[a]], sum(found) / len(words), max(found, default=0)
 
 
-def _update(ids: list[int], texts: list[str], last: bool):
+def _update(ids: list[int], texts: list[str], bar: float, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = Benchmark(ids, texts)
         for b in slices(batches, "plain"):
-            item, share = b.column("item_id").to_pylist(), b.column("coverage").to_pylist()
-            for i, found, covered in bench.matches(b.column("plain")):
-                if covered > share[i] or covered == share[i] and covered and found < item[i]:
-                    item[i], share[i] = found, covered
+            item, share, leak = (b.column(c).to_pylist() for c in ("item_id", "coverage", "contaminated"))
+            for i, found, covered, longest in bench.matches(b.column("plain")):
+                bad = covered >= bar or longest >= PASSAGE
+                if (bad, covered) > (leak[i], share[i]) or (bad, covered) == (leak[i], share[i]) and covered and found < item[i]:
+                    item[i], share[i], leak[i] = found, covered, bad
             at = b.schema.get_field_index
             b = b.set_column(at("item_id"), "item_id", pa.array(item, pa.int64()))
             b = b.set_column(at("coverage"), "coverage", pa.array(share, pa.float64()))
+            b = b.set_column(at("contaminated"), "contaminated", pa.array(leak, pa.bool_()))
             yield b.drop_columns(["plain"]) if last else b
 
     return run
 
 
-def _covered(docs: DataFrame, benchmark: DataFrame, keep) -> DataFrame:
-    """``docs`` as (kept columns, item_id, coverage): the item that a text
-    covers most, the least item_id of several, null and 0.0 for none."""
-    rows = wide_rows(docs).select(keep, F.lower("text").alias("plain"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("coverage"))
+def _covered(docs: DataFrame, benchmark: DataFrame, bar: float, keep) -> DataFrame:
+    """``docs`` as (kept columns, item_id, coverage, contaminated): the item
+    that a text leaks, else covers, most, the least item_id of several, null
+    and 0.0 for none."""
+    none = [F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("coverage"), F.lit(False).alias("contaminated")]
+    rows = wide_rows(docs).select(keep, F.lower("text").alias("plain"), *none)
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text"))
     items = items.withColumn("bytes", F.octet_length("text"))
     size = items.agg(F.sum("bytes")).first()[0] or 0
@@ -167,7 +175,7 @@ def _covered(docs: DataFrame, benchmark: DataFrame, keep) -> DataFrame:
         got = items.where(F.col("block") == block).orderBy("item_id", "text").collect()
         last = block == blocks - 1
         schema = rows.drop("plain").schema if last else rows.schema
-        rows = rows.mapInArrow(_update([r.item_id for r in got], [r.text for r in got], last), schema)
+        rows = rows.mapInArrow(_update([r.item_id for r in got], [r.text for r in got], bar, last), schema)
     return rows
 
 
@@ -176,8 +184,10 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = C
 
     ``coverage`` is the share of a benchmark item's words that tiles of at
     least four words cover in the text, for the item with the highest share
-    (the least item_id of equals); contaminated if it is ``coverage`` or more.
-    Where no item can reach 0.5, item_id is null and the share 0.0.
+    (the least item_id of equals); contaminated if it is ``coverage`` or more,
+    or if one tile has thirty words or more, whatever the item's length.  Items
+    that contaminate come before others.  Where no item can reach 0.5 or such
+    a tile, item_id is null and the share 0.0.
 
     Null and empty texts are clean.  Items that are null, have a null id or
     fewer than four words match nothing; an empty benchmark leaves all clean.
@@ -185,11 +195,10 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     """
     if coverage < COVERAGE:
         raise ValueError(f"coverage must be at least {COVERAGE}")
-    found = _covered(docs, benchmark, F.col("doc_id").cast("long").alias("doc_id"))
-    return found.select("doc_id", "item_id", "coverage", (F.col("coverage") >= coverage).alias("contaminated"))
+    return _covered(docs, benchmark, coverage, F.col("doc_id").cast("long").alias("doc_id"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
     whole = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    return _covered(docs, benchmark, whole).where(F.col("coverage") < coverage).select("_row.*")
+    return _covered(docs, benchmark, coverage, whole).where(~F.col("contaminated")).select("_row.*")
