@@ -220,6 +220,29 @@ def test_search_proves_what_it_leaves_out():
         assert set(np.flatnonzero(exact >= np.sort(exact)[-5])) <= set(members.tolist())
 
 
+@pytest.mark.parametrize("size", [1 << 17, 1 << 24, 1 << 26])
+def test_bounds_of_large_components_do_not_wrap(size):
+    rng = np.random.default_rng(1)
+    x = rng.integers(-size, size, (300, 1024))
+    x[:40] = abs(x[:40])
+    index = topk.ImpactIndex(x)
+    for q in x[:5]:
+        members, scores = index.search(q, 5)
+        exact = [sum(a * b for a, b in zip(v, q.tolist())) for v in x.tolist()]
+        assert scores.tolist() == [exact[m] for m in members]
+        assert {i for i, s in enumerate(exact) if s >= sorted(exact)[-5]} <= set(members.tolist())
+
+
+def test_components_beyond_32_bits(spark):
+    rows = [(50, [1e7, -2.0]), (1, [1e7, 3.0]), (2, [-1e7, 3.0]), (3, [9e6, 0.5])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.rank, r.vec_id, r.score) for r in topk.top_k(vectors).collect()}
+    (_, scored), = _top(rows, 5, 50)
+    assert got == {(i + 1, v, s) for i, (s, v) in enumerate(sorted(scored, reverse=True))}
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.top_k(spark.createDataFrame([(50, [1e17]), (1, [1.0])], vectors.schema)).collect()
+
+
 def test_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert topk.top_k(none).collect() == []

@@ -13,6 +13,8 @@ others add between nothing and the bar.  A member drops out only when its
 upper bound is below the k-th best lower bound; once an eighth or less of a
 block is left, scoring those exactly is cheaper than another round.
 
+Where the bounds could leave 64 bits, a block is scored exactly instead.
+
 Queries and candidates are laid out as a grid of blocks, each one task's work
 in bounded memory, and the best of the blocks are merged by rank.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STEP = 4  # width of a segment in components
-COUNT = 1 << 20  # more than the dimensions of a vector
+SAFE = 2.0**62  # bounds of less are held by 64 bits
 BLOCK = 1 << 21  # components of candidates indexed together
 QUERY_BLOCK = 2048
 
@@ -35,6 +37,7 @@ class ImpactIndex:
 
     def __init__(self, vectors: np.ndarray):
         self.vectors = vectors
+        self.most = max(float(vectors.max(initial=0)), -float(vectors.min(initial=0)))
         level = np.floor_divide(vectors, STEP)
         order = np.argsort(-level, axis=0, kind="stable")
         self.postings = np.ascontiguousarray(order.T)
@@ -46,10 +49,20 @@ class ImpactIndex:
         n = len(self.vectors)
         possible = np.arange(n)
         used = np.flatnonzero(query)
+        # no sum of _possible() has more than eight times the terms of a score
+        heaviest = max(float(query.max(initial=0)), -float(query.min(initial=0)))
+        if 8 * (self.most + STEP) * heaviest * len(used) >= SAFE:
+            return possible, self._exact(query)
         if n > 4 * k and len(used):
             possible = self._possible(query, used, k, n)
         return possible, self.vectors[possible] @ query
 
+    def _exact(self, query: np.ndarray) -> np.ndarray:
+        """Scores of all members by Python's integers; one that 64 bits cannot
+        hold is an error."""
+        weights = query.tolist()
+        return np.array([sum(a * b for a, b in zip(v.tolist(), weights)) for v in self.vectors], object).astype(np.int64)
+
     def _possible(self, query: np.ndarray, used: np.ndarray, k: int, n: int) -> np.ndarray:
         w = query[used]
         gap = np.abs(w) * (STEP - 1)
@@ -59,9 +72,9 @@ class ImpactIndex:
         top, bottom = self.levels[used, 0], self.levels[used, -1]
         worst = np.where(w > 0, bottom, top)
         most = np.abs(w) * STEP * (top - bottom) + gap
-        # per member: the sum of what is sure, and in the low bits how many
-        # dimensions it was met in
-        sums = np.zeros(n, np.int64)
+        # per member: the sum of what is sure, and how many dimensions it was
+        # met in
+        lower, met = np.zeros(n, np.int64), np.zeros(n, np.int64)
         taken = np.zeros(len(used), np.int64)
         bar = int(most.max())
         while True:
@@ -80,10 +93,10 @@ class ImpactIndex:
                     part = slice(n - upto, n - int(taken[i]))
                 if upto > taken[i]:
                     members = self.postings[d, part]
-                    sums[members] += int(w[i]) * STEP * COUNT * (levels[part] - worst[i]) + 1
+                    lower[members] += int(w[i]) * STEP * (levels[part] - worst[i])
+                    met[members] += 1
                     taken[i] = upto
             # dimensions not met add no more than the bar
-            lower, met = sums // COUNT, sums % COUNT
             upper = lower + int(gap.sum() + np.minimum(most, bar).sum()) - bar * met
             kth = np.partition(lower, n - k)[n - k]
             possible = np.flatnonzero(upper >= kth)
@@ -121,7 +134,7 @@ def _search(k: int):
 def quantised(vectors: DataFrame) -> DataFrame:
     """(vec_id, dims, ints) of the rows that take part: components become
     floor(256 * x); a null id or vector, a null or non-finite component, or an
-    empty vector leaves a row out."""
+    empty vector leaves a row out.  A component beyond 64 bits is an error."""
     x = F.transform("embedding", lambda v: v.cast("double"))
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(fine)
@@ -129,7 +142,7 @@ def quantised(vectors: DataFrame) -> DataFrame:
     return rows.select(
         F.col("vec_id").cast("long").alias("vec_id"),
         F.size("embedding").alias("dims"),
-        F.transform(x, lambda v: F.floor(v * 256)).cast("array<int>").alias("ints"),
+        F.transform(x, lambda v: F.when(F.abs(v) >= 2.0**55, F.raise_error(F.lit("component beyond 64 bits")).cast("long")).otherwise(F.floor(v * 256))).alias("ints"),
     )
 
 
