@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, linededup, mixing, neardup, substring, tokenfile, topk, toxicity, warc
+from . import decontam, langid, linededup, mixing, neardup, phrases, substring, tokenfile, topk, toxicity, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
@@ -65,6 +65,10 @@ def line_dedup_any_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_lines=1, digest=True)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_collocations(table(spark, sf_dir, "documents"))
+
+
 # --- DuckDB ------------------------------------------------------------------
 
 # the words of a text, a list of strings (SPACE is [\x20\x09-\x0D])
@@ -164,6 +168,33 @@ select doc_id, count(*) filter (solid)::bigint as n_lines, count(*) filter (gone
 from z group by 1
 """
 
+ORACLE_PHRASES = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as s from documents),
+w as (select row_number() over () as id, lang, regexp_extract_all(s, '[^\x20\x09]+') as w from p),
+t as (select id, lang, unnest(w) as w1, unnest(range(len(w))) as i from w),
+o as (select lang, w1, lead(w1) over q as w2, lead(w1, 2) over q as w3 from t window q as (partition by id order by i)),
+f1 as (select lang, w1 as ph, count(*)::hugeint as f from o group by all),
+f2 as (select lang, w1, w2, w1 || ' ' || w2 as ph, count(*)::hugeint as f from o where w2 is not null group by all),
+f3 as (select lang, w1, w2, w3, w1 || ' ' || w2 || ' ' || w3 as ph, count(*)::hugeint as f from o where w3 is not null group by all having count(*) >= 10),
+n as (select lang, sum(f)::bigint as n from f1 group by 1),
+c as (
+  select x.lang, x.ph, x.f as a, 1 as cut, u.f as l, v.f as r from f2 x
+    join f1 u on u.lang = x.lang and u.ph = x.w1 join f1 v on v.lang = x.lang and v.ph = x.w2 where x.f >= 10
+  union all select x.lang, x.ph, x.f, 1, u.f, v.f from f3 x
+    join f1 u on u.lang = x.lang and u.ph = x.w1 join f2 v on v.lang = x.lang and v.w1 = x.w2 and v.w2 = x.w3
+  union all select x.lang, x.ph, x.f, 2, u.f, v.f from f3 x
+    join f2 u on u.lang = x.lang and u.w1 = x.w1 and u.w2 = x.w2 join f1 v on v.lang = x.lang and v.ph = x.w3),
+s as (select *, (1000000::hugeint * a * a) // (l * r) as score from c),
+b as (select * from s qualify row_number() over (partition by lang, ph order by score, cut) = 1),
+m as (select lang, ph, max(f) as most from (select lang, w1 || ' ' || w2 as ph, f from f3 union all select lang, w2 || ' ' || w3, f from f3) group by all)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(ph)) as rank,
+  ph as phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from b join n using (lang) left join m using (lang, ph) where most is null or 100 * most < 50 * a
+qualify rank <= 2000
+"""
+
 
 def build_queries() -> dict[str, QueryFn]:
     return {
@@ -178,6 +209,7 @@ def build_queries() -> dict[str, QueryFn]:
         "op9_minhash_neardup": op9_minhash_neardup,
         "op10_line_dedup": op10_line_dedup,
         "line_dedup_any_run": line_dedup_any_run,
+        "op11_collocations": op11_collocations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -191,4 +223,5 @@ def build_oracle() -> dict[str, str]:
         "op9_minhash_neardup": ORACLE_NEARDUP,
         "op10_line_dedup": ORACLE_LINES,
         "line_dedup_any_run": ORACLE_LINES_ANY_RUN,
+        "op11_collocations": ORACLE_PHRASES,
     }
