@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, linededup, mixing, neardup, phrases, substring, tokenfile, topk, toxicity, warc
+from . import decontam, dialog, langid, linededup, mixing, neardup, phrases, substring, tokenfile, topk, toxicity, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
@@ -69,6 +69,11 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine_collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return dialog.repair_report(dialog.damage(rows), ids=rows)
+
+
 # --- DuckDB ------------------------------------------------------------------
 
 # the words of a text, a list of strings (SPACE is [\x20\x09-\x0D])
@@ -196,6 +201,63 @@ qualify rank <= 2000
 """
 
 
+def _conversation_oracle() -> str:
+    """Cheapest edits by a step per row: for each state the least string of
+    cost, in nine digits, and edits."""
+
+    def add(v: str, cost: str, edit: str) -> str:
+        return f"lpad((substr({v}, 1, 9)::int + {cost})::varchar, 9, '0') || substr({v}, 10) || '{edit}'"
+
+    def keep(v: str, initial: str) -> str:
+        return f"case when not must_go and initial = '{initial}' then {add(v, 'more', 'K')} end"
+
+    def rerole(v: str) -> str:
+        return f"case when not must_go then {add(v, '1 + more', 'R')} end"
+
+    inserted = f"least(v2, {add('v0', '5', 'I')}, {add('v1', '5', 'I')}, {add('v3', '5', 'I')}) as u2, least(v3, {add('v2', '5', 'I')}) as u3"
+    return rf"""
+with recursive tab as (
+  select list(c order by i) as t from (select i, list_reduce(range(0, 8), lambda c, k: xor(c >> 1, (c & 1) * 3988292384), i) as c from range(0, 256) x(i))),
+src as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as fault
+  from conversations, tab),
+d as (
+  select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+    case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from (select *, unnest(case when fault = 3 then [1, 2] else [1] end) from src where fault <> 0)),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from d),
+m as (select *, not regexp_matches(text, '[^ 	-]') as blank, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+  substr(role, 1, 1) as initial, lag(substr(role, 1, 1)) over (partition by conv_id order by i) as before,
+  regexp_extract(text, '([^ 	-])[ 	-]*$', 1) not in ('.', '!', '?') as cut from o),
+w as (select conv_id, i, role, text, initial, blank or again as must_go, case when cut and not blank and not again then 5 else 0 end as more from m),
+e as (select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (blank) as blank,
+  count(*) filter (again and not blank) as duplicate, count(*) filter (cut and not blank and not again) as truncated,
+  count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal, count(*) as n from m group by 1),
+r as (
+  select conv_id, 0::bigint as i, '000000000' as v0, null::varchar as v1, null::varchar as v2, null::varchar as v3 from e
+  union all
+  select q.conv_id, w.i, {add("v0", "2", "D")}, least({add("v1", "2", "D")}, {keep("v0", "s")}),
+    least({add("u2", "2", "D")}, {keep("v0", "u")}, {keep("v1", "u")}, {keep("u3", "u")}, {rerole("v0")}, {rerole("v1")}, {rerole("u3")}),
+    least({add("u3", "2", "D")}, {keep("u2", "a")}, {rerole("u2")})
+  from (select *, {inserted} from r) q join w on w.conv_id is not distinct from q.conv_id and w.i = q.i + 1),
+f as (select conv_id, least(v0, u3) as v from (select r.*, {inserted} from r join e on e.conv_id is not distinct from r.conv_id and e.n = r.i)),
+a as (select conv_id, substr(v, 1, 9)::bigint as cost, substr(v, 10) as audit from f),
+c as (select conv_id, unnest(string_split(audit, '')) as c, unnest(range(1, len(audit) + 1)) as p from a where audit <> ''),
+j as (select *, count(*) filter (c <> 'I') over (partition by conv_id order by p) as i, count(*) filter (c <> 'D') over (partition by conv_id order by p) as k,
+  count(*) filter (c <> 'D') over (partition by conv_id) % 2 as odd from c),
+t as (select j.conv_id, p, case when c = 'K' then role when (k - odd) % 2 = 1 then 'user' else 'assistant' end || ':' || case when c = 'I' then '' else text end as line
+  from j join w on w.conv_id is not distinct from j.conv_id and w.i = greatest(j.i, 1) where c <> 'D'),
+h as (select conv_id, string_agg(line, chr(10) order by p) as whole from t group by 1)
+select x.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+  coalesce(audit, '') as audit, sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) x left join e on e.conv_id is not distinct from x.conv_id
+  left join a on a.conv_id is not distinct from x.conv_id left join h on h.conv_id is not distinct from x.conv_id
+"""
+
+
 def build_queries() -> dict[str, QueryFn]:
     return {
         "op1_language_id": op1_language_id,
@@ -210,6 +272,7 @@ def build_queries() -> dict[str, QueryFn]:
         "op10_line_dedup": op10_line_dedup,
         "line_dedup_any_run": line_dedup_any_run,
         "op11_collocations": op11_collocations,
+        "op12_conversation_repair": op12_conversation_repair,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -224,4 +287,5 @@ def build_oracle() -> dict[str, str]:
         "op10_line_dedup": ORACLE_LINES,
         "line_dedup_any_run": ORACLE_LINES_ANY_RUN,
         "op11_collocations": ORACLE_PHRASES,
+        "op12_conversation_repair": _conversation_oracle(),
     }
