@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, dialog, langid, linededup, mixing, neardup, phrases, substring, tokenfile, topk, toxicity, warc
+from . import decontam, dialog, langid, license, linededup, mixing, neardup, phrases, substring, tokenfile, topk, toxicity, warc
 from ..plans.session import scratch_dir
 from .storage import table
 
@@ -74,6 +74,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dialog.repair_report(dialog.damage(rows), ids=rows)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.drop("places")
+
+
 # --- DuckDB ------------------------------------------------------------------
 
 # the words of a text, a list of strings (SPACE is [\x20\x09-\x0D])
@@ -228,9 +233,12 @@ d as (
     case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
   from (select *, unnest(case when fault = 3 then [1, 2] else [1] end) from src where fault <> 0)),
 o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from d),
-m as (select *, not regexp_matches(text, '[^ 	-]') as blank, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+m as (select *, not regexp_matches(text, '[^ 	-
+]') as blank, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
   substr(role, 1, 1) as initial, lag(substr(role, 1, 1)) over (partition by conv_id order by i) as before,
-  regexp_extract(text, '([^ 	-])[ 	-]*$', 1) not in ('.', '!', '?') as cut from o),
+  regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) not in ('.', '!', '?') as cut from o),
 w as (select conv_id, i, role, text, initial, blank or again as must_go, case when cut and not blank and not again then 5 else 0 end as more from m),
 e as (select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (blank) as blank,
   count(*) filter (again and not blank) as duplicate, count(*) filter (cut and not blank and not again) as truncated,
@@ -258,6 +266,39 @@ from (select distinct conv_id from conversations) x left join e on e.conv_id is
 """
 
 
+def _license_oracle() -> str:
+    """Base phrases and templates as tables of words, joined by position."""
+    words = [(t, j, w) for t, (_, text, _) in enumerate(license.TEMPLATES) for j, w in enumerate(text.split())]
+    keys = [(t, k, j, w) for t, (_, _, ms) in enumerate(license.TEMPLATES) for k, m in enumerate(ms) for j, w in enumerate(m.split())]
+    base = [(label, j, w) for p, label in license.BASE_PHRASES.items() for j, w in enumerate(p.split())]
+    values = lambda rows: ", ".join(str(r) for r in rows)
+    labels = [(t, label) for t, (label, _, _) in enumerate(license.TEMPLATES)]
+    return rf"""
+with t(t, j, w) as (values {values(words)}), m(t, k, j, w) as (values {values(keys)}), b(label, j, w) as (values {values(base)}),
+lab(t, label) as (values {values(labels)}), tn as (select t, count(*) as len from t group by 1),
+mn as (select t, k, count(*) as len from m group by all), mc as (select t, count(*) as nk from mn group by 1), bn as (select label, count(*) as len from b group by 1),
+d as (select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+x as (select r, i, w from (select r, unnest(ws) as w, unnest(range(len(ws))) as i from d) semi join (select w from t union select w from m union select w from b) using (w)),
+f as (select w, count(distinct r) as df from x group by 1),
+p as (select r, label, i - j as s from x join b using (w) join bn using (label) group by r, label, i - j, len having count(*) = len),
+pr as (select r, count(*) as n_base, min(s) as first_word, max(s) as last_word from p group by 1),
+rare as (select r, t, w from (select distinct r, t, w from x join t using (w)) join f using (w)
+  qualify row_number() over (partition by r, t order by df, encode(w)) <= {license.RARE_WORDS}),
+c as (select r, t, i - j as s from rare join x using (r, w) join t using (t, w) group by all having count(distinct w) >= {license.AGREE}),
+v as (select r, t, s, len, count(*) / len as share from c join t using (t) join tn using (t) join x using (r, w) where x.i = s + t.j
+  group by r, t, s, len having count(*) / len >= {license.IN_PLACE}),
+k as (select r, t, k, i - j as q from x join m using (w) join mn using (t, k) group by r, t, k, i - j, mn.len having count(*) = mn.len),
+y as (select v.r, v.t, v.s, share from v join k on k.r = v.r and k.t = v.t join mn on mn.t = k.t and mn.k = k.k join mc on mc.t = v.t
+  where k.q >= v.s and k.q + mn.len <= v.s + v.len group by v.r, v.t, v.s, share, nk having count(distinct k.k) = nk),
+l as (select r, label, true as base, 1.0::double as share from p union all select r, label, false, share from y join lab using (t)),
+g as (select r, string_agg(distinct label, ',' order by label) filter (base) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(share) as score from l group by 1)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word, last_word::bigint as last_word,
+  coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from d left join pr using (r) left join g using (r)
+"""
+
+
 def build_queries() -> dict[str, QueryFn]:
     return {
         "op1_language_id": op1_language_id,
@@ -273,6 +314,7 @@ def build_queries() -> dict[str, QueryFn]:
         "line_dedup_any_run": line_dedup_any_run,
         "op11_collocations": op11_collocations,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_license_scan": op13_license_scan,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -288,4 +330,5 @@ def build_oracle() -> dict[str, str]:
         "line_dedup_any_run": ORACLE_LINES_ANY_RUN,
         "op11_collocations": ORACLE_PHRASES,
         "op12_conversation_repair": _conversation_oracle(),
+        "op13_license_scan": _license_oracle(),
     }
