@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from helpers import corpus, documents
@@ -47,6 +48,32 @@ def test_shards_hold_every_document_in_order(spark):
     assert tokenfile.lookup(spark, path, [77_777], found).collect() == []
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_tokenizers_own(monkeypatch, name):
+    """Whatever the vocabulary, and with words forgotten all the time."""
+    monkeypatch.setattr(tokenfile, "CACHED_WORDS", 60)
+    path = public_tokenizers.path(name)
+    plain, encoder = Tokenizer.from_file(path), tokenfile.WordEncoder(path, 1)
+    texts = [t for _, t in corpus(9)] + ["straße,### ÑANDÚ... été!! niño%%% x1$$$ a&&b c** d,,e É.", "×. ÷! ß? ÿ; \u0301e\u0301. ǅ, ŉ. ª? µ!", "  two  spaces\n\n\tand  lines ", "it's (the) 'end'"]
+    for a in range(0, len(texts), 7):
+        some = texts[a : a + 7]
+        ids, sizes = encoder.encode(pa.array(some, pa.string()))
+        want = [[*plain.encode(t or "", add_special_tokens=False).ids, 1] for t in some]
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_come_back_from_the_last_generation(monkeypatch):
+    monkeypatch.setattr(tokenfile, "CACHED_WORDS", 3)
+    encoder = tokenfile.WordEncoder(TOKENIZER, 1)
+    learned = []
+    learn = encoder.learn
+    encoder.learn = lambda words: (learned.extend(words), learn(words))[1]
+    first = encoder.encode(pa.array(["ab cd ef gh"]))[0].tolist()
+    assert encoder.encode(pa.array(["ab cd ef gh"]))[0].tolist() == first
+    assert sorted(learned) == [b"ab", b"cd", b"ef", b"gh"]
+
+
 def test_repeated_and_null_ids(spark):
     rows = [(5, "b"), (5, "a a"), (5, "b"), (None, "n"), (None, None), (-3, "z"), (2**62, "far")]
     path = scratch_dir(spark, "t")
@@ -83,6 +110,11 @@ def test_fingerprints_turn_away_other_keys():
     row, rows = shard.find(np.arange(4000))
     assert rows[::2].tolist() == [1] * 2000 and rows[1::2].sum() == 0
     assert shard.ids(int(row[20])).tolist() == [10]
+    # a key that is not there, under the fingerprint of one that is
+    forged = shard.slots.copy()
+    forged["fingerprint"][:] = tokenfile._fingerprint(np.array([1]))[0]
+    shard.slots = forged
+    assert shard.find(np.array([1]))[1].tolist() == [0]
     with pytest.raises(ValueError, match="token shard"):
         tokenfile.Shard(b"something else")
 

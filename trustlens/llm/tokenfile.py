@@ -3,19 +3,21 @@
 A shard holds consecutive documents in ascending doc_id order.  Layout, all
 little-endian:
 
-    8 bytes   magic ``TLTOK01\\n``
+    8 bytes   magic ``TLTOK02\\n``
     4 bytes   length of the header
     header    JSON: place (partition, number), counts, id width, level sizes
     keys      int64 per distinct non-null doc_id, ascending
     bits      the levels of the perfect hash, padded to bytes
-    slots     per key: uint32 fingerprint, uint32 first row, uint32 rows
+    ranks     uint32 per 512 bits: set bits before them
+    slots     per key: uint32 fingerprint, uint32 first row, uint32 rows, int64 key
     offsets   uint64 per row and one more: ids of the shard before the row
     payload   the ids themselves, uint16 or uint32
 
 The index is a minimal perfect hash by levels of bit arrays: at each level a
 key that has its bit alone keeps it, the others go on to the next; a key's
-slot is the rank of its bit.  A lookup touches one bit per level, one slot and
-one slice of the payload; the fingerprint turns away keys that are not there.
+slot is the rank of its bit.  A lookup touches one bit per level, one stored
+rank and at most 64 bytes after it, one slot and one slice of the payload; the
+fingerprint turns away keys that are not there, and the stored key the rest.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import sys
 import types
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,15 +38,24 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .storage import give_back, slices, staged, wide_rows
-from .textscan import RUN_B, mix
+from .textscan import RUN_B, Words, mix, scan_bytes, text_bytes
 
-MAGIC = b"TLTOK01\n"
+MAGIC = b"TLTOK02\n"
 GAMMA = 2  # bits per key and level
 SHARD_BYTES = 8 << 20
 CACHED_WORDS = 200_000
-_PLAIN = re.compile(rb"[a-z]+").fullmatch
-_TAIL = re.compile(rb"(?<=[a-z0-9])([.,;:!?]+)(?=[\x20\x09-\x0d])")
-_SLOT = np.dtype([("fingerprint", "<u4"), ("row", "<u4"), ("rows", "<u4")])
+_PLAIN = re.compile(rb"[a-z]+\Z").match
+# letters of a-z and Latin-1, which stay one piece and change by case alone
+_LATIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z").match
+# marks after a letter (a-z, or one of Latin-1 in UTF-8) or a digit
+_TAIL = re.compile(rb"(?:(?<=[a-z0-9])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,;:!?#%&$*]+)(?=[\x20\x09-\x0d])")
+_MARK = np.isin(np.arange(256), np.frombuffer(b".,;:!?#%&$*", np.uint8))
+_LETTER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
+_LATIN_TAIL = np.isin(np.arange(256), [*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)])
+_TAILS = (".", ",", ";", ":", "!", "?", "?!", "...", "#", "%", "&", "$", "*", ",###", ".$$$", "%%%", "&&", "!***")
+_SLOT = np.dtype([("fingerprint", "<u4"), ("row", "<u4"), ("rows", "<u4"), ("key", "<i8")])
+_RANK_BYTES = 64  # of bits, for each stored rank
+_ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
 
 
 # --- the perfect hash ---------------------------------------------------------
@@ -76,18 +88,43 @@ def build_index(keys: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
     return sizes, bits, (np.cumsum(bits) - 1)[where] if len(keys) else where
 
 
-def find_slots(keys: np.ndarray, sizes: list[int], bits: np.ndarray) -> np.ndarray:
-    """Slot of each key, -1 where no level has a bit for it."""
-    rank = np.cumsum(bits) - 1
+def block_ranks(packed: np.ndarray) -> np.ndarray:
+    """Number of set bits before each block of 512."""
+    ones = _ONES[packed]
+    whole = np.concatenate([ones, np.zeros(-len(ones) % _RANK_BYTES, np.int64)]).reshape(-1, _RANK_BYTES).sum(1)
+    return (np.cumsum(whole) - whole).astype("<u4")
+
+
+def find_slots(keys: np.ndarray, sizes: list[int], bits: np.ndarray, ranks: np.ndarray | None = None) -> np.ndarray:
+    """Slot of each key, -1 where no level has a bit for it.
+
+    ``bits`` are packed bytes with their block ranks, or plain booleans."""
+    if ranks is None:
+        bits = np.packbits(bits)
+        ranks = block_ranks(bits)
     out, left, base = np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
     for level, size in enumerate(sizes):
         at = base + _position(keys[left], level, size)
-        hit = bits[at]
-        out[left[hit]] = rank[at[hit]]
+        hit = bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 == 1
+        out[left[hit]] = _rank(at[hit], bits, ranks)
         left, base = left[~hit], base + size
     return out
 
 
+def _rank(at: np.ndarray, bits: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Number of set bits before each place: the block's, and those of at most
+    64 bytes in it."""
+    out = np.empty(len(at), np.int64)
+    for a in range(0, len(at), 1 << 14):
+        here = at[a : a + (1 << 14)]
+        byte = here >> 3
+        span = (byte // _RANK_BYTES * _RANK_BYTES)[:, None] + np.arange(_RANK_BYTES)
+        before = np.where(span < byte[:, None], _ONES[bits[np.minimum(span, len(bits) - 1)]], 0).sum(1)
+        rest = _ONES[bits[byte] >> (8 - (here & 7)).astype(np.uint16)]
+        out[a : a + (1 << 14)] = ranks[byte // _RANK_BYTES] + before + rest
+    return out
+
+
 # --- shards -------------------------------------------------------------------
 
 
@@ -99,13 +136,15 @@ def pack_shard(place: tuple[int, int], ids: list[int | None], payload: np.ndarra
     slots["fingerprint"][slot] = _fingerprint(keys)
     slots["row"][slot] = row + nulls
     slots["rows"][slot] = rows
+    slots["key"][slot] = keys
+    packed = np.packbits(bits)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype("<u8")
     width = payload.dtype.itemsize
     head = json.dumps(
         {"place": list(place), "rows": len(ids), "nulls": nulls, "keys": len(keys), "width": width, "levels": sizes}
     ).encode()
     return b"".join(
-        [MAGIC, len(head).to_bytes(4, "little"), head, keys.astype("<i8").tobytes(), np.packbits(bits).tobytes()]
+        [MAGIC, len(head).to_bytes(4, "little"), head, keys.astype("<i8").tobytes(), packed.tobytes(), block_ranks(packed).tobytes()]
         + [slots.tobytes(), offsets.tobytes(), payload.astype(f"<u{width}").tobytes()]
     )
 
@@ -129,25 +168,51 @@ class Shard:
         h = self.head
         total = sum(h["levels"])
         self.keys = section("<i8", h["keys"])
-        self.bits = np.unpackbits(section(np.uint8, (total + 7) // 8), count=total).astype(bool)
+        self.bits = section(np.uint8, (total + 7) // 8)
+        self.ranks = section("<u4", -(-len(self.bits) // _RANK_BYTES))
         self.slots = section(_SLOT, h["keys"])
-        self.offsets = section("<u8", h["rows"] + 1).astype(np.int64)
+        self.offsets = section("<i8", h["rows"] + 1)
         self.payload = section(f"<u{h['width']}", int(self.offsets[-1]))
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first row, rows) of each key; rows is 0 for keys not in the shard."""
-        slot = find_slots(keys, self.head["levels"], self.bits)
+        slot = find_slots(keys, self.head["levels"], self.bits, self.ranks)
         hit = self.slots[np.maximum(slot, 0)] if len(self.slots) else np.zeros(len(keys), _SLOT)
-        there = (slot >= 0) & (hit["fingerprint"] == _fingerprint(keys)) if len(keys) else np.zeros(0, bool)
+        there = (slot >= 0) & (hit["fingerprint"] == _fingerprint(keys)) & (hit["key"] == keys) if len(keys) else np.zeros(0, bool)
         return hit["row"].astype(np.int64), np.where(there, hit["rows"], 0).astype(np.int64)
 
     def ids(self, row: int) -> np.ndarray:
         return self.payload[self.offsets[row] : self.offsets[row + 1]]
 
 
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of the spans of ``size`` from ``begin`` on, one after another."""
+    last = np.cumsum(size)
+    return np.arange(int(last[-1]) if len(last) else 0) + np.repeat(begin - (last - size), size)
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character that byte-level tokenizers write for each byte: itself if
+    it is printable in Latin-1, else the next one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_BYTE_CHARACTERS = _byte_characters()
+
+
+def _byte_level(word: bytes) -> str:
+    """A lower-cased word as a byte-level model reads it."""
+    return word.decode().lower().encode().decode("latin-1").translate(_BYTE_CHARACTERS)
+
+
 class WordEncoder:
     """Ids of whole texts, word by word.
 
+    Whether the tokenizer drops white space is probed; one that does not gets
+    whole texts.
+
     For a tokenizer that drops white space and never joins across it, the ids
     of a text are those of its space-separated words one after another, so a
     word met before is not encoded again.  Where the tokenizer itself folds
@@ -161,49 +226,73 @@ class WordEncoder:
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end_id
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        # words can be taken one by one only if white space parts them and is gone
+        spaced = "One two,  three\tfour\n\nfive été x1 it's (six)\r\n seven"
+        self.by_words = ids(spaced) == [i for w in spaced.split() for i in ids(w)] and ids("\x0b \x0c ") == []
         self.folds = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
-        self.parts = all(ids(f"word{x} b") == ids(f"word {x} b") for x in (".", ",", ";", ":", "!", "?", "?!", "..."))
+        self.parts = all(ids(f"{w}{x} b") == ids(f"{w} {x} b") for x in _TAILS for w in ("word", "été", "Ñ", "x1"))
         added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.markers = [x.encode() for x in added]
         plain = ["word", "thhethea", "a", "zz", "tokenization"]
         self.direct = not any(re.fullmatch("[a-z]+", x) for x in added) and all(
             ids(x) == [t.id for t in self.tokenizer.model.tokenize(x)] for x in plain
         )
+        latin = ["été", "Ñandú", "straße", "ÀÖØÞ", "àöøþÿ", "x", "über"]
+        self.latin = self.direct and all(ids(x) == [t.id for t in self.tokenizer.model.tokenize(_byte_level(x.encode()))] for x in latin)
         self.kind = np.uint16 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
+        self.known = {}
         self.forget()
 
     def forget(self) -> None:
+        """Begin a new generation of words; the last one is kept beside it."""
         # entry 0 is the end of a document
+        self.old = (self.known, self.flat, self.begin, self.size) if self.known else None
         self.known: dict[bytes, int] = {}
         self.flat, self.used = np.zeros(1 << 16, self.kind), 1
         self.flat[0] = self.end
         self.begin, self.size, self.entries = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 1
         self.size[0] = 1
 
+    def recall(self, words: list[bytes]) -> list[bytes]:
+        """Take words over from the last generation; returns the others."""
+        if self.old is None:
+            return words
+        known, flat, begin, size = self.old
+        met = [w for w in words if w in known]
+        if met:
+            entry = np.fromiter(map(known.__getitem__, met), np.int64, len(met))
+            self.keep(met, size[entry], flat[_spans(begin[entry], size[entry])])
+        return [w for w in words if w not in known]
+
     def _room(self, name: str, need: int) -> None:
         have = getattr(self, name)
         if need > len(have):
             setattr(self, name, np.concatenate([have, np.zeros(max(need, 2 * len(have)) - len(have), have.dtype)]))
 
     def learn(self, words: list[bytes]) -> None:
-        if self.direct:
-            plain = [w for w in words if _PLAIN(w)]
-            if plain:
-                tokenize = self.tokenizer.model.tokenize
-                self.keep(plain, [[t.id for t in tokenize(w.decode())] for w in plain])
-            words = [w for w in words if not _PLAIN(w)]
+        tokenize = self.tokenizer.model.tokenize
+        for ours, simple, text in ((self.direct, _PLAIN, bytes.decode), (self.latin, _LATIN, _byte_level)):
+            if ours:
+                some, rest = [], []
+                for w in words:
+                    (some if simple(w) else rest).append(w)
+                self.keep_lists(some, [[t.id for t in tokenize(text(w))] for w in some])
+                words = rest
         for a in range(0, len(words), 20_000):
             some = words[a : a + 20_000]
-            self.keep(some, [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)])
+            self.keep_lists(some, [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)])
 
-    def keep(self, some: list[bytes], found: list[list[int]]) -> None:
-        """Store the ids of words."""
+    def keep_lists(self, some: list[bytes], found: list[list[int]]) -> None:
         n = np.array([len(x) for x in found], np.int64)
-        total = int(n.sum())
+        self.keep(some, n, np.fromiter(chain.from_iterable(found), self.kind, int(n.sum())))
+
+    def keep(self, some: list[bytes], n: np.ndarray, ids: np.ndarray) -> None:
+        """Store the ids of words, ``n`` for each."""
+        total = len(ids)
         self._room("flat", self.used + total)
         self._room("begin", self.entries + len(some))
         self._room("size", self.entries + len(some))
-        self.flat[self.used : self.used + total] = [t for x in found for t in x]
+        self.flat[self.used : self.used + total] = ids
         self.begin[self.entries : self.entries + len(some)] = self.used + np.cumsum(n) - n
         self.size[self.entries : self.entries + len(some)] = n
         self.known.update(zip(some, range(self.entries, self.entries + len(some))))
@@ -221,26 +310,57 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each), end ids included."""
+        if not self.by_words:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            lists = [[*x.ids, self.end] for x in found]
+            sizes = np.array([len(x) for x in lists], np.int64)
+            return np.fromiter(chain.from_iterable(lists), self.kind, int(sizes.sum())), sizes
         if len(self.known) > CACHED_WORDS:
             self.forget()
-        words: list[bytes | None] = []
-        ends = []
-        for text in texts.cast(pa.binary()).to_pylist():
-            if text:
-                words += self.split(text)
-            ends.append(len(words))
-            words.append(b"")  # stands for the end id; no word is empty
-        known = self.known
-        known[b""] = 0
-        new = list(set(words).difference(known))
-        if new:
-            self.learn(new)
-        entry = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        data, off = text_bytes(texts)
+        raw = data.tobytes()
+        low = raw.lower() if self.folds else raw
+        if any(x in raw or x in low for x in self.markers):  # some text may hold a marker
+            words, firsts = [], [0]
+            for i in range(len(off) - 1):
+                words += self.split(raw[off[i] : off[i + 1]])
+                firsts.append(len(words))
+            entry, first = self.entries_of(words), np.array(firsts)
+        else:
+            start, length, first = self.places(np.frombuffer(low, np.uint8), off)
+            # equal words of the batch are looked up once
+            _, at, back = np.unique(Words(np.frombuffer(low, np.uint8), start, length, first).hashes(), return_index=True, return_inverse=True)
+            words = [low[i:j] for i, j in zip(start[at].tolist(), (start[at] + length[at]).tolist())]
+            entry = self.entries_of(words)[back]
+        entry = np.insert(entry, first[1:], 0)  # the end of each text
         size = self.size[entry]
-        last = np.cumsum(size)
-        at = np.arange(int(last[-1]) if len(last) else 0) + np.repeat(self.begin[entry] - (last - size), size)
-        ends = last[np.array(ends, np.int64)]
-        return self.flat[at], np.diff(np.concatenate([[0], ends]))
+        ends = np.cumsum(size)[first[1:] + np.arange(len(first) - 1)]
+        return self.flat[_spans(self.begin[entry], size)], np.diff(np.concatenate([[0], ends]))
+
+    def places(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, first word of each text) of the words of folded
+        texts, with the marks after a word as one of its own."""
+        found = scan_bytes(data, off)
+        start, length, first = found.start, found.length, found.first
+        if not (self.parts and len(start)):
+            return start, length, first
+        plain = np.maximum.accumulate(np.where(_MARK[data], -1, np.arange(len(data))))
+        end = start + length
+        stem = plain[end - 1] + 1  # end of the word without its marks
+        before = data[np.maximum(stem - 1, 0)]
+        latin = _LATIN_TAIL[before] & (data[np.maximum(stem - 2, 0)] == 0xC3) & (stem - 2 >= start)
+        parted = (stem < end) & (stem > start) & (_LETTER[before] | latin)
+        rows = np.flatnonzero(parted)
+        length = np.where(parted, stem - start, length)
+        start, length = np.insert(start, rows + 1, stem[rows]), np.insert(length, rows + 1, (end - stem)[rows])
+        return start, length, first + np.searchsorted(rows, first)
+
+    def entries_of(self, words: list[bytes]) -> np.ndarray:
+        """Number of each word among the stored ones; new words are stored."""
+        new = list(set(words).difference(self.known))
+        if new:
+            self.learn(self.recall(new))
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
 
 def _worker_encoder(path: str, end_id: int) -> WordEncoder:
