@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -93,6 +94,20 @@ def test_near_duplicates_agree_with_brute_force(spark, rows, threshold):
     assert _bag(got) == _bag(_neardup(rows, threshold))
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    s, t, u = ("one two three four five six", "alpha beta gamma delta epsilon zeta eta", "no such words in any other text")
+    some = [(1, s), (5, s), (5, t), (9, t), (5, ""), (7, u), (7, None), (8, ""), (None, t)]
+    got = neardup.near_duplicates(documents(spark, some)).collect()
+    assert _bag(got) == _bag(_neardup(some, 75))
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 5: 1, 9: 1, 7: 7, 8: 8, None: 1}
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(rng.choice([0, 3, 7]))) for _ in range(12)]
+    many = [(rng.randint(0, 25), rng.choice(texts)) for _ in range(60)]
+    assert _bag(neardup.near_duplicates(documents(spark, many)).collect()) == _bag(_neardup(many, 75))
+    kept = neardup.drop_near_duplicates(documents(spark, some)).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 7, 8]
+
+
 def test_near_duplicates_across_blocks(spark, monkeypatch):
     # variants of one text that resemble a hidden middle, not each other
     monkeypatch.setattr(neardup, "BLOCK", 4)

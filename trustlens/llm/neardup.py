@@ -278,7 +278,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     links = likely.join(of("a"), "a").join(of("b"), "b").where(
         F.lit(100) * common >= F.lit(threshold) * (F.size("set_a") + F.size("set_b") - common)
     )
-    links = staged(links.select("a", "b"), "links")
+    links = staged(links.select("a", "b").unionByName(_same_document(full, classes)), "links")
     component = staged(connected_components(links), "components")
 
     rest = staged(_unsettled(crowds, component), "unsettled")
@@ -302,7 +302,13 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
         "named-classes",
     )
     out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
-    component_id = F.when(F.col("n_shingles") > 0, F.coalesce("group_id", "doc_id")).otherwise(F.col("doc_id"))
+    # an empty row goes with the other rows of its doc_id
+    empty = staged(signed.where("n_shingles = 0 and doc_id is not null").select("doc_id").distinct(), "empty-ids")
+    own = full.join(bounded_broadcast(empty), "doc_id", "left_semi").join(named, ["set_a", "set_b"])
+    own = staged(own.groupBy("doc_id").agg(F.min("group_id").alias("own")), "their-groups")
+    if own.limit(1).count():
+        out = out.join(bounded_broadcast(own), "doc_id", "left").withColumn("group_id", F.when(F.col("n_shingles") > 0, F.col("group_id")).otherwise(F.col("own")))
+    component_id = F.coalesce("group_id", "doc_id")
     return out.select(
         "doc_id",
         "n_shingles",
@@ -311,6 +317,18 @@ def near_duplicates(docs: DataFrame, threshold: int = 75) -> DataFrame:
     )
 
 
+def _same_document(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of one doc_id that has several texts."""
+    mark = F.struct("set_a", "set_b")
+    ids = full.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("doc_id")
+    ids = staged(ids, "several-texts")
+    if not ids.limit(1).count():
+        return classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+    of = full.join(bounded_broadcast(ids), "doc_id").join(classes, ["set_a", "set_b"]).select("doc_id", F.col("node").alias("a")).distinct()
+    of = staged(of, "their-classes")
+    return of.join(of.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").where("a <> b").select("a", "b")
+
+
 def _block_links(docs: DataFrame, rest: DataFrame, threshold: int) -> DataFrame:
     """Links among the members of unsettled buckets, on their full sets.
 

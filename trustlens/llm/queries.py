@@ -136,19 +136,20 @@ from p left join f using (payload_digest)
 
 ORACLE_NEARDUP = rf"""
 with recursive w as (
-  select doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
+  select row_number() over () as id, doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
   from documents),
 s as (
-  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+  select distinct id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
     else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as sh from w),
-n as (select doc_id, count(*) as n from s group by 1),
-p as (select a.doc_id as a, b.doc_id as b, count(*) as i from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
-l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 75 * (x.n + y.n - i)),
+n as (select id, count(*) as n from s group by 1),
+p as (select a.id as a, b.id as b, count(*) as i from s a join s b on a.sh = b.sh and a.id < b.id group by 1, 2),
+l as (select a, b from p join n x on x.id = a join n y on y.id = b where 100 * i >= 75 * (x.n + y.n - i)
+  union select a.id, b.id from w a join w b on a.doc_id = b.doc_id and a.id < b.id),
 e as (select a, b from l union all select b, a from l),
-r as (select doc_id as a, doc_id as b from w union select r.a, e.b from r join e on r.b = e.a),
-c as (select a, min(b) as component_id from r group by 1)
+r as (select id as a, id as b from w union select r.a, e.b from r join e on r.b = e.a),
+c as (select a, min(doc_id) as component_id from r join w on w.id = r.b group by 1)
 select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id, w.doc_id = c.component_id as kept
-from w left join n using (doc_id) join c on c.a = w.doc_id
+from w left join n using (id) join c on c.a = w.id
 """
 
 ORACLE_LINES = r"""
