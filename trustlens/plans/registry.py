@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +18,21 @@ from ..operators import clean as C
 from ..operators import explain as X
 from ..operators import features as FE
 from ..operators import model as M
+from ..operators import gold as GO
 from ..operators import guide as G
 from ..operators import profile as P
+from ..operators import sketches as SK
+from ..operators import tree_shap as TS
 from ..operators import trust as T
 from ..functions.joins import lookup_join
-from ..functions.stats import group_quantiles
+from ..functions.staging import staged
+from ..functions.stats import group_quantiles, value_counts
 from ..sources import fixtures as FX
 from . import oracle as O
 from ..sources import io as IO
+from ..sources import keyed as K
+from ..sources import split_csv as SC
+from ..sources import zip_source as ZS
 from . import pipeline as PL
 from .session import scratch_dir
 
@@ -54,11 +61,11 @@ SETTINGS = {"Random Forest": {"max_depth": 8}}
 _MODELS: dict[tuple, str] = {}
 
 
-def _model(spark: SparkSession, sf_dir: str, name: str) -> tuple[PipelineModel, PL.ModelInputs]:
+def _model(spark: SparkSession, sf_dir: str, name: str, mi: PL.ModelInputs | None = None) -> tuple[PipelineModel, PL.ModelInputs]:
     """The model of this name for the input as it is now: fitted and saved with
     its split once, loaded from its path after that."""
     key = (spark.sparkContext.applicationId, FX.input_version(spark, sf_dir), name)
-    mi = PL.model_inputs(spark, sf_dir)
+    mi = mi or PL.model_inputs(spark, sf_dir)
     if key not in _MODELS:
         model = M.fit_model(name, mi.split.where("split = 'train'"), mi.numeric, **SETTINGS.get(name, {}))
         _MODELS[key] = M.save_model(model, scratch_dir(spark, "model"), mi.split)
@@ -250,12 +257,29 @@ def build_queries() -> dict[str, QueryFn]:
 
     q["fit_linear"] = fitted("Linear Regression")
     q["fit_forest"] = fitted("Random Forest")
+
+    def normal_equations(s, d):
+        """A least-squares fit leaves residuals at right angles to every column
+        it was fitted on, the constant one too; no other fit does."""
+        model, mi = _model(s, d, "Linear Regression")
+        train = staged(mi.split.where("split = 'train'"), "train")
+        rows = model.transform(train).select((F.col(FE.TARGET) - F.col("prediction")).alias("e"), vector_to_array("features").alias("x"))
+        names = [*X.feature_names(model, mi.numeric), "intercept"]
+        columns = F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("j", "v")
+        long = rows.select("e", columns)
+        angle = F.abs(F.sum(F.col("e") * F.col("v"))) / F.sqrt(F.sum(F.col("e") * F.col("e")) * F.sum(F.col("v") * F.col("v")))
+        name = F.element_at(F.array(*(F.lit(n) for n in names)), F.col("j") + 1)
+        return long.groupBy("j").agg(angle.alias("angle")).select(name.alias("feature"), (F.col("angle") < 1e-4).alias("holds"))
+
+    q["linear_normal_equations"] = normal_equations
     q["fit_boosted"] = fitted("Gradient Boosting")
 
+    def all_models(s, d):
+        mi = PL.model_inputs(s, d)
+        return {name: _model(s, d, name, mi)[0] for name in M.MODEL_NAMES}, mi
+
     def compare(s, d):
-        models, mi = {}, None
-        for name in M.MODEL_NAMES:
-            models[name], mi = _model(s, d, name)
+        models, mi = all_models(s, d)
         metrics = M.compare_models(models, mi.split)
         least = F.min_by("is_best", "rmse")
         return metrics.agg(
@@ -300,6 +324,50 @@ def build_queries() -> dict[str, QueryFn]:
     q["shap_sampled"] = sampled("Linear Regression")
     q["shap_sampled_forest"] = sampled("Random Forest")
 
+    def exact(name):
+        """What must hold of exact attributions against the training set."""
+
+        def run(s, d):
+            model, mi = _model(s, d, name)
+            rows = staged(mi.split, "split")
+            train = rows.where("split = 'train'")
+            shap = TS.shap_exact(model, rows, train, mi.numeric)
+            base = model.transform(train).agg(F.avg("prediction")).first()[0]  # one scalar
+            sums = shap.groupBy("product_id").agg(F.sum("shap_value").alias("phi"), F.count(F.lit(1)).alias("n"))
+            both = model.transform(rows).select("product_id", "prediction").join(sums, "product_id")
+            return both.agg(
+                F.count(F.lit(1)).alias("products"),
+                F.max("n").alias("features"),
+                (F.max(F.abs(F.col("phi") - (F.col("prediction") - F.lit(base)))) < 1e-8).alias("adds_up"),
+            )
+
+        return run
+
+    q["shap_forest"] = exact("Random Forest")
+    q["shap_boosted"] = exact("Gradient Boosting")
+
+    # from the fitted models to what the best of them goes by
+    q["model_metrics"] = lambda s, d: (lambda models, mi: M.compare_models(models, mi.split))(*all_models(s, d))
+
+    def best_attributions(s, d):
+        models, mi = all_models(s, d)
+        rows = staged(mi.split, "split")
+        best = M.best_model(M.compare_models(models, rows)).first()["model"]  # one name
+        return best, TS.shap_exact(models[best], rows, rows.where("split = 'train'"), mi.numeric), mi
+
+    def best_importance(s, d):
+        best, shap, _ = best_attributions(s, d)
+        return X.top_features(X.shap_importance(shap)).withColumn("model", F.lit(best))
+
+    def best_explained(s, d):
+        _, shap, mi = best_attributions(s, d)
+        return X.product_explain(mi.trust, staged(shap, "best-shap"))
+
+    q["best_model_importance"] = best_importance
+    q["best_model_explain"] = best_explained
+    q["best_model_contributions"] = lambda s, d: X.top_contributions(best_attributions(s, d)[1])
+    q["best_model_dependence"] = lambda s, d: X.shap_dependence(staged(best_attributions(s, d)[1], "best-shap"))
+
     def features_and_names(s, d):
         mi = PL.model_inputs(s, d)
         stages = Pipeline(stages=M.feature_stages(mi.numeric)).fit(mi.split.where("split = 'train'"))
@@ -366,6 +434,19 @@ def build_queries() -> dict[str, QueryFn]:
 
     q["read_zip"] = zipped
 
+    def zip_members(s, d):
+        archives = IO.zip_listings(FX.products_raw(s, d), scratch_dir(s, "listings_zip"))
+        return ZS.read_zip_listings(s, archives, list(FX.RAW_COLUMNS))
+
+    q["read_zip_members"] = zip_members
+
+    def split_listings(s, d):
+        raw_rows = FX.products_raw(s, d).repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal")
+        path = IO.write_csv(raw_rows.drop("ordinal"), scratch_dir(s, "one_listing"), single_file=True, bom=True)
+        return SC.read_split_csv(s, path).select(*FX.RAW_COLUMNS)
+
+    q["read_listings_split"] = split_listings
+
     def table_roundtrip(s, d):
         path = IO.write_table(T.trust_rating(_clean(s, d)), scratch_dir(s, "products_trust"))
         return IO.read_table(s, path)
@@ -398,6 +479,58 @@ def build_queries() -> dict[str, QueryFn]:
 
     q["materialize_gold"] = gold
 
+    def refreshed(s, d):
+        """Two thirds and more at first; a refresh takes some products out and
+        puts the others in."""
+        rows = raw(s, d)
+        key = F.col("product_id").cast("long")
+        root = GO.build_gold(rows.where(key.isNull() | (key % 7 != 3)), scratch_dir(s, "gold-live"), THRESHOLD)
+        GO.refresh_gold(s, root, rows.where(key % 7 == 3), rows.where(key % 11 == 5).select("product_id"), THRESHOLD)
+        return GO.gold_table(s, root, "rated").select("product_id", "main_category", "bayesian_rating")
+
+    q["refresh_gold"] = refreshed
+
+    def sketched(s, d):
+        """Narrow products, and the merged sketches of three batches of them."""
+        narrow = staged(_clean(s, d).select("product_id", "main_category", "rating_count"), "narrow")
+        batch = F.pmod(F.xxhash64("product_id"), F.lit(3))
+        return narrow, SK.merge_sketches(*(staged(SK.category_sketches(narrow.where(batch == b)), "sketches") for b in range(3)))
+
+    def sketch_quantiles(s, d):
+        narrow, merged = sketched(s, d)
+        qs = {"q20": 0.2, "q25": 0.25, "q50": 0.5, "q80": 0.8}
+        at = SK.sketch_quantiles(merged, list(qs.values()), list(qs)).drop("n")
+        values = lookup_join(value_counts(narrow, ["main_category"], "rating_count"), at, "main_category")
+        total, off = F.sum("n"), 2 * SK.rank_error()
+        below = lambda c: F.sum(F.when(F.col("rating_count") < F.col(c), F.col("n")).otherwise(0)) / total
+        upto = lambda c: F.sum(F.when(F.col("rating_count") <= F.col(c), F.col("n")).otherwise(0)) / total
+        within = [((below(c) - off <= x) & (upto(c) + off >= x)).alias(f"{c}_within") for c, x in qs.items()]
+        return values.groupBy("main_category").agg(total.alias("product_count"), *within)
+
+    def sketch_distinct(s, d):
+        narrow, merged = sketched(s, d)
+        near = lambda c, n: F.abs(F.col(c) - F.col(n)) <= F.greatest(F.lit(1), F.lit(SK.distinct_error()) * F.col(n))
+        exact = narrow.groupBy("main_category").agg(F.count_distinct("product_id").alias("distinct_products"))
+        per = lookup_join(exact, SK.distinct_per_category(merged), "main_category")
+        every = narrow.agg(F.lit("all").alias("main_category"), F.count_distinct("product_id").alias("distinct_products"))
+        per = per.unionByName(every.join(F.broadcast(SK.distinct_products(merged))))
+        return per.select("main_category", "distinct_products", near("products", "distinct_products").alias("near"))
+
+    q["sketch_quantiles"] = sketch_quantiles
+    q["sketch_distinct"] = sketch_distinct
+
+    def keyed(s, d):
+        columns = ["product_id", "main_category", "rating", "rating_count"]
+        return K.write_keyed(_clean(s, d).select(*columns), scratch_dir(s, "keyed"))
+
+    def product_lookup(s, d):
+        # asked for: the products whose number ends with 77, from the parts
+        parts = s.read.parquet(f"{d}/part.parquet").where("p_partkey % 100 = 77")
+        return K.lookup_products(s, keyed(s, d), parts.select(F.col("p_partkey").cast("string").alias("product_id")))
+
+    q["product_lookup"] = product_lookup
+    q["category_lookup"] = lambda s, d: K.lookup_category(s, keyed(s, d), C.OTHER)
+
     def metrics_roundtrip(s, d):
         m = M.evaluate(M.baseline_predictions(PL.target_split(s, d))).select(
             F.lit("Category Mean Baseline").alias("model"), "rmse", "mae", "r2"
@@ -638,8 +771,8 @@ GROUP BY 1, 2, 3""",
 FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
     )
     _features_oracle(o, c15)
-    o["read_listings"] = o["read_zip"] = o["products_raw"]
-    o["read_listings_numbered"] = O.with_ctes(
+    o["read_listings"] = o["read_zip"] = o["read_zip_members"] = o["products_raw"]
+    o["read_listings_numbered"] = o["read_listings_split"] = O.with_ctes(
         c15, "SELECT * REPLACE (row_number() OVER (ORDER BY ordinal) - 1 AS ordinal) FROM raw"
     )
     o["m_values_approx"] = O.with_ctes(
@@ -659,6 +792,21 @@ FROM trust ORDER BY md5('42|' || product_id) LIMIT 8""",
             )
         ),
     )
+    o["sketch_quantiles"] = O.with_ctes(
+        c15, "SELECT main_category, product_count, true AS q20_within, true AS q25_within, true AS q50_within, true AS q80_within FROM params"
+    )
+    o["sketch_distinct"] = O.with_ctes(
+        c15,
+        """SELECT main_category, count(DISTINCT product_id) AS distinct_products, true AS near FROM clean GROUP BY 1
+UNION ALL SELECT 'all', count(DISTINCT product_id), true FROM clean""",
+    )
+    o["product_lookup"] = O.with_ctes(
+        c15, "SELECT product_id, main_category, rating, rating_count FROM clean WHERE CAST(product_id AS BIGINT) % 100 = 77"
+    )
+    o["category_lookup"] = O.with_ctes(c15, "SELECT product_id, main_category, rating, rating_count FROM clean WHERE main_category = 'Other'")
+    # a product that goes and comes in again in one refresh stays
+    changed = {**c15, "raw": f"SELECT * FROM ({c15['raw']}) WHERE coalesce(CAST(product_id AS BIGINT) % 11 <> 5 OR CAST(product_id AS BIGINT) % 7 = 3, true)"}
+    o["refresh_gold"] = O.with_ctes(changed, "SELECT product_id, main_category, bayesian_rating FROM trust")
     o["read_metrics"] = o["evaluate_baseline"].replace(
         "SELECT round_even(sqrt(", "SELECT 'Category Mean Baseline' AS model, round_even(sqrt(", 1
     )
@@ -742,7 +890,7 @@ GROUP BY model ORDER BY rmse, model LIMIT 1""",
         )
     o["compare_models"] = "SELECT 3::BIGINT AS models, 1::BIGINT AS best, true AS best_has_least_rmse, 9::BIGINT AS metrics"
     o["save_model"] = O.with_ctes(fc, "SELECT count(*) AS test_rows, count(*) AS same_rows FROM te")
-    o["shap_sampled"] = o["shap_sampled_forest"] = O.with_ctes(
+    o["shap_sampled"] = o["shap_sampled_forest"] = o["shap_forest"] = o["shap_boosted"] = O.with_ctes(
         fc,
         f"""SELECT (SELECT count(*) FROM sp) AS products,
        {len(CANDIDATES)} + (SELECT count(DISTINCT main_category) FROM tr) AS features, true AS adds_up""",
@@ -804,6 +952,11 @@ SELECT t.product_id, t.product_name, t.main_category, t.rating, t.rating_count,
 FROM trust t
 JOIN (SELECT * FROM sh QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY shap_value DESC, feature DESC) = 1) u USING (product_id)
 JOIN (SELECT * FROM sh QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY shap_value, feature) = 1) w USING (product_id)""",
+    )
+    o["linear_normal_equations"] = O.with_ctes(
+        sc,
+        """SELECT feature, true AS holds FROM names UNION ALL SELECT 'cat__main_category_' || slot, true FROM slots
+UNION ALL SELECT 'intercept', true""",
     )
     o["feature_names"] = O.with_ctes(
         fc,
