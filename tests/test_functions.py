@@ -108,3 +108,20 @@ def test_histogram_single_value_goes_to_middle(spark):
     got = df.select(histogram_bin(F.col("x"), lo, hi, 15)).distinct().collect()
     counts, _ = np.histogram([2.0, 2.0], bins=15)
     assert [r[0] for r in got] == [int(np.argmax(counts))]
+
+
+def test_quantiles_and_ranks_are_the_same_by_ranges(spark, monkeypatch):
+    from trustlens.functions import ranking, stats
+
+    rows = [(g, float(v)) for g in ("a", "b", None) for v in range(0, 50, 3 if g == "a" else 7)] + [("a", 3.0)] * 9
+    df = spark.createDataFrame(rows, "g string, v double")
+    both = []
+    for small in (200_000, 0):
+        monkeypatch.setattr(stats, "SMALL_VALUES", small)
+        found = stats.group_quantiles(df.where("g is not null"), ["g"], "v", [0.0, 0.25, 0.5, 1.0], ["a", "b", "c", "d"])
+        whole = stats.group_quantiles(df, [], "v", [0.2, 0.8], ["a", "b"])
+        both.append((sorted(map(tuple, found.collect())), [tuple(r) for r in whole.collect()]))
+    assert both[0] == both[1]
+    orders = {"up": [F.col("v"), F.col("g").asc_nulls_first()], "down": [F.desc("v"), F.col("g").asc_nulls_first()]}
+    some = df.distinct()
+    assert sorted(map(str, ranking.row_numbers(some, orders).collect())) == sorted(map(str, ranking.row_numbers(some, orders, 0).collect()))

@@ -76,6 +76,26 @@ def global_row_number(
     )
 
 
+# Rows of a table that is ranked where it stands, without ranges.
+SMALL_ROWS = 10_000
+
+
+def row_numbers(df: DataFrame, orders: dict[str, list[Column]], small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Add the 1-based position in each of several total orders.
+
+    For aggregates, of a row per category or so: they are computed once, and up
+    to ``small_rows`` rows are numbered in one task.  A larger table goes
+    through global_row_number(), order by order.
+    """
+    rows = df.limit(small_rows + 1).collect()
+    if len(rows) > small_rows:
+        for name, order in orders.items():
+            df = global_row_number(df, order, name)
+        return df
+    local = df.sparkSession.createDataFrame(rows, df.schema)
+    return local.withColumns({name: F.row_number().over(Window.orderBy(*order)).cast("long") for name, order in orders.items()})
+
+
 def running_total(df: DataFrame, order: list[str], weight: str, total_col: str) -> DataFrame:
     """Add ``total_col`` = sum of ``weight`` over all rows up to and including
     this one in ``order`` (which must be a total order of the rows).

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import lookup_join
@@ -11,6 +11,9 @@ from .scalar import round_even
 from .staging import staged
 
 QUANTILE_DIGITS = 9
+# Values of a table of counts that are summed up group by group in one task
+# each; more are ranged over tasks.
+SMALL_VALUES = 200_000
 
 
 def value_counts(df: DataFrame, group_cols: list[str], value: str, *more: Column) -> DataFrame:
@@ -34,17 +37,24 @@ def quantiles_of(
 ) -> DataFrame:
     """Exact linear-interpolation quantiles per group from value_counts().
 
-    Values are range-partitioned in order of (group, value) and their counts
-    summed up along it, so even one group's values are never in one task; the
+    Counts are summed up in order of the values.  Of more than ``SMALL_VALUES``
+    rows the values are range-partitioned in order of (group, value), so even
+    one group's values are never in one task; the
     two neighbours of a quantile are the values whose span of positions holds
     them.  Results are rounded to ``digits`` decimals (engines differ in the
     last bit of the interpolation), before any comparison uses them.
     """
     groups = group_cols or ["_tl_all"]
     rows = counts if group_cols else counts.withColumn("_tl_all", F.lit(0))
-    upto = running_total(rows.select(*groups, value, "n"), [*groups, value], "n", "_tl_upto")
-    spans = upto.groupBy(*groups).agg(F.min(F.col("_tl_upto") - F.col("n")).alias("_tl_start"), F.sum("n").alias("_tl_size"))
-    at = lookup_join(upto, spans, groups, "inner")
+    rows = rows.select(*groups, value, "n")
+    if rows.count() <= SMALL_VALUES:
+        own = Window.partitionBy(*groups)
+        upto = F.sum("n").over(own.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        at = rows.select("*", upto.alias("_tl_upto"), F.lit(0).alias("_tl_start"), F.sum("n").over(own).alias("_tl_size"))
+    else:
+        upto = running_total(rows, [*groups, value], "n", "_tl_upto")
+        spans = upto.groupBy(*groups).agg(F.min(F.col("_tl_upto") - F.col("n")).alias("_tl_start"), F.sum("n").alias("_tl_size"))
+        at = lookup_join(upto, spans, groups, "inner")
     first, end = F.col("_tl_upto") - F.col("n") - F.col("_tl_start"), F.col("_tl_upto") - F.col("_tl_start")
     position = lambda q: F.lit(float(q)) * (F.col("_tl_size") - 1)
     holds = lambda k: F.max(F.when((first <= k) & (k < end), F.col(value).cast("double")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import lookup_join
-from ..functions.ranking import global_row_number
+from ..functions.ranking import global_row_number, row_numbers
 from ..functions.scalar import exact_mean, log10p, quintile_of_rank, round_even
 from ..functions.stats import group_quantiles, histogram_bin, quantiles_of, value_counts, widened_range
 from .trust import category_params, category_values
@@ -30,7 +30,7 @@ def category_counts(clean: DataFrame) -> DataFrame:
     """Products per category, and its place in display order (count desc, then
     name)."""
     counts = clean.groupBy("main_category").agg(F.count(F.lit(1)).alias("product_count"))
-    return global_row_number(counts, [F.desc("product_count"), F.col("main_category")], "position")
+    return row_numbers(counts, {"position": [F.desc("product_count"), F.col("main_category")]})
 
 
 def kpis(clean: DataFrame) -> DataFrame:

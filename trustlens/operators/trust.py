@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import lookup_join
-from ..functions.ranking import global_row_number
+from ..functions.ranking import global_row_number, row_numbers
 from ..functions.scalar import exact_mean, round_even
 from ..functions.stats import group_quantiles, quantiles_of, value_counts
 
@@ -71,8 +71,7 @@ def m_values(clean: DataFrame) -> DataFrame:
     both display orders: most products first, and least m first (ties: name)."""
     p = category_params(clean).select("main_category", "m_value", "product_count")
     name = F.col("main_category")
-    p = global_row_number(p, [F.desc("product_count"), name], "count_position")
-    return global_row_number(p, [F.col("m_value"), name], "m_position")
+    return row_numbers(p, {"count_position": [F.desc("product_count"), name], "m_position": [F.col("m_value"), name]})
 
 
 def m_values_approx(clean: DataFrame, accuracy: int = 10000) -> DataFrame:

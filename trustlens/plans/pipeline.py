@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.staging import staged
 from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import trust as T
@@ -14,7 +15,7 @@ from ..sources import fixtures as FX
 
 def target_split(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
     """Products with category, target and split; what needs no feature."""
-    return FE.split_assign(T.trust_rating(clean_table(spark, sf_dir, threshold)))
+    return FE.split_assign(T.trust_rating(narrow_clean(spark, sf_dir, threshold)))
 
 
 @dataclass
@@ -31,9 +32,15 @@ def clean_table(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN
     return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold)
 
 
+def narrow_clean(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
+    """The clean table without the review text, written once: for what reads it
+    several times (parameters first, then the rows they belong to)."""
+    return staged(clean_table(spark, sf_dir, threshold).drop("review_content"), "narrow-clean")
+
+
 def model_inputs(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> ModelInputs:
     """clean -> trust target; clean -> skew-driven features; join; split."""
-    clean = clean_table(spark, sf_dir, threshold)
+    clean = narrow_clean(spark, sf_dir, threshold)
     trust = T.trust_rating(clean)
     decisions = FE.log_decisions(clean)
     numeric = FE.feature_columns(decisions)

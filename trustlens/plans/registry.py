@@ -80,8 +80,12 @@ def _clean(spark: SparkSession, sf_dir: str, threshold: int = THRESHOLD) -> Data
     return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold)
 
 
+def _narrow(spark: SparkSession, sf_dir: str, threshold: int = THRESHOLD) -> DataFrame:
+    return PL.narrow_clean(spark, sf_dir, threshold)
+
+
 def _detail(spark: SparkSession, sf_dir: str, threshold: int = THRESHOLD) -> DataFrame:
-    return T.trust_detail(_clean(spark, sf_dir, threshold))
+    return T.trust_detail(_narrow(spark, sf_dir, threshold))
 
 
 def build_queries() -> dict[str, QueryFn]:
@@ -90,8 +94,8 @@ def build_queries() -> dict[str, QueryFn]:
     q["products_raw"] = lambda s, d: FX.products_raw(s, d)
     q["clean_products"] = lambda s, d: _clean(s, d)
     q["clean_products_t80"] = lambda s, d: _clean(s, d, THRESHOLD_COARSE)
-    q["category_params"] = lambda s, d: T.category_params(_clean(s, d)).drop("category_mean_exact")
-    q["category_params_t80"] = lambda s, d: T.category_params(_clean(s, d, THRESHOLD_COARSE)).drop(
+    q["category_params"] = lambda s, d: T.category_params(_narrow(s, d)).drop("category_mean_exact")
+    q["category_params_t80"] = lambda s, d: T.category_params(_narrow(s, d, THRESHOLD_COARSE)).drop(
         "category_mean_exact"
     )
     q["trust_rating"] = lambda s, d: T.trust_rating(_clean(s, d))
@@ -152,28 +156,28 @@ def build_queries() -> dict[str, QueryFn]:
     q["domain_check"] = domain
 
     # trust outputs
-    q["m_values"] = lambda s, d: T.m_values(_clean(s, d))
+    q["m_values"] = lambda s, d: T.m_values(_narrow(s, d))
 
     def approx_m(s, d):
-        clean = _clean(s, d)
+        clean = _narrow(s, d)
         near = group_quantiles(clean, ["main_category"], "rating_count", [0.2, 0.3], ["low", "high"])
         both = lookup_join(T.m_values_approx(clean), near, "main_category")
         within = F.col("m_value_approx").between(F.col("low"), F.col("high"))
         return both.select("main_category", "product_count", within.alias("near_first_quartile"))
 
     q["m_values_approx"] = approx_m
-    q["m_extremes"] = lambda s, d: T.m_extremes(_clean(s, d))
+    q["m_extremes"] = lambda s, d: T.m_extremes(_narrow(s, d))
     q["trust_summary"] = lambda s, d: T.trust_summary(_detail(s, d))
     q["trust_summary_t80"] = lambda s, d: T.trust_summary(_detail(s, d, THRESHOLD_COARSE))
-    q["m_choice_compare"] = lambda s, d: T.m_choice_compare(_clean(s, d))
+    q["m_choice_compare"] = lambda s, d: T.m_choice_compare(_narrow(s, d))
 
     # purchase guide
     def scored(s, d):
-        clean = _clean(s, d)
+        clean = _narrow(s, d)
         return G.score_candidates(FX.candidates(clean), T.category_params(clean), MESSAGES)
 
     def compared(s, d):
-        clean = _clean(s, d)
+        clean = _narrow(s, d)
         cands = FX.candidates(clean)
         return G.compare_pairs(FX.pairs(cands), cands, T.category_params(clean))
 
@@ -184,7 +188,7 @@ def build_queries() -> dict[str, QueryFn]:
     q["kpis"] = lambda s, d: P.kpis(_clean(s, d))
 
     def approx_kpis(s, d):
-        clean = _clean(s, d)
+        clean = _narrow(s, d)
         exact = P.kpis(clean).first()
         near = lambda c: (F.abs(F.col(f"{c}_approx") - exact[c]) <= 0.05 * exact[c]).alias(f"{c}_near")
         return P.kpis_approx(clean).select(near("distinct_products"), near("distinct_categories"))
@@ -193,14 +197,14 @@ def build_queries() -> dict[str, QueryFn]:
     q["review_quintile"] = lambda s, d: P.review_quintile(_clean(s, d)).select(
         "product_id", "rating_count", "review_rank", "quintile", "review_count_group"
     )
-    q["quintile_summary"] = lambda s, d: P.quintile_summary(_clean(s, d))
-    q["extremes_compare"] = lambda s, d: P.extremes_compare(_clean(s, d))
-    q["category_profile"] = lambda s, d: P.category_profile(_clean(s, d))
-    q["histogram15"] = lambda s, d: P.histogram15(_clean(s, d))
-    q["box_stats_quintile"] = lambda s, d: P.box_stats_quintile(_clean(s, d))
-    q["box_stats_category"] = lambda s, d: P.box_stats_category(_clean(s, d))
-    q["box_stats_extremes"] = lambda s, d: P.box_stats_extremes(_clean(s, d))
-    q["funnel_grid"] = lambda s, d: P.funnel_grid(_clean(s, d))
+    q["quintile_summary"] = lambda s, d: P.quintile_summary(_narrow(s, d))
+    q["extremes_compare"] = lambda s, d: P.extremes_compare(_narrow(s, d))
+    q["category_profile"] = lambda s, d: P.category_profile(_narrow(s, d))
+    q["histogram15"] = lambda s, d: P.histogram15(_narrow(s, d))
+    q["box_stats_quintile"] = lambda s, d: P.box_stats_quintile(_narrow(s, d))
+    q["box_stats_category"] = lambda s, d: P.box_stats_category(_narrow(s, d))
+    q["box_stats_extremes"] = lambda s, d: P.box_stats_extremes(_narrow(s, d))
+    q["funnel_grid"] = lambda s, d: P.funnel_grid(_narrow(s, d))
     q["preview_sample"] = lambda s, d: P.preview_sample(T.trust_rating(_clean(s, d)))
 
     # features
