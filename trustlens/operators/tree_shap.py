@@ -97,23 +97,20 @@ class Tree:
         """(node, value, path's features, pattern of each row) of every leaf.
 
         Bit i of a pattern: the row passes all tests of the i-th feature."""
-        open_nodes = [(0, [], [])]
+        open_nodes = [(0, [], np.zeros(len(x), np.int64))]
         while open_nodes:
-            node, features, passed = open_nodes.pop()
+            node, features, pattern = open_nodes.pop()
             feature = self.feature[node]
             if feature is None:
-                pattern = np.zeros(len(x), np.int64)
-                for i, ok in enumerate(passed):
-                    pattern |= ok.astype(np.int64) << i
                 yield node, self.value[node], features, pattern
                 continue
             goes = self.passes_left(node, x)
             for child, ok in ((self.left[node], goes), (self.right[node], ~goes)):
-                if feature in features:
-                    i = features.index(feature)
-                    open_nodes.append((child, features, [*passed[:i], passed[i] & ok, *passed[i + 1 :]]))
+                if feature in features:  # one more test of it to pass
+                    bit = 1 << features.index(feature)
+                    open_nodes.append((child, features, pattern & np.where(ok, -1, ~bit)))
                 else:
-                    open_nodes.append((child, [*features, feature], [*passed, ok]))
+                    open_nodes.append((child, [*features, feature], pattern | np.where(ok, 1 << len(features), 0)))
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros(len(x))
@@ -142,6 +139,19 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
+# Patterns of so many features are counted and looked up in an array.
+_DENSE_BITS = 14
+
+
+def _distinct(pattern: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct patterns of k bits, how often each stands)."""
+    if k > _DENSE_BITS:
+        return np.unique(pattern, return_counts=True)
+    counts = np.bincount(pattern, minlength=1 << k)
+    found = np.flatnonzero(counts)
+    return found, counts[found]
+
+
 _COUNTS = "tree int, places binary, counts binary"
 
 
@@ -155,7 +165,10 @@ def _count_patterns(trees):
             if not len(x):
                 continue
             for tree in trees.value:
-                parts = [np.unique(pattern + (node << _PATTERN_BITS), return_counts=True) for node, _, _, pattern in tree.leaves(x)]
+                parts = []
+                for node, _, features, pattern in tree.leaves(x):
+                    found_here, n = _distinct(pattern, len(features))
+                    parts.append((found_here + (node << _PATTERN_BITS), n))
                 held = found.setdefault(tree.number, [])
                 held.append((np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts])))
                 if len(held) > 8:
@@ -222,8 +235,23 @@ def _explain(block):
                     if not features:
                         continue
                     s = slice(*np.searchsorted(leaf, [node, node + 1]))
-                    p, at = np.unique(pattern, return_inverse=True)
-                    phi[:, features] += (value * leaf_values(p, pattern_of[s], counts[s], len(features)))[at]
+                    k = len(features)
+                    p, _ = _distinct(pattern, k)
+                    shares = value * leaf_values(p, pattern_of[s], counts[s], k)
+                    some = shares.any(1)  # most patterns leave out what no background row makes up for
+                    if not some.any():
+                        continue
+                    if k > _DENSE_BITS:
+                        at = np.searchsorted(p, pattern)
+                        rows = np.flatnonzero(some[at])
+                        at = at[rows]
+                    else:
+                        place = np.full(1 << k, -1)
+                        place[p[some]] = np.flatnonzero(some)
+                        at = place[pattern]
+                        rows = np.flatnonzero(at >= 0)
+                        at = at[rows]
+                    phi[rows[:, None], features] += shares[at]
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, phi.shape[1]), pa.int32()), pa.array(phi.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("product_id"), b.column("x"), flat], names=["product_id", "x", "shap"])
 
@@ -245,6 +273,16 @@ def _blocks(nodes: DataFrame, block_nodes: int) -> list[tuple[int, int]]:
     return out
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` written in parts that are worth walking all trees for: one per
+    core that runs at once, with a thousand rows at least and some 20,000 at
+    most."""
+    rows = staged(rows, "vectors")
+    n = rows.count()
+    parts = min(rows.sparkSession.sparkContext.defaultParallelism, max(1, n // 1_000))
+    return rows.repartition(max(parts, -(-n // 20_000)))
+
+
 def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, block_nodes: int = BLOCK_NODES) -> DataFrame:
     """(product_id, x, shap): exact Shapley values of an ensemble for every row
     of ``arr`` (product_id, x) against every row of ``background`` (x).
@@ -255,9 +293,10 @@ def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, b
     """
     spark = arr.sparkSession
     nodes = staged(nodes, "tree-nodes")
-    background = staged(background.select("x"), "background")
+    background = _dealt(background.select("x"))
     if not background.limit(1).count():
         raise ValueError("empty background")
+    arr = _dealt(arr.select("product_id", "x"))
     out = None
     for first, last in _blocks(nodes, block_nodes):
         trees = as_trees(nodes.where(F.col("tree").between(first, last)).collect())
@@ -266,7 +305,7 @@ def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, b
         # per leaf at most as many patterns as its path's features make
         by_tree = {r.tree: (np.frombuffer(r.places, "<i8"), np.frombuffer(r.counts, "<i8")) for r in counted.collect()}
         block = spark.sparkContext.broadcast((trees, by_tree))
-        part = arr.select("product_id", "x").mapInArrow(_explain(block), "product_id string, x array<double>, shap array<double>")
+        part = arr.mapInArrow(_explain(block), "product_id string, x array<double>, shap array<double>")
         out = part if out is None else out.unionByName(part)
     if len(_blocks(nodes, block_nodes)) == 1:
         return out
