@@ -88,3 +88,33 @@ def test_linear_models_take_the_closed_form(spark):
     sums = TS.shap_exact(model, df, df, numeric).groupBy("product_id").agg(F.sum("shap_value").alias("phi"))
     both = model.transform(df).select("product_id", "prediction").join(sums, "product_id")
     assert both.agg(F.max(F.abs(F.col("prediction") - base - F.col("phi")))).first()[0] < 1e-6
+
+
+def test_units_of_any_size_say_what_leaves_say(monkeypatch):
+    rng = np.random.default_rng(3)
+    inner, n = 2**6 - 1, 2**7 - 1
+    grown = lambda of: [of(i) if i < inner else None for i in range(n)]
+    feature, threshold = grown(lambda i: int(rng.integers(0, 6))), grown(lambda i: float(rng.normal()))
+    child = lambda j: [2 * i + j if i < inner else -1 for i in range(n)]
+    tree = TS.Tree(0, feature, threshold, [None] * n, child(1), child(2), [float(i) for i in range(n)])
+    x = rng.normal(size=(400, 6))
+    found = []
+    for bits in (12, 4, 0):
+        monkeypatch.setattr(TS, "UNIT_BITS", bits)
+        units = [(u, c) for u, c in tree.units(x)]
+        assert all(u.bits <= bits or not u.nodes for u, _ in units)
+        patterns = {node: (v, f, p.tolist()) for u, c in units for node, v, f, p in tree.unit_leaves(u, c)}
+        assert patterns == {node: (v, f, p.tolist()) for node, v, f, p in tree.leaves(x)}
+        found.append(len(units))
+    assert found[0] < found[1] < found[2] == inner + 1
+
+
+def test_rows_of_one_product_stay_apart_over_blocks(spark):
+    stump = lambda t: [(t, 0, 0, 0.5, None, 1, 2, 0.0), (t, 1, None, None, None, -1, -1, 1.0), (t, 2, None, None, None, -1, -1, 3.0)]
+    nodes = spark.createDataFrame(
+        stump(0) + stump(1), "tree int, node int, feature int, threshold double, categories array<double>, left int, right int, value double"
+    )
+    arr = spark.createDataFrame([("p", [1.0]), ("p", [1.0]), ("q", [0.0])], "product_id string, x array<double>")
+    found = TS.tree_attributions(arr, arr, nodes, block_nodes=1)
+    values = sorted((r.product_id, round(r.shap[0], 9)) for r in found.collect())
+    assert values == [("p", round(4 / 3, 9)), ("p", round(4 / 3, 9)), ("q", round(-8 / 3, 9))]

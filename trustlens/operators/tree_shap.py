@@ -35,10 +35,14 @@ from ..functions.staging import staged
 from ..plans.session import scratch_dir
 from .explain import _long, feature_arrays, feature_names, shap_linear
 
-#: Nodes of one block of trees; with the patterns of its leaves, some 20 MB.
-BLOCK_NODES = 100_000
+#: Nodes of one block of trees; with the patterns of its leaves, some 50 MB.
+BLOCK_NODES = 250_000
 # Spark ML grows trees of 30 levels at most, so a leaf's pattern has 30 bits.
 _PATTERN_BITS = 32
+#: Bits that tell all of a unit (a small subtree) about a row.
+UNIT_BITS = 12
+#: Rows that a task holds while it walks the trees.
+ROWS_AT_ONCE = 100_000
 
 
 def tree_nodes(model: PipelineModel) -> DataFrame:
@@ -75,6 +79,21 @@ def tree_nodes(model: PipelineModel) -> DataFrame:
     return nodes.join(F.broadcast(share), "tree").withColumn("value", F.col("prediction") * F.col("weight")).drop("prediction", "weight")
 
 
+@dataclass
+class Unit:
+    """A subtree of few nodes.  All that it needs to know of a row is a code:
+    which of the path's ``features`` pass, then the tests of its own inner
+    ``nodes``."""
+
+    root: int
+    features: list[int]
+    nodes: list[int]
+
+    @property
+    def bits(self) -> int:
+        return len(self.features) + len(self.nodes)
+
+
 @dataclass
 class Tree:
     """One tree's nodes by number; arrays for those that are simple."""
@@ -93,6 +112,16 @@ class Tree:
             return np.isin(column, self.categories[node])
         return column <= self.threshold[node]
 
+    def _children(self, node: int, features: list[int], pattern: np.ndarray, goes: np.ndarray):
+        """(child, path's features, pattern of each row) of both children."""
+        feature = self.feature[node]
+        for child, ok in ((self.left[node], goes), (self.right[node], ~goes)):
+            if feature in features:  # one more test of it to pass
+                bit = 1 << features.index(feature)
+                yield child, features, pattern & np.where(ok, -1, ~bit).astype(pattern.dtype)
+            else:
+                yield child, [*features, feature], pattern + np.multiply(ok, 1 << len(features), dtype=pattern.dtype)
+
     def leaves(self, x: np.ndarray) -> Iterator[tuple[int, float, list[int], np.ndarray]]:
         """(node, value, path's features, pattern of each row) of every leaf.
 
@@ -100,17 +129,48 @@ class Tree:
         open_nodes = [(0, [], np.zeros(len(x), np.int64))]
         while open_nodes:
             node, features, pattern = open_nodes.pop()
-            feature = self.feature[node]
-            if feature is None:
+            if self.feature[node] is None:
                 yield node, self.value[node], features, pattern
+            else:
+                open_nodes += self._children(node, features, pattern, self.passes_left(node, x))
+
+    def inner(self, root: int, most: int) -> list[int] | None:
+        """The inner nodes of a subtree; None if there are more than ``most``."""
+        found, open_nodes = [], [root]
+        while open_nodes:
+            node = open_nodes.pop()
+            if self.feature[node] is not None:
+                if len(found) >= most:
+                    return None
+                found.append(node)
+                open_nodes += [self.left[node], self.right[node]]
+        return found
+
+    def units(self, x: np.ndarray) -> Iterator[tuple[Unit, np.ndarray]]:
+        """Subtrees of UNIT_BITS at most (or one leaf) that make up the tree,
+        each with the code of every row."""
+        open_nodes = [(0, [], np.zeros(len(x), np.int32))]
+        while open_nodes:
+            node, features, code = open_nodes.pop()
+            nodes = self.inner(node, max(0, UNIT_BITS - len(features)))
+            if nodes is None:
+                open_nodes += self._children(node, features, code, self.passes_left(node, x))
                 continue
-            goes = self.passes_left(node, x)
-            for child, ok in ((self.left[node], goes), (self.right[node], ~goes)):
-                if feature in features:  # one more test of it to pass
-                    bit = 1 << features.index(feature)
-                    open_nodes.append((child, features, pattern & np.where(ok, -1, ~bit)))
-                else:
-                    open_nodes.append((child, [*features, feature], pattern | np.where(ok, 1 << len(features), 0)))
+            for i, n in enumerate(nodes, len(features)):
+                code = code + np.multiply(self.passes_left(n, x), 1 << i, dtype=np.int32)
+            yield Unit(node, features, nodes), code
+
+    def unit_leaves(self, unit: Unit, codes: np.ndarray) -> Iterator[tuple[int, float, list[int], np.ndarray]]:
+        """leaves() of a unit, for rows of these codes."""
+        k = len(unit.features)
+        bit_of = {n: i for i, n in enumerate(unit.nodes, k)}
+        open_nodes = [(unit.root, unit.features, codes & ((1 << k) - 1))]
+        while open_nodes:
+            node, features, pattern = open_nodes.pop()
+            if node in bit_of:
+                open_nodes += self._children(node, features, pattern, (codes >> bit_of[node]) & 1 == 1)
+            else:
+                yield node, self.value[node], features, pattern
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros(len(x))
@@ -152,6 +212,33 @@ def _distinct(pattern: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return found, counts[found]
 
 
+def _places(pattern: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct patterns of k bits, the place among them of each)."""
+    if k > _DENSE_BITS:
+        return np.unique(pattern, return_inverse=True)
+    here = np.zeros(1 << k, np.intp)
+    here[pattern] = 1
+    found = np.flatnonzero(here)
+    here[found] = np.arange(len(found))
+    return found, here[pattern]
+
+
+def _held(batches: Iterator[pa.RecordBatch], rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batches put together to larger ones, which pay for a walk."""
+    rows = rows or ROWS_AT_ONCE
+    held, n = [], 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 _COUNTS = "tree int, places binary, counts binary"
 
 
@@ -160,15 +247,15 @@ def _count_patterns(trees):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for b in batches:
-            x = _vectors(b.column("x"))
-            if not len(x):
-                continue
+        for b in _held(batches):
+            x = np.asfortranarray(_vectors(b.column("x")))
             for tree in trees.value:
                 parts = []
-                for node, _, features, pattern in tree.leaves(x):
-                    found_here, n = _distinct(pattern, len(features))
-                    parts.append((found_here + (node << _PATTERN_BITS), n))
+                for unit, code in tree.units(x):
+                    codes, n = _distinct(code, unit.bits)
+                    for node, _, features, pattern in tree.unit_leaves(unit, codes):
+                        found_here, at = _places(pattern, len(features))
+                        parts.append((found_here.astype(np.int64) + (node << _PATTERN_BITS), np.bincount(at, n).astype(np.int64)))
                 held = found.setdefault(tree.number, [])
                 held.append((np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts])))
                 if len(held) > 8:
@@ -212,48 +299,66 @@ def leaf_values(p: np.ndarray, q: np.ndarray, n: np.ndarray, k: int) -> np.ndarr
     """For each pattern ``p`` of ``k`` features the share of a leaf of value 1
     that each feature has, over background patterns ``q`` met ``n`` times."""
     bit = np.arange(k)
-    in_p, in_q = (p[:, None] >> bit) & 1 == 1, (q[:, None] >> bit) & 1 == 1
-    b, a = k - in_p.sum(1), k - in_q.sum(1)
-    joint = ((p[:, None] | q[None, :]) == (1 << k) - 1) * n
-    plus = (joint * _ONLY_P[a[None, :], b[:, None]]) @ ~in_q
-    minus = (joint * _ONLY_Q[a[None, :], b[:, None]]).sum(1)
-    return np.where(in_p, plus, -minus[:, None]) / n.sum()
+    in_q = (q[:, None] >> bit) & 1 == 1
+    a, outside = k - in_q.sum(1), (~in_q).astype(float)
+    out = np.empty((len(p), k))
+    step = max(1, _CELLS // max(1, len(q)))
+    for start in range(0, len(p), step):
+        some = p[start : start + step]
+        in_p = (some[:, None] >> bit) & 1 == 1
+        b = k - in_p.sum(1)
+        joint = ((some[:, None] | q[None, :]) == (1 << k) - 1) * n
+        plus = (joint * _ONLY_P[a[None, :], b[:, None]]) @ outside
+        minus = (joint * _ONLY_Q[a[None, :], b[:, None]]).sum(1)
+        out[start : start + step] = np.where(in_p, plus, -minus[:, None])
+    return out / n.sum()
+
+
+# Pairs of a row's and a background row's pattern that are weighed at once.
+_CELLS = 1 << 20
+
+
+def _unit_shares(tree: Tree, unit: Unit, codes: np.ndarray, leaf: np.ndarray, pattern_of: np.ndarray, counts: np.ndarray):
+    """(features, their shares of the unit's value [feature, code]) for rows of
+    these codes."""
+    features = sorted({*unit.features, *(tree.feature[n] for n in unit.nodes)})
+    place = {f: i for i, f in enumerate(features)}
+    table = np.zeros((len(features), len(codes)))
+    for node, value, path, pattern in tree.unit_leaves(unit, codes):
+        if path:
+            s = slice(*np.searchsorted(leaf, [node, node + 1]))
+            p, at = _places(pattern, len(path))
+            shares = value * leaf_values(p, pattern_of[s], counts[s], len(path))
+            table[[place[f] for f in path]] += shares.T[:, at]
+    return features, table
+
+
+def unit_sums(trees: list[Tree], x: np.ndarray, shares, out: np.ndarray) -> None:
+    """Add to ``out`` [feature, row] what shares(tree, unit, codes) says of each
+    row's code: (features, table [feature, code])."""
+    for tree in trees:
+        for unit, code in tree.units(x):
+            codes, at = _places(code, unit.bits)
+            features, table = shares(tree, unit, codes)
+            for f, values in zip(features, table):
+                if values.any():
+                    out[f] += values.take(at)
 
 
 def _explain(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, counted = block.value
-        for b in batches:
-            x = _vectors(b.column("x"))
-            if not len(x):
-                continue
-            phi = np.zeros(x.shape)
-            for tree in trees:
-                places, counts = counted[tree.number]
-                leaf, pattern_of = places >> _PATTERN_BITS, places & ((1 << _PATTERN_BITS) - 1)
-                for node, value, features, pattern in tree.leaves(x):
-                    if not features:
-                        continue
-                    s = slice(*np.searchsorted(leaf, [node, node + 1]))
-                    k = len(features)
-                    p, _ = _distinct(pattern, k)
-                    shares = value * leaf_values(p, pattern_of[s], counts[s], k)
-                    some = shares.any(1)  # most patterns leave out what no background row makes up for
-                    if not some.any():
-                        continue
-                    if k > _DENSE_BITS:
-                        at = np.searchsorted(p, pattern)
-                        rows = np.flatnonzero(some[at])
-                        at = at[rows]
-                    else:
-                        place = np.full(1 << k, -1)
-                        place[p[some]] = np.flatnonzero(some)
-                        at = place[pattern]
-                        rows = np.flatnonzero(at >= 0)
-                        at = at[rows]
-                    phi[rows[:, None], features] += shares[at]
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, phi.shape[1]), pa.int32()), pa.array(phi.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("product_id"), b.column("x"), flat], names=["product_id", "x", "shap"])
+        split = {}
+        for number, (places, counts) in counted.items():
+            split[number] = places >> _PATTERN_BITS, places & ((1 << _PATTERN_BITS) - 1), counts
+        for b in _held(batches):
+            x = np.asfortranarray(_vectors(b.column("x")))
+            phi = np.array(_vectors(b.column("shap")).T, order="C") if "shap" in b.schema.names else np.zeros(x.shape[::-1])
+            unit_sums(trees, x, lambda tree, unit, codes: _unit_shares(tree, unit, codes, *split[tree.number]), phi)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, len(phi)), pa.int32()), pa.array(phi.T.ravel()))
+            whole = pa.RecordBatch.from_arrays([b.column("product_id"), b.column("x"), flat], names=["product_id", "x", "shap"])
+            for start in range(0, len(x), 10_000):
+                yield whole.slice(start, 10_000)
 
     return run
 
@@ -275,12 +380,12 @@ def _blocks(nodes: DataFrame, block_nodes: int) -> list[tuple[int, int]]:
 
 def _dealt(rows: DataFrame) -> DataFrame:
     """``rows`` written in parts that are worth walking all trees for: one per
-    core that runs at once, with a thousand rows at least and some 20,000 at
-    most."""
+    core that runs at once, with a thousand rows at least and what a task holds
+    at once at most."""
     rows = staged(rows, "vectors")
     n = rows.count()
     parts = min(rows.sparkSession.sparkContext.defaultParallelism, max(1, n // 1_000))
-    return rows.repartition(max(parts, -(-n // 20_000)))
+    return rows.repartition(max(parts, -(-n // ROWS_AT_ONCE)))
 
 
 def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, block_nodes: int = BLOCK_NODES) -> DataFrame:
@@ -297,21 +402,18 @@ def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, b
     if not background.limit(1).count():
         raise ValueError("empty background")
     arr = _dealt(arr.select("product_id", "x"))
-    out = None
-    for first, last in _blocks(nodes, block_nodes):
+    blocks = _blocks(nodes, block_nodes)
+    for first, last in blocks:
         trees = as_trees(nodes.where(F.col("tree").between(first, last)).collect())
         sent = spark.sparkContext.broadcast(trees)
         counted = background.mapInArrow(_count_patterns(sent), _COUNTS).groupBy("tree").applyInArrow(_add_counts, _COUNTS)
         # per leaf at most as many patterns as its path's features make
         by_tree = {r.tree: (np.frombuffer(r.places, "<i8"), np.frombuffer(r.counts, "<i8")) for r in counted.collect()}
         block = spark.sparkContext.broadcast((trees, by_tree))
-        part = arr.mapInArrow(_explain(block), "product_id string, x array<double>, shap array<double>")
-        out = part if out is None else out.unionByName(part)
-    if len(_blocks(nodes, block_nodes)) == 1:
-        return out
-    per = out.select("product_id", "x", F.posexplode("shap").alias("i", "v")).groupBy("product_id", "x", "i").agg(F.sum("v").alias("v"))
-    sums = per.groupBy("product_id", "x").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("s"))
-    return sums.select("product_id", "x", F.col("s.v").alias("shap"))
+        arr = arr.mapInArrow(_explain(block), "product_id string, x array<double>, shap array<double>")
+        if last != blocks[-1][1]:  # the next block adds to what this one found
+            arr = staged(arr, "block-sums")
+    return arr
 
 
 def shap_trees(model: PipelineModel, data: DataFrame, train: DataFrame, numeric: list[str], block_nodes: int = BLOCK_NODES) -> DataFrame:
