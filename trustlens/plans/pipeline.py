@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,14 @@ class ModelInputs:
     trust: DataFrame
     features: DataFrame
     ready: DataFrame
-    split: DataFrame
     numeric: list[str]
 
+    @cached_property
+    def split(self) -> DataFrame:
+        """``ready`` with its split, written once: models are fitted, kept,
+        measured and explained from it."""
+        return staged(FE.split_assign(self.ready), "split")
+
 
 def clean_table(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
     return C.clean_products(FX.staged_products_raw(spark, sf_dir), threshold)
@@ -34,8 +40,11 @@ def clean_table(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN
 
 def narrow_clean(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> DataFrame:
     """The clean table without the review text, written once: for what reads it
-    several times (parameters first, then the rows they belong to)."""
-    return staged(clean_table(spark, sf_dir, threshold).drop("review_content"), "narrow-clean")
+    several times (parameters first, then the rows they belong to).  The text is
+    measured where it is read and moved nowhere, and listings are parsed once."""
+    raw = FX.staged_products_raw(spark, sf_dir, text=False)
+    parsed = staged(C.valid_listings(C.parse_listings(raw)), "narrow-parsed")
+    return staged(C.clean_parsed(parsed, threshold), "narrow-clean")
 
 
 def model_inputs(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MIN_PRODUCTS) -> ModelInputs:
@@ -46,5 +55,4 @@ def model_inputs(spark: SparkSession, sf_dir: str, threshold: int = C.DEFAULT_MI
     numeric = FE.feature_columns(decisions)
     feats = FE.feature_table(FE.log_features(clean, decisions), numeric)
     ready = FE.model_ready(feats, trust)
-    split = FE.split_assign(ready)
-    return ModelInputs(clean, trust, feats, ready, split, numeric)
+    return ModelInputs(clean, trust, feats, ready, numeric)

@@ -36,9 +36,13 @@ def _money_text(cents: F.Column) -> F.Column:
     return F.concat(F.lit("₹"), F.format_number((cents.cast("decimal(20,0)") / F.lit(100)).cast("decimal(20,2)"), 2))
 
 
-def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products_raw(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
     """One raw listing per part, plus a second listing for every tenth part.
 
+    Without ``text`` the review is left where it is read and ``review_length``,
+    its number of characters (0 without a review), stands in its place: the
+    joins then move a number instead of the text.
+
     Work: one partial aggregate of ``lineitem`` by part key, then two
     equi-joins on the same key (part, documents), which share one hash
     partitioning at scale.
@@ -56,9 +60,13 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.round(F.col("l_discount") * 100).cast("long")).alias("disc"),
         )
     )
-    docs = read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id"), F.col("text").alias("review_content")
-    )
+    docs = read_table(spark, sf_dir, "documents")
+    if text:
+        docs = docs.select("doc_id", F.col("text").alias("review_content"))
+        review = F.col("review_content")
+    else:
+        docs = docs.select("doc_id", F.length("text").cast("long").alias("review_length"))
+        review = F.coalesce("review_length", F.lit(0).cast("long")).alias("review_length")
     pk = F.col("p_partkey")
     base = (
         part.join(lines, pk == F.col("l_partkey"), "left")
@@ -107,7 +115,7 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(pk % 71 == 9, F.concat(F.format_number(count_value, 0), F.lit("f")))
         .otherwise(F.format_number(count_value, 0))
         .alias("rating_count"),
-        F.col("review_content"),
+        review,
     )
 
 
@@ -124,17 +132,17 @@ def input_version(spark: SparkSession, sf_dir: str) -> str:
     return f"{row.n}:{row.h}"
 
 
-def staged_products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_products_raw(spark: SparkSession, sf_dir: str, text: bool = True) -> DataFrame:
     """``products_raw`` written once per session and input version to the
     shared scratch folder and read back as parquet, the way the reference
     reads its raw listing file: downstream queries scan a file instead of
-    deriving it again."""
+    deriving it again.  Without ``text`` it is a table of its own."""
     from ..plans.session import scratch_dir
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_version(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), input_version(spark, sf_dir), text)
     if key not in _STAGED:
         path = scratch_dir(spark, "products_raw")
-        products_raw(spark, sf_dir).write.mode("overwrite").parquet(path)
+        products_raw(spark, sf_dir, text).write.mode("overwrite").parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
