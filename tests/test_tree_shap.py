@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from trustlens.operators import explain as X
 from trustlens.operators import model as M
 from trustlens.operators import tree_shap as TS
 from trustlens.operators.explain import feature_arrays, feature_names
@@ -118,3 +119,24 @@ def test_rows_of_one_product_stay_apart_over_blocks(spark):
     found = TS.tree_attributions(arr, arr, nodes, block_nodes=1)
     values = sorted((r.product_id, round(r.shap[0], 9)) for r in found.collect())
     assert values == [("p", round(4 / 3, 9)), ("p", round(4 / 3, 9)), ("q", round(-8 / 3, 9))]
+
+
+def test_sampled_values_move_no_hybrids(spark, monkeypatch):
+    """Scored in the tasks they are what the model's own transform gives."""
+    monkeypatch.setattr(M, "N_TREES", 4)
+    monkeypatch.setattr(M, "N_ROUNDS", 4)
+    df, numeric = listings(spark, 90), ["a", "b", "c"]
+    train = df.where("product_id < 'p5'")
+    twice = df.unionByName(df.where("product_id = 'p3'"))
+    for name in M.MODEL_NAMES:
+        model = M.fit_model(name, train, numeric, **({} if name.startswith("Linear") else {"max_depth": 6}))
+        found = X.shap_sampled(model, twice, train, numeric, n_perm=3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Aggregate" not in plan and "hashpartitioning" not in plan
+        with monkeypatch.context() as m:
+            m.setattr(X, "_scorer", lambda *_: None)
+            scored = X.shap_sampled(model, twice, train, numeric, n_perm=3)
+            keyed = lambda d: {(r.product_id, r.feature): (r.feature_value, r.shap_value, r.std_error) for r in d.collect()}
+            mine, own = keyed(found), keyed(scored)
+        assert mine.keys() == own.keys() and len(own) == 90 * 6
+        assert np.allclose([mine[q] for q in own], list(own.values()), atol=1e-9)

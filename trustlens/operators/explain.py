@@ -9,7 +9,8 @@ Two attribution jobs:
   scores all hybrids in one distributed ``transform``; every prediction adds
   +f to the feature that entered at its step and -f to the feature that enters
   next, and grouped sums give the attributions.  The sum over features equals
-  prediction minus the weighted mean background prediction exactly.
+  prediction minus the weighted mean background prediction exactly.  Hybrids of
+  linear models and trees are scored within the task that holds the row.
 
 Long form ``(product_id, feature, feature_value, shap_value)`` is the
 natural result; the wide export is a pivot.
@@ -17,14 +18,18 @@ natural result; the wide export is a pivot.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.joins import lookup_join
 from ..functions.scalar import exact_mean, truncate_label
+from ..functions.staging import staged
 from .features import CATEGORICAL
 
 # Fixed values that must equal the reference's for right results: the
@@ -66,13 +71,21 @@ def feature_arrays(model: PipelineModel, df: DataFrame) -> DataFrame:
     return dense_features(_feature_model(model), df)
 
 
-def _long(arr_df: DataFrame, names: list[str], shap_col: str) -> DataFrame:
-    """Explode aligned x / shap arrays into (product_id, feature, value, shap)."""
+def _long(arr_df: DataFrame, names: list[str], shap_col: str, keep=None) -> DataFrame:
+    """Explode aligned x / shap arrays into (product_id, feature, value, shap).
+
+    ``keep`` takes a row's array of (s: shap, i: feature's place by name, j: its
+    place, v: value) and leaves the entries that are needed."""
     name_arr = F.array(*[F.lit(n) for n in names])
-    z = arr_df.select(
-        "product_id",
-        F.posexplode(F.arrays_zip(F.col("x").alias("v"), F.col(shap_col).alias("s"))).alias("feature_index", "p"),
-    )
+    if keep is None:
+        zipped = F.arrays_zip(F.col("x").alias("v"), F.col(shap_col).alias("s"))
+        z = arr_df.select("product_id", F.posexplode(zipped).alias("feature_index", "p"))
+    else:
+        place = {n: i for i, n in enumerate(sorted(names))}
+        by_name = F.array(*[F.lit(place[n]) for n in names])
+        entry = lambda s, j: F.struct(s.alias("s"), by_name[j].alias("i"), j.alias("j"), F.col("x")[j].alias("v"))
+        kept = keep(F.transform(shap_col, entry))
+        z = arr_df.select("product_id", F.explode(kept).alias("p")).select("product_id", "p", F.col("p.j").alias("feature_index"))
     return z.select(
         "product_id",
         F.element_at(name_arr, F.col("feature_index") + 1).alias("feature"),
@@ -81,6 +94,30 @@ def _long(arr_df: DataFrame, names: list[str], shap_col: str) -> DataFrame:
     )
 
 
+def extremes(entries: Column) -> Column:
+    """Of a row's entries for _long() those that product_explain() can show."""
+    return F.array(F.array_max(entries), F.array_min(entries))
+
+
+def largest(entries: Column, k: int = TOP_CONTRIBUTIONS) -> Column:
+    """Of a row's entries for _long() those that top_contributions() can take."""
+    ordered = F.transform(entries, lambda e: F.struct((-F.abs(e.s)).alias("by"), e.i.alias("i"), e.alias("e")))
+    return F.transform(F.slice(F.array_sort(ordered), 1, k), lambda o: o.e)
+
+
+#: Products of one task where a product's features are brought together.
+PRODUCTS_AT_ONCE = 50_000
+
+
+def by_product(arr: DataFrame, products: int = PRODUCTS_AT_ONCE) -> DataFrame:
+    """Feature arrays in so many parts by product that a task groups some
+    ``products`` of them, however large the table: the rows made of an array
+    stay in its part, so grouping them by product moves nothing."""
+    arr = staged(arr, "arrays")
+    parts = max(arr.sparkSession.sparkContext.defaultParallelism, -(-arr.count() // products))
+    return arr.repartition(parts, "product_id")
+
+
 def background_summary(model: PipelineModel, train: DataFrame) -> list[tuple[list[float], int]]:
     """The training set as weighted rows: per category the mean feature vector
     and the number of rows.  As many rows as the model has category slots."""
@@ -103,17 +140,17 @@ def feature_means(arr: DataFrame, k: int) -> list[float]:
     return [float(v) for v in row]
 
 
-def linear_attributions(arr: DataFrame, names: list[str], beta: list[float], mean: list[float]) -> DataFrame:
+def linear_attributions(arr: DataFrame, names: list[str], beta: list[float], mean: list[float], keep=None) -> DataFrame:
     """beta_j (x_j - mean_j) for every row of ``arr`` (product_id, x)."""
     b, m = (F.array(*[F.lit(float(v)) for v in x]) for x in (beta, mean))
-    return _long(arr.withColumn("_tl_shap", F.transform("x", lambda x, i: (x - m[i]) * b[i])), names, "_tl_shap")
+    return _long(arr.withColumn("_tl_shap", F.transform("x", lambda x, i: (x - m[i]) * b[i])), names, "_tl_shap", keep)
 
 
-def shap_linear(model: PipelineModel, data: DataFrame, background: DataFrame, numeric: list[str]) -> DataFrame:
+def shap_linear(model: PipelineModel, data: DataFrame, background: DataFrame, numeric: list[str], keep=None) -> DataFrame:
     """Exact Shapley values of a linear model against the whole background."""
     beta = [float(b) for b in model.stages[-1].coefficients.toArray()]
     mean = feature_means(feature_arrays(model, background), len(beta))
-    return linear_attributions(feature_arrays(model, data), feature_names(model, numeric), beta, mean)
+    return linear_attributions(feature_arrays(model, data), feature_names(model, numeric), beta, mean, keep)
 
 
 def permutations(k: int, n_perm: int, seed: int = 42) -> list[list[int]]:
@@ -144,12 +181,18 @@ def shap_sampled(
     background row can change the prediction, so only these make a step: at
     most the numeric ones and two category slots, however many categories
     there are.  ``std_error`` is that of the mean over the permutations.
+
+    Linear models and trees are scored in the task that holds the row, so
+    hybrids are neither moved nor kept; any other model scores them as rows.
     """
     names = feature_names(model, numeric)
     background = background_summary(model, train)
     if not background:
         raise ValueError("empty training set")
     total = sum(n for _, n in background)
+    along = _scorer(model, np.array([x for x, _ in background]), np.array([n / total for _, n in background]), permutations(len(names), n_perm, seed))
+    if along is not None:
+        return _sampled_in_tasks(feature_arrays(model, data), names, along, n_perm)
     doubles = lambda xs: F.array(*[F.lit(float(v)) for v in xs])
     perms = permutations(len(names), n_perm, seed)
     perm_lit = F.array(*[F.array(*[F.lit(v) for v in p]) for p in perms])
@@ -189,6 +232,72 @@ def shap_sampled(
     )
 
 
+def _scorer(model: PipelineModel, z: np.ndarray, weight: np.ndarray, perms: list[list[int]]):
+    """What gives, for rows x, their steps' sums [perm * k + feature, row]
+    against the background rows ``z``; None for models not known here."""
+    last = model.stages[-1]
+    if hasattr(last, "coefficients"):
+        beta, intercept = last.coefficients.toArray(), float(last.intercept)
+        return lambda x: _linear_steps(x, z, weight, perms, beta, intercept)
+    if hasattr(last, "treeWeights"):
+        from . import tree_shap as trees  # builds on this module
+
+        sent = SparkSession.active().sparkContext.broadcast(trees.as_trees(trees.tree_nodes(model).collect()))
+        return lambda x: trees.tree_steps(sent.value, x, z, weight, perms)
+    return None
+
+
+def _linear_steps(x: np.ndarray, z: np.ndarray, weight: np.ndarray, perms: list[list[int]], beta: np.ndarray, intercept: float) -> np.ndarray:
+    k = len(beta)
+    out = np.zeros((len(perms) * k, len(x)))
+    for start in range(0, len(x), 10_000):
+        rows = x[start : start + 10_000]
+        for row, w in zip(z, weight):
+            differs = rows != row
+            for p, perm in enumerate(perms):
+                hybrid = np.repeat(row[None, :], len(rows), 0)
+                before = hybrid @ beta + intercept
+                for j in perm:
+                    if differs[:, j].any():
+                        hybrid[:, j] = rows[:, j]
+                        now = hybrid @ beta + intercept
+                        out[p * k + j, start : start + len(rows)] += w * (now - before)
+                        before = now
+    return out
+
+
+def _sampled_in_tasks(arr: DataFrame, names: list[str], along, n_perm: int) -> DataFrame:
+    """shap_sampled() with ``along`` of _scorer(); the rows of one product_id
+    are added up."""
+    from .tree_shap import dealt, held, vectors
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in held(batches):
+            groups = b.column("xs")
+            first = groups.offsets.to_numpy()[:-1] - groups.offsets[0].as_py()
+            x = vectors(groups.flatten())
+            steps = np.add.reduceat(along(x), first, axis=1).reshape(n_perm, len(names), len(groups))
+            error = steps.std(0, ddof=1) / n_perm**0.5 if n_perm > 1 else None
+            columns = [np.maximum.reduceat(x, first, axis=0).T, steps.mean(0), error]
+            ends = pa.array(np.arange(0, len(groups) * len(names) + 1, len(names)), pa.int32())
+            lists = [pa.nulls(len(groups), pa.list_(pa.float64())) if c is None else pa.ListArray.from_arrays(ends, pa.array(c.T.ravel())) for c in columns]
+            whole = pa.RecordBatch.from_arrays([b.column("product_id"), *lists], names=["product_id", "x", "phi", "error"])
+            for start in range(0, whole.num_rows, 10_000):
+                yield whole.slice(start, 10_000)
+
+    rows = dealt(arr.groupBy("product_id").agg(F.collect_list("x").alias("xs")))
+    found = rows.mapInArrow(run, "product_id string, x array<double>, phi array<double>, error array<double>")
+    name_arr = F.array(*[F.lit(n) for n in names])
+    j = F.posexplode("x").alias("j", "feature_value")
+    return found.select("product_id", "phi", "error", j).select(
+        "product_id",
+        F.element_at(name_arr, F.col("j") + 1).alias("feature"),
+        "feature_value",
+        F.get("phi", F.col("j")).alias("shap_value"),
+        F.get("error", F.col("j")).alias("std_error"),
+    )
+
+
 def shap_importance(shap_long: DataFrame) -> DataFrame:
     """Mean |SHAP| per feature (order: importance desc, then name)."""
     return shap_long.groupBy("feature").agg(exact_mean(F.abs("shap_value"), MEAN_SCALE).alias("importance"))

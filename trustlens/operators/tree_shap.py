@@ -193,7 +193,7 @@ def as_trees(rows) -> list[Tree]:
     return out
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
+def vectors(column: pa.Array) -> np.ndarray:
     """A column of equally long arrays as a matrix."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
@@ -223,20 +223,20 @@ def _places(pattern: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return found, here[pattern]
 
 
-def _held(batches: Iterator[pa.RecordBatch], rows: int | None = None) -> Iterator[pa.RecordBatch]:
+def held(batches: Iterator[pa.RecordBatch], rows: int | None = None) -> Iterator[pa.RecordBatch]:
     """The batches put together to larger ones, which pay for a walk."""
     rows = rows or ROWS_AT_ONCE
-    held, n = [], 0
+    kept, n = [], 0
     for b in batches:
         if not b.num_rows:
             continue
-        held.append(b)
+        kept.append(b)
         n += b.num_rows
         if n >= rows:
-            yield pa.concat_batches(held)
-            held, n = [], 0
-    if held:
-        yield pa.concat_batches(held)
+            yield pa.concat_batches(kept)
+            kept, n = [], 0
+    if kept:
+        yield pa.concat_batches(kept)
 
 
 _COUNTS = "tree int, places binary, counts binary"
@@ -247,8 +247,8 @@ def _count_patterns(trees):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for b in _held(batches):
-            x = np.asfortranarray(_vectors(b.column("x")))
+        for b in held(batches):
+            x = np.asfortranarray(vectors(b.column("x")))
             for tree in trees.value:
                 parts = []
                 for unit, code in tree.units(x):
@@ -256,10 +256,10 @@ def _count_patterns(trees):
                     for node, _, features, pattern in tree.unit_leaves(unit, codes):
                         found_here, at = _places(pattern, len(features))
                         parts.append((found_here.astype(np.int64) + (node << _PATTERN_BITS), np.bincount(at, n).astype(np.int64)))
-                held = found.setdefault(tree.number, [])
-                held.append((np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts])))
-                if len(held) > 8:
-                    found[tree.number] = [_added(held)]
+                counts = found.setdefault(tree.number, [])
+                counts.append((np.concatenate([p for p, _ in parts]), np.concatenate([n for _, n in parts])))
+                if len(counts) > 8:
+                    found[tree.number] = [_added(counts)]
         for number, parts in found.items():
             places, counts = _added(parts)
             yield pa.RecordBatch.from_arrays(
@@ -345,15 +345,61 @@ def unit_sums(trees: list[Tree], x: np.ndarray, shares, out: np.ndarray) -> None
                     out[f] += values.take(at)
 
 
+def _step_table(tree: Tree, unit: Unit, codes: np.ndarray, z: np.ndarray, weight: np.ndarray, perms: list[list[int]], k: int):
+    """(perm * k + feature, steps of the unit's value [.., code]) for rows of
+    these codes along permutations, against background rows of codes ``z``."""
+    bits_of: dict[int, int] = {}
+    for i, f in enumerate([*unit.features, *(tree.feature[n] for n in unit.nodes)]):
+        bits_of[f] = bits_of.get(f, 0) | 1 << i
+
+    def values(at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at))
+        for _, value, path, pattern in tree.unit_leaves(unit, at):
+            out[pattern == (1 << len(path)) - 1] = value
+        return out
+
+    dense = values(np.arange(1 << unit.bits)) if unit.bits <= _DENSE_BITS else None
+    value_of = values if dense is None else dense.take
+    met, at = np.unique(z, return_inverse=True)
+    shares = np.bincount(at, weight)
+    features = list(bits_of)
+    table = np.zeros((len(perms), len(features), len(codes)))
+    for p, perm in enumerate(perms):
+        order = sorted(range(len(features)), key=lambda i, place={f: i for i, f in enumerate(perm)}: place[features[i]])
+        for one, w in zip(met.tolist(), shares.tolist()):
+            taken = 0
+            before = value_of(np.array([one]))[0]
+            for i in order:
+                taken |= bits_of[features[i]]
+                now = value_of((codes & taken) | (one & ~taken))
+                table[p, i] += w * (now - before)
+                before = now
+    return [p * k + f for p in range(len(perms)) for f in features], table.reshape(-1, len(codes))
+
+
+def tree_steps(trees: list[Tree], x: np.ndarray, z: np.ndarray, weight: np.ndarray, perms: list[list[int]]) -> np.ndarray:
+    """Sums [perm * k + feature, row] of the steps that trees' predictions take
+    from each background row of ``z`` to each row of ``x`` along permutations.
+
+    A hybrid's code has the row's bits for the features taken and the
+    background's for the others, so steps are looked up by the row's code."""
+    k = x.shape[1]
+    codes_of_z = {(t.number, unit.root): code for t in trees for unit, code in t.units(z)}
+    out = np.zeros((len(perms) * k, len(x)))
+    shares = lambda tree, unit, codes: _step_table(tree, unit, codes, codes_of_z[tree.number, unit.root], weight, perms, k)
+    unit_sums(trees, np.asfortranarray(x), shares, out)
+    return out
+
+
 def _explain(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, counted = block.value
         split = {}
         for number, (places, counts) in counted.items():
             split[number] = places >> _PATTERN_BITS, places & ((1 << _PATTERN_BITS) - 1), counts
-        for b in _held(batches):
-            x = np.asfortranarray(_vectors(b.column("x")))
-            phi = np.array(_vectors(b.column("shap")).T, order="C") if "shap" in b.schema.names else np.zeros(x.shape[::-1])
+        for b in held(batches):
+            x = np.asfortranarray(vectors(b.column("x")))
+            phi = np.array(vectors(b.column("shap")).T, order="C") if "shap" in b.schema.names else np.zeros(x.shape[::-1])
             unit_sums(trees, x, lambda tree, unit, codes: _unit_shares(tree, unit, codes, *split[tree.number]), phi)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, phi.size + 1, len(phi)), pa.int32()), pa.array(phi.T.ravel()))
             whole = pa.RecordBatch.from_arrays([b.column("product_id"), b.column("x"), flat], names=["product_id", "x", "shap"])
@@ -378,7 +424,7 @@ def _blocks(nodes: DataFrame, block_nodes: int) -> list[tuple[int, int]]:
     return out
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def dealt(rows: DataFrame) -> DataFrame:
     """``rows`` written in parts that are worth walking all trees for: one per
     core that runs at once, with a thousand rows at least and what a task holds
     at once at most."""
@@ -398,10 +444,10 @@ def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, b
     """
     spark = arr.sparkSession
     nodes = staged(nodes, "tree-nodes")
-    background = _dealt(background.select("x"))
+    background = dealt(background.select("x"))
     if not background.limit(1).count():
         raise ValueError("empty background")
-    arr = _dealt(arr.select("product_id", "x"))
+    arr = dealt(arr.select("product_id", "x"))
     blocks = _blocks(nodes, block_nodes)
     for first, last in blocks:
         trees = as_trees(nodes.where(F.col("tree").between(first, last)).collect())
@@ -416,17 +462,18 @@ def tree_attributions(arr: DataFrame, background: DataFrame, nodes: DataFrame, b
     return arr
 
 
-def shap_trees(model: PipelineModel, data: DataFrame, train: DataFrame, numeric: list[str], block_nodes: int = BLOCK_NODES) -> DataFrame:
+def shap_trees(model: PipelineModel, data: DataFrame, train: DataFrame, numeric: list[str], block_nodes: int = BLOCK_NODES, keep=None) -> DataFrame:
     """(product_id, feature, feature_value, shap_value): exact attributions of
     a forest or of boosted trees against the whole training set."""
     rows, background = feature_arrays(model, data), feature_arrays(model, train)
     found = tree_attributions(rows, background, tree_nodes(model), block_nodes)
-    return _long(found, feature_names(model, numeric), "shap")
+    return _long(found, feature_names(model, numeric), "shap", keep)
 
 
-def shap_exact(model: PipelineModel, data: DataFrame, train: DataFrame, numeric: list[str]) -> DataFrame:
+def shap_exact(model: PipelineModel, data: DataFrame, train: DataFrame, numeric: list[str], keep=None) -> DataFrame:
     """Exact attributions of any of the library's models: the closed form of a
-    linear model, else shap_trees()."""
+    linear model, else shap_trees().  ``keep`` leaves of a row's attributions
+    those that are needed (``explain.extremes``, ``explain.largest``)."""
     if hasattr(model.stages[-1], "coefficients"):
-        return shap_linear(model, data, train, numeric)
-    return shap_trees(model, data, train, numeric)
+        return shap_linear(model, data, train, numeric, keep)
+    return shap_trees(model, data, train, numeric, keep=keep)
