@@ -58,6 +58,9 @@ def planted(i: int, numeric: bool) -> float:
 # operator itself has no such limit.
 SETTINGS = {"Random Forest": {"max_depth": 8}}
 
+# Text of one file of the split listing; its tasks read 128 MB or less each.
+SPLIT_FILE_BYTES = 256 << 20
+
 _MODELS: dict[tuple, str] = {}
 
 
@@ -266,7 +269,7 @@ def build_queries() -> dict[str, QueryFn]:
         """A least-squares fit leaves residuals at right angles to every column
         it was fitted on, the constant one too; no other fit does."""
         model, mi = _model(s, d, "Linear Regression")
-        train = staged(mi.split.where("split = 'train'"), "train")
+        train = mi.split.where("split = 'train'")
         rows = model.transform(train).select((F.col(FE.TARGET) - F.col("prediction")).alias("e"), vector_to_array("features").alias("x"))
         names = [*X.feature_names(model, mi.numeric), "intercept"]
         columns = F.posexplode(F.concat("x", F.array(F.lit(1.0)))).alias("j", "v")
@@ -309,14 +312,14 @@ def build_queries() -> dict[str, QueryFn]:
         def run(s, d):
             model, mi = _model(s, d, name)
             train = mi.split.where("split = 'train'")
-            shap = X.shap_sampled(model, mi.ready, train, mi.numeric, n_perm=2)
+            shap = X.shap_sampled(model, mi.split, train, mi.numeric, n_perm=2)
             background = X.background_summary(model, train)
             total = sum(n for _, n in background)
             rows = s.createDataFrame([(x, n / total) for x, n in background], "x array<double>, w double")
             at = model.stages[-1].transform(rows.withColumn("features", array_to_vector("x")))
             base = at.agg(F.sum(F.col("prediction") * F.col("w"))).first()[0]
             sums = shap.groupBy("product_id").agg(F.sum("shap_value").alias("phi"), F.count(F.lit(1)).alias("n"))
-            both = model.transform(mi.ready).select("product_id", "prediction").join(sums, "product_id")
+            both = model.transform(mi.split).select("product_id", "prediction").join(sums, "product_id")
             return both.agg(
                 F.count(F.lit(1)).alias("products"),
                 F.max("n").alias("features"),
@@ -333,7 +336,7 @@ def build_queries() -> dict[str, QueryFn]:
 
         def run(s, d):
             model, mi = _model(s, d, name)
-            rows = staged(mi.split, "split")
+            rows = mi.split
             train = rows.where("split = 'train'")
             shap = TS.shap_exact(model, rows, train, mi.numeric)
             base = model.transform(train).agg(F.avg("prediction")).first()[0]  # one scalar
@@ -353,23 +356,23 @@ def build_queries() -> dict[str, QueryFn]:
     # from the fitted models to what the best of them goes by
     q["model_metrics"] = lambda s, d: (lambda models, mi: M.compare_models(models, mi.split))(*all_models(s, d))
 
-    def best_attributions(s, d):
+    def best_attributions(s, d, keep=None):
         models, mi = all_models(s, d)
-        rows = staged(mi.split, "split")
+        rows = mi.split
         best = M.best_model(M.compare_models(models, rows)).first()["model"]  # one name
-        return best, TS.shap_exact(models[best], rows, rows.where("split = 'train'"), mi.numeric), mi
+        return best, TS.shap_exact(models[best], rows, rows.where("split = 'train'"), mi.numeric, keep), mi
 
     def best_importance(s, d):
         best, shap, _ = best_attributions(s, d)
         return X.top_features(X.shap_importance(shap)).withColumn("model", F.lit(best))
 
     def best_explained(s, d):
-        _, shap, mi = best_attributions(s, d)
-        return X.product_explain(mi.trust, staged(shap, "best-shap"))
+        _, shap, mi = best_attributions(s, d, X.extremes)
+        return X.product_explain(mi.trust, shap)
 
     q["best_model_importance"] = best_importance
     q["best_model_explain"] = best_explained
-    q["best_model_contributions"] = lambda s, d: X.top_contributions(best_attributions(s, d)[1])
+    q["best_model_contributions"] = lambda s, d: X.top_contributions(best_attributions(s, d, X.largest)[1])
     q["best_model_dependence"] = lambda s, d: X.shap_dependence(staged(best_attributions(s, d)[1], "best-shap"))
 
     def features_and_names(s, d):
@@ -377,12 +380,13 @@ def build_queries() -> dict[str, QueryFn]:
         stages = Pipeline(stages=M.feature_stages(mi.numeric)).fit(mi.split.where("split = 'train'"))
         return stages, X.feature_names(stages, mi.numeric), mi
 
-    def linear_shap(s, d):
+    def linear_shap(s, d, together=False):
         stages, names, mi = features_and_names(s, d)
         k = len(mi.numeric)
         beta = [planted(i, True) for i in range(k)] + [planted(i, False) for i in range(len(names) - k)]
         mean = X.feature_means(X.dense_features(stages, mi.split.where("split = 'train'")), len(names))
-        return X.linear_attributions(X.dense_features(stages, mi.ready), names, beta, mean), names, mi
+        arr = X.dense_features(stages, mi.split)
+        return X.linear_attributions(X.by_product(arr) if together else arr, names, beta, mean), names, mi
 
     q["feature_names"] = lambda s, d: X.feature_names_df(s, features_and_names(s, d)[1])
     q["shap_linear"] = lambda s, d: linear_shap(s, d)[0]
@@ -391,7 +395,7 @@ def build_queries() -> dict[str, QueryFn]:
     q["top_features5"] = lambda s, d: X.top_features(X.shap_importance(linear_shap(s, d)[0]), 5)
 
     def wide(s, d):
-        sl, names, mi = linear_shap(s, d)
+        sl, names, mi = linear_shap(s, d, together=True)
         out = X.shap_wide(sl, names)
         numeric = names[: len(mi.numeric)]
         return out.select(
@@ -401,7 +405,7 @@ def build_queries() -> dict[str, QueryFn]:
         )
 
     q["shap_wide"] = wide
-    q["shap_long"] = lambda s, d: (lambda sl, names, _: X.shap_long(X.shap_wide(sl, names)))(*linear_shap(s, d))
+    q["shap_long"] = lambda s, d: (lambda sl, names, _: X.shap_long(X.shap_wide(sl, names)))(*linear_shap(s, d, together=True))
     q["top_contributions"] = lambda s, d: X.top_contributions(linear_shap(s, d)[0])
     q["shap_dependence"] = lambda s, d: X.shap_dependence(linear_shap(s, d)[0])
 
@@ -426,7 +430,7 @@ def build_queries() -> dict[str, QueryFn]:
     q["read_listings"] = listings_roundtrip
 
     def numbered_listings(s, d):
-        raw_rows = FX.products_raw(s, d).repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal")
+        raw_rows = IO.in_files(raw(s, d), "ordinal", least=5)
         path = IO.write_csv(raw_rows.drop("ordinal"), scratch_dir(s, "listings_parts"), bom=True)
         return IO.read_listings(s, path).select(*FX.RAW_COLUMNS)
 
@@ -445,8 +449,10 @@ def build_queries() -> dict[str, QueryFn]:
     q["read_zip_members"] = zip_members
 
     def split_listings(s, d):
-        raw_rows = FX.products_raw(s, d).repartitionByRange(5, "ordinal").sortWithinPartitions("ordinal")
-        path = IO.write_csv(raw_rows.drop("ordinal"), scratch_dir(s, "one_listing"), single_file=True, bom=True)
+        # one file as long as one task can write it, then files of that size:
+        # each is cut into ranges that tasks of their own read
+        raw_rows = IO.in_files(raw(s, d), "ordinal", file_bytes=SPLIT_FILE_BYTES)
+        path = IO.write_csv(raw_rows.drop("ordinal"), scratch_dir(s, "one_listing"), bom=True)
         return SC.read_split_csv(s, path).select(*FX.RAW_COLUMNS)
 
     q["read_listings_split"] = split_listings

@@ -105,6 +105,19 @@ def unzip_listings(spark: SparkSession, archives: str, out_path: str, member: st
     return _write_bytes(files.mapInPandas(extract, "content binary"), out_path)
 
 
+#: Text of one CSV file that one task writes, and reads again.
+FILE_BYTES = 64 << 20
+
+
+def in_files(df: DataFrame, key: str, least: int = 1, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``df`` in order of ``key`` in ranges of some ``file_bytes`` of text each
+    (``least`` at least), one per file when it is written.  ``df`` is read twice
+    and more: pass a written table."""
+    size = F.sum(sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0)).cast("long"))
+    n = max(least, -(-(df.agg(size).first()[0] or 0) // file_bytes))
+    return df.repartitionByRange(n, key).sortWithinPartitions(key)
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, bom: bool = False) -> str:
     """Exchange CSV with a header; quotes every field that needs it.  With
     ``bom`` every file starts with the UTF-8 byte order mark (as part of its
