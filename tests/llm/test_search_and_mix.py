@@ -1,12 +1,14 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import corpus, documents, words
 
-from trustlens.llm import decontam, mixing, topk
+from trustlens.llm import decontam, mixing, storage, topk
 
 
 # --- op 4 ---------------------------------------------------------------------
@@ -86,6 +88,33 @@ def test_shared_seeds_are_looked_at_in_groups(spark, monkeypatch):
     assert got == {**{10 + k: (k, 1.0) for k in range(5)}, 20: (None, 0.0)}
 
 
+def test_a_text_that_repeats_what_an_item_repeats_takes_memory_by_its_length():
+    item = " ".join("abcd"[k % 4] for k in range(300))
+    text = " ".join("abcd"[k % 4] if k % 50 else "gap" for k in range(4000))
+    block = decontam.Benchmark([1], [item])
+    tracemalloc.start()
+    try:
+        assert list(block.matches(pa.array([text]))) == [(0, 1, 294 / 300, 49)]
+        assert tracemalloc.get_traced_memory()[1] < 5 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_batches_of_texts_are_bounded(spark):
+    conf = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(conf)
+    try:
+        spark.conf.set(conf, "64m")
+        wide = storage.wide_rows(spark.range(60).selectExpr("id", "repeat('x', 1000000) as text").coalesce(1))
+        rows = wide.mapInArrow(lambda batches: (pa.record_batch({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in rows) == 60 and max(r.n for r in rows) <= 9
+        spark.conf.set(conf, "1m")  # a lower setting is kept
+        storage.wide_rows(spark.range(1))
+        assert spark.conf.get(conf) == "1m"
+    finally:
+        spark.conf.set(conf, before)
+
+
 @pytest.mark.parametrize("block", [decontam.BLOCK_BYTES, 100])
 def test_a_long_passage_of_a_long_item(spark, monkeypatch, block):
     monkeypatch.setattr(decontam, "BLOCK_BYTES", block)

@@ -4,7 +4,7 @@ A document and a benchmark item that share a seed (four consecutive words,
 folded to lower case, punctuation dropped) are tiled: the longest match of
 unmarked words is marked in both, again and again, until none of four words is
 left.  Matches of a length are found by running Karp-Rabin hashes over windows
-of that length, the length falling by halves.  The share of the item's words
+of that length, the longest length by bisection.  The share of the item's words
 under tiles does not depend on the order of the pieces, so a passage whose
 sentences were moved around is caught as well as a verbatim one.  Of a long
 item one tile of many words is enough, however small its share.
@@ -29,7 +29,7 @@ MATCH = 4  # words in the shortest tile
 COVERAGE = 0.5
 PASSAGE = 30  # words of one tile that are a leak by themselves
 BLOCK_BYTES = 8 << 20
-SEED_ROWS = 1 << 20  # shared seeds looked at together, whole texts at least
+SEED_ROWS = 1 << 18  # places of items looked at together, whole texts at least (each place of a block once)
 _FILTER = 22  # bits of the filter ahead of the seed table
 
 
@@ -45,37 +45,47 @@ def plain_words(texts: pa.Array) -> Words:
 def tiles(item: np.ndarray, text: np.ndarray, shortest: int = MATCH) -> list[tuple[int, int, int]]:
     """Greedy tiles (place in item, place in text, length) of two sequences of
     word hashes: always the longest match of unmarked words, then the first
-    place in the item, then in the text."""
+    place in the item, then in the text.  Where words match at a length they
+    match at every lower one, so the longest length is found by bisection."""
     out: list[tuple[int, int, int]] = []
     free_a, free_b = np.ones(len(item), bool), np.ones(len(text), bool)
     size = min(len(item), len(text))
-    while size >= shortest:
-        ha, hb = run_hashes(item, size), run_hashes(text, size)
-        while True:
-            open_a = np.flatnonzero(_all_free(free_a, size))
-            open_b = np.flatnonzero(_all_free(free_b, size))
-            table: dict[int, list[int]] = {}
-            for i in open_a.tolist():
-                table.setdefault(int(ha[i]), []).append(i)
-            best = (0, 0, 0)
-            for j in open_b[np.isin(hb[open_b], ha[open_a])].tolist():
-                for i in table[int(hb[j])]:
-                    n = 0
-                    while (
-                        i + n < len(item) and j + n < len(text) and free_a[i + n] and free_b[j + n] and item[i + n] == text[j + n]
-                    ):
-                        n += 1
-                    if n >= size and (n, -i, -j) > best:
-                        best = (n, -i, -j)
-            if not best[0]:
-                break
-            n, i, j = best[0], -best[1], -best[2]
-            out.append((i, j, n))
-            free_a[i : i + n] = free_b[j : j + n] = False
-        size = size // 2 if size // 2 >= shortest or size == shortest else shortest
+    while (size := min(size, _longest(free_a), _longest(free_b))) >= shortest:
+        met = _first_match(item, text, free_a, free_b, size)
+        if met is None:
+            low, size = shortest, size - 1
+            while low <= size:  # a match of fewer than ``low`` words is known, none of more than ``size``
+                middle = (low + size) // 2
+                here = _first_match(item, text, free_a, free_b, middle)
+                if here is None:
+                    size = middle - 1
+                else:
+                    low, met = middle + 1, here
+        if met is None:
+            break
+        i, j = met
+        out.append((i, j, size))
+        free_a[i : i + size] = free_b[j : j + size] = False
     return out
 
 
+def _first_match(item: np.ndarray, text: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, size: int) -> tuple[int, int] | None:
+    """The first place in the item, then in the text, of ``size`` equal unmarked words."""
+    ha, hb = run_hashes(item, size), run_hashes(text, size)
+    open_a, open_b = np.flatnonzero(_all_free(free_a, size)), np.flatnonzero(_all_free(free_b, size))
+    open_b = open_b[np.isin(hb[open_b], ha[open_a])]
+    for i in open_a[np.isin(ha[open_a], hb[open_b])].tolist():
+        for j in open_b[hb[open_b] == ha[i]].tolist():
+            if np.array_equal(item[i : i + size], text[j : j + size]):
+                return i, j
+    return None
+
+
+def _longest(free: np.ndarray) -> int:
+    """Length of the longest unmarked stretch."""
+    return int(np.diff(np.concatenate([[-1], np.flatnonzero(~free), [len(free)]])).max()) - 1
+
+
 def _all_free(free: np.ndarray, size: int) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(free)])
     return total[size:] - total[:-size] == size
@@ -95,6 +105,8 @@ class Benchmark:
         order = np.argsort(seeds[at], kind="stable")
         self.seeds, self.owner = seeds[at][order], owner[order]
         self.place = (at - w.first[owner])[order]
+        self.values, self.first = np.unique(self.seeds, return_index=True)
+        self.many = np.diff(self.first, append=len(self.seeds))
         self.filter = np.zeros(1 << _FILTER, bool)
         self.filter[(self.seeds >> np.uint64(64 - _FILTER)).astype(np.int64)] = True
 
@@ -106,26 +118,34 @@ class Benchmark:
         hashes = w.hashes()
         runs = run_hashes(hashes, MATCH)
         at = np.flatnonzero(run_starts(w.first, MATCH, len(hashes)) & self.filter[(runs >> np.uint64(64 - _FILTER)).astype(np.int64)])
-        low = np.searchsorted(self.seeds, runs[at], side="left")
-        many = np.searchsorted(self.seeds, runs[at], side="right") - low
-        at, low, many = at[many > 0], low[many > 0], many[many > 0]
+        value = np.searchsorted(self.values, runs[at])
+        met = self.values[np.minimum(value, len(self.values) - 1)] == runs[at] if len(self.values) else np.zeros(len(at), bool)
+        at, value = at[met], value[met]
         if not len(at):
             return
-        # texts in groups, so that a seed that many items share stays bounded
+        # every seed once for each text, however often it occurs there: a text
+        # meets a place of an item at most once
         text = np.searchsorted(w.first, at, side="right") - 1
-        group = np.cumsum(many) // SEED_ROWS
-        group = np.minimum.reduceat(group, np.flatnonzero(np.r_[True, text[1:] != text[:-1]]))[np.cumsum(np.r_[False, text[1:] != text[:-1]])]
-        edges = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+        key = np.unique(text * len(self.values) + value)
+        own, seed = np.divmod(key, len(self.values))
+        # texts in groups, so that a seed that many items share stays bounded
+        new = np.flatnonzero(np.diff(own, prepend=-1))
+        met = np.add.reduceat(self.many[seed], new)
+        group = (np.cumsum(met) - met) // SEED_ROWS
+        edges = [*new[np.diff(group, prepend=-1) > 0].tolist(), len(own)]
         for a, b in zip(edges[:-1], edges[1:]):
-            yield from self._tiled(w, hashes, at[a:b], low[a:b], many[a:b])
-
-    def _tiled(self, w: Words, hashes: np.ndarray, at: np.ndarray, low: np.ndarray, many: np.ndarray) -> Iterator[tuple[int, int, float, int]]:
-        # one row for each seed of a text met in an item
-        seed = np.repeat(low - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        place, item = np.repeat(at, many), self.owner[seed]
-        text = np.searchsorted(w.first, place, side="right") - 1
-        order = np.lexsort((place, item, text))
-        place, item, text, seed = place[order], item[order], text[order], seed[order]
+            x, y = np.searchsorted(text, [own[a], own[b - 1] + 1])
+            yield from self._tiled(hashes, at[x:y], text[x:y], value[x:y], own[a:b], seed[a:b])
+
+    def _tiled(
+        self, hashes: np.ndarray, at: np.ndarray, at_text: np.ndarray, at_value: np.ndarray, own: np.ndarray, value: np.ndarray
+    ) -> Iterator[tuple[int, int, float, int]]:
+        # one row for each place of an item that a text meets
+        many = self.many[value]
+        seed = np.repeat(self.first[value] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        text, item = np.repeat(own, many), self.owner[seed]
+        order = np.lexsort((item, text))
+        item, text, seed = item[order], text[order], seed[order]
         cut = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (item[1:] != item[:-1])]))
         for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(text)]):
             words = self.items[item[a]]
@@ -135,7 +155,9 @@ class Benchmark:
             if reach.sum() < COVERAGE * len(words) and not (len(words) >= PASSAGE and _all_free(reach, PASSAGE).any()):
                 continue
             # only words under a seed can be tiled; a gap stays a gap
-            near = np.unique((place[a:b, None] + np.arange(MATCH)).ravel())
+            x, y = np.searchsorted(at_text, [text[a], text[a] + 1])
+            place = at[x:y][np.isin(at_value[x:y], np.searchsorted(self.values, self.seeds[seed[a:b]]))]
+            near = np.unique((place[:, None] + np.arange(MATCH)).ravel())
             gap = np.flatnonzero(np.diff(near) > 1) + 1
             piece = np.insert(hashes[near], gap, np.uint64(0))
             found = [n for _, _, n in tiles(words, piece)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,19 +27,30 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 TEXT_ROWS = 1000
+TEXT_BYTES = 8 << 20
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _bytes(setting: str) -> int:
+    """Bytes of a Spark size such as ``64m`` or ``67108864b``."""
+    number, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
 
 
 def wide_rows(df: DataFrame) -> DataFrame:
-    """``df`` as it is, after limiting the session's Arrow batches to 1,000 rows.
+    """``df`` as it is, after limiting the session's Arrow batches to 1,000 rows
+    and 8 MB.
 
-    The default of 10,000 is meant for narrow rows; of whole texts it makes
-    batches of tens of megabytes, which stand in the executor's and the
+    The defaults of 10,000 and 64 MB are meant for narrow rows; whole texts
+    make batches of tens of megabytes, which stand in the executor's and the
     worker's memory several times.  A lower setting is kept.
     """
     conf = df.sparkSession.conf
     if int(conf.get(_BATCH_ROWS)) > TEXT_ROWS:
         conf.set(_BATCH_ROWS, TEXT_ROWS)
+    if not 0 < _bytes(conf.get(_BATCH_BYTES)) <= TEXT_BYTES:
+        conf.set(_BATCH_BYTES, TEXT_BYTES)
     return df
 
 
