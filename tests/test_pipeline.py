@@ -113,6 +113,21 @@ def test_boosted_trees_fit_and_settings_reach_the_learner(spark):
     many.unpersist()
 
 
+def test_models_fitted_together_are_those_fitted_alone(spark, monkeypatch):
+    monkeypatch.setattr(M, "N_TREES", 3)
+    monkeypatch.setattr(M, "N_ROUNDS", 3)
+    mi = PL.model_inputs(spark, SF001, 8)
+    train = mi.split.where("split = 'train'")
+    settings = {"Gradient Boosting": {"max_depth": 3}, "Linear Regression": {}, "Random Forest": {"max_depth": 4}}
+    sized, cached = M.sized_for_training, []
+    monkeypatch.setattr(M, "sized_for_training", lambda t: cached.append(sized(t)) or cached[-1])
+    together = M.fit_models(settings, train, mi.numeric)
+    assert list(together) == list(settings) and len(cached) == 1 and not cached[0].is_cached
+    for name, own in settings.items():
+        both = [m.transform(mi.split).orderBy("product_id").select("prediction").collect() for m in (together[name], M.fit_model(name, train, mi.numeric, **own))]
+        assert both[0] and all(abs(a.prediction - b.prediction) < 1e-9 for a, b in zip(*both)), name
+
+
 def test_unseen_category_is_all_zeros(spark):
     mi = PL.model_inputs(spark, SF001, 8)
     model = M.fit_model("Linear Regression", mi.split.where("split = 'train'"), mi.numeric)

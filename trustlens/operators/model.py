@@ -3,6 +3,9 @@ hold-out evaluation and model comparison."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -88,9 +91,21 @@ def sized_for_training(train: DataFrame, rows_per_partition: int = ROWS_PER_TRAI
 
 def fit_model(name: str, train: DataFrame, numeric: list[str], **settings) -> PipelineModel:
     """Fit the pipeline; keep it with save_model() to use it again."""
+    return fit_models({name: settings}, train, numeric)[name]
+
+
+def fit_models(settings: dict[str, dict], train: DataFrame, numeric: list[str]) -> dict[str, PipelineModel]:
+    """Fit a pipeline for each name on one cached table, all at the same time.
+
+    Boosted trees are many short jobs one after another that leave the cluster
+    idle in between; the other fits run in those gaps.
+    """
     cached = sized_for_training(train)
+    # with the caller's job group and other local properties
+    fit = inheritable_thread_target(train.sparkSession)(lambda name: build_pipeline(name, numeric, **settings[name]).fit(cached))
     try:
-        return build_pipeline(name, numeric, **settings).fit(cached)
+        with ThreadPoolExecutor(max(1, len(settings))) as pool:
+            return dict(zip(settings, pool.map(fit, settings)))
     finally:
         cached.unpersist()
 

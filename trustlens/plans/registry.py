@@ -64,15 +64,21 @@ SPLIT_FILE_BYTES = 256 << 20
 _MODELS: dict[tuple, str] = {}
 
 
-def _model(spark: SparkSession, sf_dir: str, name: str, mi: PL.ModelInputs | None = None) -> tuple[PipelineModel, PL.ModelInputs]:
-    """The model of this name for the input as it is now: fitted and saved with
-    its split once, loaded from its path after that."""
-    key = (spark.sparkContext.applicationId, FX.input_version(spark, sf_dir), name)
-    mi = mi or PL.model_inputs(spark, sf_dir)
-    if key not in _MODELS:
-        model = M.fit_model(name, mi.split.where("split = 'train'"), mi.numeric, **SETTINGS.get(name, {}))
-        _MODELS[key] = M.save_model(model, scratch_dir(spark, "model"), mi.split)
-    return M.load_model(_MODELS[key]), mi
+def _models(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[dict[str, PipelineModel], PL.ModelInputs]:
+    """The models of these names for the input as it is now: fitted together and
+    saved with their split once, loaded from their paths after that."""
+    version = FX.input_version(spark, sf_dir)
+    key = lambda name: (spark.sparkContext.applicationId, version, name)
+    mi = PL.model_inputs(spark, sf_dir)
+    if missing := {name: SETTINGS.get(name, {}) for name in names if key(name) not in _MODELS}:
+        for name, model in M.fit_models(missing, mi.split.where("split = 'train'"), mi.numeric).items():
+            _MODELS[key(name)] = M.save_model(model, scratch_dir(spark, "model"), mi.split)
+    return {name: M.load_model(_MODELS[key(name)]) for name in names}, mi
+
+
+def _model(spark: SparkSession, sf_dir: str, name: str) -> tuple[PipelineModel, PL.ModelInputs]:
+    models, mi = _models(spark, sf_dir, [name])
+    return models[name], mi
 
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -282,8 +288,7 @@ def build_queries() -> dict[str, QueryFn]:
     q["fit_boosted"] = fitted("Gradient Boosting")
 
     def all_models(s, d):
-        mi = PL.model_inputs(s, d)
-        return {name: _model(s, d, name, mi)[0] for name in M.MODEL_NAMES}, mi
+        return _models(s, d, M.MODEL_NAMES)
 
     def compare(s, d):
         models, mi = all_models(s, d)
