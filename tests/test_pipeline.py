@@ -128,6 +128,31 @@ def test_models_fitted_together_are_those_fitted_alone(spark, monkeypatch):
         assert both[0] and all(abs(a.prediction - b.prediction) < 1e-9 for a, b in zip(*both)), name
 
 
+def test_forest_in_short_passes_is_the_same_forest(spark, monkeypatch):
+    # 8 levels of 200 trees were held at once: up to 512 MB in every task
+    assert M.make_regressor("Random Forest", max_depth=8).getMaxMemoryInMB() <= 4
+    assert M.make_regressor("Random Forest").getMaxMemoryInMB() == M.make_regressor("Gradient Boosting").getMaxMemoryInMB() == 512
+    monkeypatch.setattr(M, "N_TREES", 12)
+    i = F.col("id")
+    # whole numbers, whose sums do not depend on their order
+    train = spark.range(3000).select(
+        (i * 37 % 1009).cast("double").alias("a"), (i * 101 % 613).cast("double").alias("b"),
+        F.concat(F.lit("c"), (i % 40).cast("string")).alias("main_category"),
+        (i * i % 97 + i * 37 % 1009 % 50).cast("double").alias(M.TARGET),
+    )
+    jobs, found = spark.sparkContext.statusTracker(), {}
+    for mb in (1, 512):
+        monkeypatch.setattr(M, "forest_node_mb", lambda depth, mb=mb: mb)
+        spark.sparkContext.setJobGroup(f"forest-{mb}", "")
+        model = M.fit_model("Random Forest", train, ["a", "b"], max_depth=8)
+        trees = model.stages[-1]
+        found[mb] = trees.toDebugString, len(jobs.getJobIdsForGroup(f"forest-{mb}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    drop_name = lambda text: text.split("\n", 1)[1]
+    assert drop_name(found[1][0]) == drop_name(found[512][0])
+    assert found[1][1] > found[512][1]
+
+
 def test_unseen_category_is_all_zeros(spark):
     mi = PL.model_inputs(spark, SF001, 8)
     model = M.fit_model("Linear Regression", mi.split.where("split = 'train'"), mi.numeric)

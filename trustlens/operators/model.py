@@ -28,6 +28,8 @@ MODEL_NAMES = ["Linear Regression", "Random Forest", "Gradient Boosting"]
 # Spark ML's deepest tree, and its split candidates per feature.
 FOREST_DEPTH = 30
 MAX_BINS = 64
+# Megabytes of node statistics that a task holds in a pass over the data.
+MOST_NODE_MB = 512
 
 CAT_INDEX = "_tl_cat_idx"
 CAT_VEC = "_tl_cat_vec"
@@ -48,6 +50,18 @@ def feature_stages(numeric: list[str], categorical: str = CATEGORICAL) -> list:
     return [indexer, encoder, assembler]
 
 
+def forest_node_mb(max_depth: int) -> int:
+    """Megabytes of node statistics that a task of a forest's pass holds.
+
+    Every row updates a node of every tree in the pass.  The nodes of all trees
+    at once are far larger than a processor's cache; some trees at a time stay
+    in it, and the same nodes take more, shorter passes.  16 KB for each node of
+    a full tree's deepest level keep the passes few for deep trees, too.  The
+    trees do not depend on it.
+    """
+    return min(MOST_NODE_MB, max(4, 2**max_depth >> 6))
+
+
 def make_regressor(name: str, label: str = TARGET, max_depth: int | None = None, max_bins: int = MAX_BINS):
     """A regressor by its display name.
 
@@ -59,15 +73,18 @@ def make_regressor(name: str, label: str = TARGET, max_depth: int | None = None,
     shared = {"featuresCol": "features", "labelCol": label}
     if name == "Linear Regression":
         return LinearRegression(**shared)
-    # more nodes per pass over the data than the default memory allows
-    trees = shared | {"maxBins": max_bins, "seed": MODEL_SEED, "maxMemoryInMB": 512}
+    trees = shared | {"maxBins": max_bins, "seed": MODEL_SEED}
     if name == "Random Forest":
         # all features at every split, bootstrap rows, as the reference forest
+        depth = max_depth or FOREST_DEPTH
         return RandomForestRegressor(
-            numTrees=N_TREES, featureSubsetStrategy="all", maxDepth=max_depth or FOREST_DEPTH, **trees
+            numTrees=N_TREES, featureSubsetStrategy="all", maxDepth=depth, maxMemoryInMB=forest_node_mb(depth), **trees
         )
     if name == "Gradient Boosting":
-        return GBTRegressor(maxIter=N_ROUNDS, maxDepth=max_depth or 6, stepSize=0.3, checkpointInterval=10, **trees)
+        # a level of its one tree in one pass, however many features there are
+        return GBTRegressor(
+            maxIter=N_ROUNDS, maxDepth=max_depth or 6, stepSize=0.3, checkpointInterval=10, maxMemoryInMB=MOST_NODE_MB, **trees
+        )
     raise ValueError(f"unknown model {name!r}")
 
 
