@@ -186,6 +186,37 @@ def test_wide_export_goes_back_to_long(spark):
     assert sorted(X.shap_long(X.shap_wide(long, ["a", "b"])).collect()) == sorted(long.collect())
 
 
+def test_wide_export_has_every_feature(spark, tmp_path):
+    brands = ["a brand", "b.brand", "c & d"]
+    parts = [(i, f"part {i}", brands[i % 3], "TYPE", 5, 900.0 + i) for i in range(150)]
+    parts += [(i, f"part {i}", "rare", "TYPE", 5, 900.0 + i) for i in range(150, 160)]
+    lines = [(i, float(1 + (i * 7 + j) % 50), (i + j) % 11 / 100) for i in range(160) for j in range(1 + i % 3)]
+    tables = {
+        "part": (parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "lineitem": (lines, "l_partkey long, l_quantity double, l_discount double"),
+        "documents": ([(i, "x" * (i * i % 301)) for i in range(60)], "doc_id long, text string"),
+    }
+    con = duckdb.connect()
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    queries = E.queries()
+    names = {r.feature: r.feature_index for r in queries["feature_names"](spark, str(tmp_path)).collect()}
+    assert [n for n in names if n.startswith("cat__")] == [f"cat__main_category_{b}" for b in ["Other", *brands]]
+    wide = queries["shap_wide"](spark, str(tmp_path))
+    cells = [f"{kind}_{i}" for kind in ("value", "shap") for i in range(len(names))]
+    assert wide.columns == ["product_id", *cells]
+    found = {r.product_id: r for r in wide.collect()}
+    long = queries["shap_linear"](spark, str(tmp_path)).collect()
+    assert len(found) > 100 and len(long) == len(found) * len(names)
+    for r in long:
+        i = names[r.feature]
+        assert (found[r.product_id][f"value_{i}"], found[r.product_id][f"shap_{i}"]) == (r.feature_value, r.shap_value)
+    twin = con.execute(E.oracle_sql()["shap_wide"]).fetchdf()
+    assert sorted(twin.columns) == sorted(wide.columns)
+    assert sorted(map(tuple, found.values())) == sorted(twin[wide.columns].itertuples(index=False, name=None))
+
+
 def test_streaming_scorer_matches_batch(spark):
     clean = PL.clean_table(spark, SF001, 8)
     params = T.category_params(clean)

@@ -400,14 +400,10 @@ def build_queries() -> dict[str, QueryFn]:
     q["top_features5"] = lambda s, d: X.top_features(X.shap_importance(linear_shap(s, d)[0]), 5)
 
     def wide(s, d):
-        sl, names, mi = linear_shap(s, d, together=True)
-        out = X.shap_wide(sl, names)
-        numeric = names[: len(mi.numeric)]
-        return out.select(
-            "product_id",
-            *[F.col(f"`{n}`").alias(f"value_{i}") for i, n in enumerate(numeric)],
-            *[F.col(f"`{X.SHAP_PREFIX}{n}`").alias(f"shap_{i}") for i, n in enumerate(numeric)],
-        )
+        sl, names, _ = linear_shap(s, d, together=True)
+        # every feature under its place in feature_names
+        places = range(len(names))
+        return X.shap_wide(sl, names).toDF("product_id", *[f"value_{i}" for i in places], *[f"shap_{i}" for i in places])
 
     q["shap_wide"] = wide
     q["shap_long"] = lambda s, d: (lambda sl, names, _: X.shap_long(X.shap_wide(sl, names)))(*linear_shap(s, d, together=True))
@@ -932,11 +928,15 @@ GROUP BY model ORDER BY rmse, model LIMIT 1""",
     o["shap_importance"] = O.with_ctes(sc, "SELECT * FROM imp")
     for key, k in (("top_features", 7), ("top_features5", 5)):
         o[key] = O.with_ctes(sc, f"SELECT * FROM imp ORDER BY importance DESC, feature LIMIT {k}")
-    cells = ", ".join(
-        f"max(feature_value) FILTER (WHERE i = {i}) AS value_{i}, max(shap_value) FILTER (WHERE i = {i}) AS shap_{i}"
-        for i in range(len(CANDIDATES))
+    # as many columns as there are features: the category slots depend on the data
+    o["shap_wide"] = O.with_ctes(
+        sc,
+        "SELECT * FROM (PIVOT cells ON cell USING max(v) GROUP BY product_id)",
+        {
+            "cells": """SELECT product_id, 'value_' || i AS cell, feature_value AS v FROM sh
+                        UNION ALL SELECT product_id, 'shap_' || i, shap_value FROM sh"""
+        },
     )
-    o["shap_wide"] = O.with_ctes(sc, f"SELECT product_id, {cells} FROM sh GROUP BY product_id")
     o["top_contributions"] = O.with_ctes(
         sc,
         """SELECT product_id, feature, feature_value, shap_value,
